@@ -6,7 +6,7 @@ import string
 
 from pyspark.sql import Column, functions as F
 
-from .tokens import SPACE, collapse_space, lines, strip, words
+from .tokens import SPACE, bind, collapse_space, lines, strip
 
 # Fixed values -------------------------------------------------------------
 DASHES_AND_QUOTES = "[‘…—−–]"
@@ -227,30 +227,41 @@ def split_repo_path(path: Column) -> tuple[Column, Column]:
 
 def token_before(tokens: Column, pivot: str) -> Column:
     """Token before the first pivot; the last token when the pivot comes first."""
-    at = F.array_position(tokens, pivot).cast("int")
-    return F.when(at > 1, F.get(tokens, at - 2)).when(at == 1, F.element_at(tokens, -1))
+    return bind(tokens, lambda t: bind(
+        F.array_position(t, pivot).cast("int"),
+        lambda at: F.when(at > 1, F.get(t, at - 2)).when(at == 1, F.element_at(t, -1))))
 
 
 def token_after(tokens: Column, pivot: str) -> Column:
-    at = F.array_position(tokens, pivot).cast("int")
-    return F.when(at > 0, F.get(tokens, at))
+    return bind(tokens, lambda t: bind(
+        F.array_position(t, pivot).cast("int"), lambda at: F.when(at > 0, F.get(t, at))))
 
 
 def first_parenthesised(tokens: Column) -> Column:
     """Tokens inside the first balanced pair of parentheses; null when there is none."""
-    start = F.array_position(tokens, "(").cast("int")
-    tail = F.slice(tokens, start, F.size(tokens))
-    state = F.aggregate(
-        tail,
-        F.struct(F.lit(0).alias("depth"), F.lit(0).alias("seen"), F.lit(0).alias("end")),
-        lambda s, t: F.struct(
-            (s["depth"] + F.when(t == "(", 1).when(t == ")", -1).otherwise(0)).alias("depth"),
-            (s["seen"] + 1).alias("seen"),
-            F.when((s["end"] == 0) & (t == ")") & (s["depth"] == 1), s["seen"] + 1).otherwise(s["end"]).alias("end"),
-        ),
-    )
-    end = F.when(state["end"] > 0, state["end"]).otherwise(F.size(tail))
-    return F.when(start > 0, F.slice(tail, 2, F.greatest(end - 2, F.lit(0))))
+
+    def inside(tail: Column) -> Column:
+        state = F.aggregate(
+            tail,
+            F.struct(F.lit(0).alias("depth"), F.lit(0).alias("seen"), F.lit(0).alias("end")),
+            lambda s, t: F.struct(
+                (s["depth"] + F.when(t == "(", 1).when(t == ")", -1).otherwise(0)).alias("depth"),
+                (s["seen"] + 1).alias("seen"),
+                F.when((s["end"] == 0) & (t == ")") & (s["depth"] == 1), s["seen"] + 1)
+                .otherwise(s["end"]).alias("end"),
+            ),
+            lambda s: s["end"],
+        )
+        return bind(
+            F.when(state > 0, state).otherwise(F.size(tail)),
+            lambda end: F.slice(tail, 2, F.greatest(end - 2, F.lit(0))),
+        )
+
+    def tail_of(t: Column) -> Column:
+        start = F.array_position(t, "(").cast("int")
+        return F.when(start > 0, F.slice(t, F.greatest(start, F.lit(1)), F.size(t)))
+
+    return bind(bind(tokens, tail_of), inside)
 
 
 def argument_types_and_names(signature: Column) -> Column:
@@ -260,11 +271,13 @@ def argument_types_and_names(signature: Column) -> Column:
     def argument(arg: Column) -> Column:
         marks = F.array_join(F.regexp_extract_all(arg, F.lit(r"(\[ \])"), 1), " ")
         plain = F.when(marks == "", arg).otherwise(F.replace(arg, marks, F.lit("")))
-        parts = F.split(F.regexp_replace(strip(plain), " +", " "), " ")
-        return F.struct(
-            F.concat_ws(" ", F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0))),
-                        F.array(marks)).alias("type"),
-            F.element_at(parts, -1).alias("name"),
+        return bind(
+            F.split(F.regexp_replace(strip(plain), " +", " "), " "),
+            lambda parts: F.struct(
+                F.concat_ws(" ", F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0))),
+                            F.array(marks)).alias("type"),
+                F.element_at(parts, -1).alias("name"),
+            ),
         )
 
     none = F.array(F.struct(F.lit("None").alias("type"), F.lit("None").alias("name")))
@@ -360,13 +373,15 @@ def language_of_name(name: Column) -> Column:
 
 def byte_ids(word: Column, width: int) -> Column:
     """UTF-8 byte ids between begin (256) and end (257) marks, padded (258) to ``width``."""
-    hexed = F.hex(F.encode(word, "UTF-8"))
-    count = F.least(F.length(hexed) / 2, F.lit(width - 2)).cast("int")
+    count = F.least(F.octet_length(word), F.lit(width - 2))
     ids = F.when(
         count > 0,
-        F.transform(
-            F.sequence(F.lit(1), count),
-            lambda i: F.conv(F.substr(hexed, 2 * i - 1, F.lit(2)), 16, 10).cast("int"),
+        bind(
+            F.hex(F.encode(word, "UTF-8")),
+            lambda hexed: F.transform(
+                F.sequence(F.lit(1), count),
+                lambda i: F.conv(F.substr(hexed, 2 * i - 1, F.lit(2)), 16, 10).cast("int"),
+            ),
         ),
     ).otherwise(F.array().cast("array<int>"))
     return F.concat(F.array(F.lit(256)), ids, F.array(F.lit(257)), F.array_repeat(F.lit(258), width - 2 - count))
@@ -374,15 +389,15 @@ def byte_ids(word: Column, width: int) -> Column:
 
 def comments_above(text: Column, opener: str, marker: str) -> Column:
     """Comment lines directly above an opener line with a blank line (or nothing) before them."""
-    rows = F.transform(lines(text), strip)
-    positions = F.sequence(F.lit(1), F.greatest(F.size(rows) - 1, F.lit(1)))
-
-    def above(i: Column) -> Column:
-        comment = F.get(rows, i - 1)
-        before = F.when(i >= 2, F.get(rows, i - 2)).otherwise("")
-        fits = F.get(rows, i).startswith(opener) & comment.startswith(marker) & (before == "")
-        return F.when(F.coalesce(fits, F.lit(False)), comment).otherwise("")
 
-    return F.array_remove(F.transform(positions, above), "")
+    def pick(rows: Column) -> Column:
+        def above(i: Column) -> Column:
+            comment = F.get(rows, i - 1)
+            before = F.when(i >= 2, F.get(rows, i - 2)).otherwise("")
+            fits = F.get(rows, i).startswith(opener) & comment.startswith(marker) & (before == "")
+            return F.when(F.coalesce(fits, F.lit(False)), comment).otherwise("")
 
+        positions = F.sequence(F.lit(1), F.greatest(F.size(rows) - 1, F.lit(1)))
+        return F.array_remove(F.transform(positions, above), "")
 
+    return bind(F.transform(lines(text), strip), pick)

@@ -18,6 +18,15 @@ ALNUM_RUNS = r"([\p{L}\p{N}]+|[^\p{L}\p{N}]+)"
 CAMEL_BOUNDARY = r"(?<=[a-z])(?=[A-Z])|(?<=[A-Z])(?=[A-Z][a-z])"
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once per row.
+
+    A column used inside a higher-order function's lambda is otherwise
+    computed again for every element.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def words(text: Column) -> Column:
     """Whitespace tokens, empty ones left out."""
     return F.array_remove(F.split(text, SPACE + "+"), "")
@@ -61,9 +70,10 @@ def words_and_symbols(text: Column) -> Column:
 
 def alnum_runs(text: Column) -> Column:
     """Runs of letters/digits and of anything else; lone spaces kept only at the ends."""
-    runs = F.regexp_extract_all(text, F.lit(ALNUM_RUNS), 1)
-    last = F.size(runs) - 1
-    return F.filter(runs, lambda t, i: (t != " ") | (i == 0) | (i == last))
+    return bind(
+        F.regexp_extract_all(text, F.lit(ALNUM_RUNS), 1),
+        lambda runs: F.filter(runs, lambda t, i: (t != " ") | (i == 0) | (i == F.size(runs) - 1)),
+    )
 
 
 def ngrams(tokens: Column, n: int, uncased: bool = False,
@@ -74,27 +84,36 @@ def ngrams(tokens: Column, n: int, uncased: bool = False,
     """
     if uncased:
         tokens = F.transform(tokens, F.lower)
-    size = F.size(tokens)
-    starts = F.when(size > 0, F.sequence(F.lit(1), size)).otherwise(F.array().cast("array<int>"))
-    grams = F.flatten(
-        F.transform(
-            starts,
-            lambda s: F.transform(
-                F.sequence(F.lit(1), F.least(F.lit(n), size - s + 1)),
-                lambda k: F.slice(tokens, s, k),
-            ),
+
+    def build(t: Column) -> Column:
+        size = F.size(t)
+        grams = F.flatten(
+            F.transform(
+                _positions(size),
+                lambda s: F.transform(
+                    F.sequence(F.lit(1), F.least(F.lit(n), size - s + 1)),
+                    lambda k: F.slice(t, s, k),
+                ),
+            )
         )
-    )
-    if skip is not None:
-        grams = F.filter(grams, lambda g: ~skip(g))
-    return F.transform(grams, lambda g: F.array_join(g, " ")) if as_strings else grams
+        if skip is not None:
+            grams = F.filter(grams, lambda g: ~skip(g))
+        return F.transform(grams, lambda g: F.array_join(g, " ")) if as_strings else grams
+
+    return bind(tokens, build)
+
+
+def _positions(count: Column) -> Column:
+    """1..count, empty when count is below one."""
+    return F.when(count > 0, F.sequence(F.lit(1), count)).otherwise(F.array().cast("array<int>"))
 
 
 def ngrams_of(tokens: Column, n: int) -> Column:
     """N-grams of exactly length n, joined by a space."""
-    size = F.size(tokens)
-    starts = F.when(size >= n, F.sequence(F.lit(1), size - n + 1)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda s: F.array_join(F.slice(tokens, s, n), " "))
+    return bind(
+        tokens,
+        lambda t: F.transform(_positions(F.size(t) - n + 1), lambda s: F.array_join(F.slice(t, s, n), " ")),
+    )
 
 
 class TokenizerRegistry:

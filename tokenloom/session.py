@@ -54,4 +54,12 @@ def fresh_path(spark: SparkSession, label: str) -> str:
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """One of the given tables.
+
+    A file with a single row group is read by one task. Where the scan has
+    fewer tasks than cores (small inputs only) the rows are spread out first;
+    a large table is used as scanned, without this shuffle.
+    """
+    df = spark.read.parquet(f"{folder}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

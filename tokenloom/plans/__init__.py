@@ -1,6 +1,6 @@
 """All registered queries and their check SQL."""
 
 from .registry import ORACLES, QUERIES
-from . import predicates, strings  # noqa: F401  (importing registers the queries)
+from . import joins, predicates, sequences, strings  # noqa: F401  (importing registers the queries)
 
 __all__ = ["ORACLES", "QUERIES"]

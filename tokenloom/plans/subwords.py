@@ -13,7 +13,10 @@ from .registry import query
 C = F.col
 MERGES = 12
 _O, _B, _C = S.q(B.OPEN), S.q(B.BETWEEN), S.q(B.CLOSE)
-_START = f"""w0 AS MATERIALIZED (SELECT token, n, {_O} || array_to_string(regexp_extract_all(token, '(?s).') || ['</w>'], {_B}) || {_C} AS s FROM {DOC_COUNTS_SQL})"""
+
+
+def _start(counts: str) -> str:
+    return f"""w0 AS MATERIALIZED (SELECT token, n, {_O} || array_to_string(regexp_extract_all(token, '(?s).') || ['</w>'], {_B}) || {_C} AS s FROM {counts})"""
 
 
 def _sql_pairs(words: str) -> str:
@@ -21,9 +24,9 @@ def _sql_pairs(words: str) -> str:
       (SELECT n, string_split(trim(s, {S.q(B.OPEN + B.CLOSE)}), {_B}) AS l FROM {words})) GROUP BY ALL)"""
 
 
-def merges_sql(rounds: int) -> str:
+def merges_sql(rounds: int, counts: str = DOC_COUNTS_SQL) -> str:
     """Common table expressions w0..wN (words) and b1..bN (best pairs), one merge per step."""
-    parts = [_START]
+    parts = [_start(counts)]
     for k in range(1, rounds + 1):
         parts.append(f"b{k} AS MATERIALIZED (SELECT a, b, n FROM {_sql_pairs(f'w{k - 1}')} ORDER BY n DESC, a, b LIMIT 1)")
         parts.append(f"w{k} AS MATERIALIZED (SELECT token, w.n, replace(s, {_O} || a || {_B} || b || {_C}, {_O} || a || b || {_C}) AS s FROM w{k - 1} w, b{k})")
@@ -34,7 +37,7 @@ _FINAL = f"(SELECT token, n, list_filter(list_transform(string_split(trim(s, {S.
 
 
 @query("a04_pair_counts", f"""
-WITH {_START} SELECT a AS "left", b AS "right", n::BIGINT AS n FROM {_sql_pairs('w0')}""")
+WITH {_start(DOC_COUNTS_SQL)} SELECT a AS "left", b AS "right", n::BIGINT AS n FROM {_sql_pairs('w0')}""")
 def pair_counts(spark, folder):
     words = doc_counts(spark, folder).select("n", B.as_symbols(C("token")).alias("symbols"))
     return B.pair_counts(words)

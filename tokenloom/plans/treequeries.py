@@ -123,7 +123,7 @@ def tree_symbols(spark, folder):
 
 
 @query("w25_subword_children", f"""
-WITH {NODES}, {merges_sql(MERGES).replace(S.words('text'), S.words('html')).replace('FROM documents', "FROM (SELECT value AS html FROM nd WHERE value IS NOT NULL)")},
+WITH {NODES}, {merges_sql(MERGES, f"(SELECT token, count(*) AS n FROM (SELECT unnest({S.words('value')}) AS token FROM nd WHERE value IS NOT NULL) GROUP BY token)")},
 s AS (SELECT token, p FROM {_FINAL} WHERE len(p) > 1)
 SELECT doc, node_id, piece_no::BIGINT AS piece_no, piece, label FROM (
   SELECT l.doc, l.node_id, generate_subscripts(p, 1) - 1 AS piece_no, unnest(p) AS piece, t.label || '_bpe' AS label

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.hashing import key_hash, uniform
 from .ranking import with_global_position, with_group_position, with_group_running_sum, with_running_sum
+from .tokentables import one_row_each
 
 
 def keyed_split(df: DataFrame, key: Column, seed: str, test_share: float) -> DataFrame:
@@ -109,8 +110,7 @@ def stream_cells(df: DataFrame, key: str, tokens: str, streams: int, steps: int,
     batches = F.ceil(total / (streams * steps))
     height = batches * steps
     front = height * streams - total
-    cells = closed.select(key, "_t").join(summed, key).select(
-        "_start", F.posexplode("_t").alias("_i", "token")).select(
+    cells = one_row_each(closed.select(key, "_t").join(summed, key), ["_start"], "_t", "token", "_i").select(
         (F.col("_start") + F.col("_i") + front).alias("_at"), "token")
     padding = df.sparkSession.range(1).select(F.explode(F.sequence(F.lit(0).cast("long"), front)).alias("_at")).where(
         F.col("_at") < front).withColumn("token", F.lit(end))  # fewer than streams * steps rows

@@ -5,6 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from .tokentables import one_row_each
+
 
 def two_digits(value: Column) -> Column:
     """Rounds the binary value (0.145 gives 0.14), as the reported figures are."""
@@ -20,7 +22,7 @@ def corpus_statistics(df: DataFrame, group: str, tokens: Column) -> DataFrame:
     sized = df.select(group, tokens.alias("t"))
     records = sized.groupBy(group).agg(F.count(F.lit(1)).alias("records"))
     per_token = (
-        sized.select(group, F.explode("t").alias("token")).groupBy(group, "token").agg(F.count(F.lit(1)).alias("n"))
+        one_row_each(sized, [group], "t", "token").groupBy(group, "token").agg(F.count(F.lit(1)).alias("n"))
     )
     tokens_by_group = per_token.groupBy(group).agg(F.sum("n").alias("tokens"), F.count(F.lit(1)).alias("unique_tokens"))
     rows = (

@@ -14,9 +14,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, StringType
 
 from ..session import durable
+from .tokentables import one_row_each
 from .vocab import skewed_lookup
 
-OPEN, CLOSE = "", ""
+OPEN, CLOSE = "\ue000", "\ue001"
 BETWEEN = CLOSE + OPEN
 # Fixed values.
 END_OF_WORD = "</w>"
@@ -127,7 +128,10 @@ def _pieces(word: str, ranks: dict[Merge, int]) -> list[str]:
 
 
 def segment(words: DataFrame, merges: list[Merge], token: str = "token") -> DataFrame:
-    """Adds ``pieces``; run it on distinct words, so each word is encoded once."""
+    """Adds ``pieces``; run it on distinct words, so each word is encoded once.
+
+    The result is written out: its users read it more than once.
+    """
     ranks: dict[Merge, int] = {}
     for i, pair in enumerate(merges):
         ranks.setdefault(tuple(pair), i)
@@ -137,7 +141,7 @@ def segment(words: DataFrame, merges: list[Merge], token: str = "token") -> Data
         for tokens in batches:
             yield tokens.map(lambda t: _pieces(t, ranks))
 
-    return words.withColumn("pieces", pieces(F.col(token)))
+    return durable(words.withColumn("pieces", pieces(F.col(token))))
 
 
 def marked(pieces: Column) -> Column:
@@ -149,13 +153,13 @@ def encode_texts(df: DataFrame, key: str, tokens: str, segmented: DataFrame) ->
     """(key, text) with every word replaced by its marked pieces.
 
     ``segmented`` has one row per distinct word (token, n, pieces). Only words
-    of more than one piece are looked up; frequent ones meet a broadcast.
+    of more than one piece are in the lookup; others stay as they are.
     """
-    cells = df.select(key, F.posexplode(tokens).alias("pos", "token"))
+    cells = one_row_each(df, [key], tokens, "token", "pos")
     split = segmented.where(F.size("pieces") > 1).select("token", "n", F.array_join(marked(F.col("pieces")), " ").alias("out"))
-    whole = segmented.where(F.size("pieces") <= 1).select("token", "n", F.col("token").alias("out"))
-    found = skewed_lookup(cells, split.unionByName(whole), "token", "n")
-    return found.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "out"))).alias("e")).select(
+    found = skewed_lookup(cells, split, "token", "n", "left")
+    entry = F.struct("pos", F.coalesce("out", "token").alias("out"))
+    return found.groupBy(key).agg(F.array_sort(F.collect_list(entry)).alias("e")).select(
         key, F.array_join("e.out", " ").alias("text"))
 
 
@@ -186,9 +190,9 @@ def constrain(segmented: DataFrame, merges: list[Merge], vocabulary: DataFrame)
         done = F.col("known").isNotNull() | F.col("left").isNull()
         return looked.select("root", "root_final", "path", "piece", "final", "left", "right", done.alias("done"))
 
-    cells = segmented.select("token", F.posexplode("pieces").alias("pos", "piece"), F.size("pieces").alias("k")).select(
+    sized = segmented.withColumn("k", F.size("pieces"))
+    cells = one_row_each(sized, ["token", "k"], "pieces", "piece", "pos").select(
         "token", "pos", "piece", (F.col("pos") == F.col("k") - 1).alias("final"))
-    cells = durable(cells)
     roots = cells.select("piece", "final").distinct().select(
         F.col("piece").alias("root"), F.col("final").alias("root_final"), F.lit("").alias("path"), "piece", "final")
     rows = durable(settle(roots))

@@ -12,9 +12,20 @@ from pyspark.sql.types import StringType
 from ..functions.tokens import WORD_SYMBOL_OR_GAP
 
 
+def one_row_each(df: DataFrame, keep: list[str], items: str, name: str, pos: str | None = None) -> DataFrame:
+    """One row per array element.
+
+    An inner explode of a computed array column makes the optimiser test the
+    array's size in a pushed-down filter, so the array would be built twice.
+    The outer form with a null test afterwards builds it once.
+    """
+    element = F.posexplode_outer(items).alias(pos, name) if pos else F.explode_outer(items).alias(name)
+    return df.select(*keep, element).where(F.col(pos or name).isNotNull())
+
+
 def token_counts(df: DataFrame, tokens: str = "tokens") -> DataFrame:
     """Occurrences of each token; map-side partial sums keep frequent tokens cheap."""
-    return df.select(F.explode(tokens).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    return one_row_each(df, [], tokens, "token").groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 
 
 def words_with_offsets(df: DataFrame, key: str, text: str) -> DataFrame:

@@ -45,8 +45,8 @@ def nodes(stream: DataFrame) -> DataFrame:
     """Node table of balanced events.
 
     Columns: doc, node_id, label (null for texts), value (null for tags),
-    level, pos, parent, first_leaf, last_leaf. A node without texts below it
-    has last_leaf < first_leaf.
+    level, pos, parent, first_leaf, last_leaf, last_node (last node below). A
+    node without texts below it has last_leaf < first_leaf.
     """
     upto = W.partitionBy("doc").orderBy("pos").rowsBetween(W.unboundedPreceding, 0)
     is_open, is_text = F.col("kind") == "open", F.col("kind") == "text"
@@ -57,20 +57,21 @@ def nodes(stream: DataFrame) -> DataFrame:
         .withColumn("texts", F.sum(is_text.cast("int")).over(upto))
         .withColumn("level", F.when(is_open, F.col("after") - 1).otherwise(F.col("after")))
     )
-    # the next event of the same level after an opening tag is its closing tag
-    spanned = counted.withColumn(
-        "last_leaf", F.when(is_text, F.col("texts") - 1).otherwise(
-            F.lead("texts").over(W.partitionBy("doc", "level", is_text).orderBy("pos")) - 1)
-    ).where(F.col("kind") != "close").select(
-        "doc", (F.col("seen") - 1).alias("node_id"), F.when(is_open, F.col("label")).alias("label"), "value",
-        F.col("level"), "pos", F.when(is_text, F.col("texts") - 1).otherwise(F.col("texts")).alias("first_leaf"), "last_leaf")
-    # parent: the latest opening tag one level up
-    openers = spanned.where(F.col("label").isNotNull()).select(
-        "doc", F.col("level").alias("slot"), "pos", F.col("node_id").alias("opener"))
-    children = spanned.withColumn("slot", F.col("level") - 1).withColumn("opener", F.lit(None).cast("bigint"))
-    both = children.unionByName(openers, allowMissingColumns=True)
+    # the next tag event of the same level after an opening tag is its closing tag
+    closing = W.partitionBy("doc", "level", is_text).orderBy("pos")
+    spanned = (
+        counted.withColumn("last_leaf", F.when(is_text, F.col("texts")).otherwise(F.lead("texts").over(closing)) - 1)
+        .withColumn("last_node", F.when(is_text, F.col("seen")).otherwise(F.lead("seen").over(closing)) - 1)
+        .where(F.col("kind") != "close")
+        .select("doc", (F.col("seen") - 1).alias("node_id"), F.when(is_open, F.col("label")).alias("label"), "value", "level",
+                "pos", F.when(is_text, F.col("texts") - 1).otherwise(F.col("texts")).alias("first_leaf"), "last_leaf", "last_node")
+    )
+    # parent: the latest opening tag one level up; tags stand in both roles
+    roles = F.array(F.struct((F.col("level") - 1).alias("slot"), F.lit(None).cast("bigint").alias("opener")),
+                    F.when(F.col("label").isNotNull(), F.struct(F.col("level").alias("slot"), F.col("node_id").alias("opener"))))
+    both = spanned.select("*", F.explode(F.array_compact(roles)).alias("r")).select("*", "r.slot", "r.opener").drop("r")
     latest = F.last("opener", ignorenulls=True).over(W.partitionBy("doc", "slot").orderBy("pos").rowsBetween(W.unboundedPreceding, 0))
-    return both.withColumn("parent", latest).where(F.col("node_id").isNotNull()).drop("slot", "opener")
+    return both.withColumn("parent", latest).where(F.col("opener").isNull()).drop("slot", "opener")
 
 
 def children_lists(table: DataFrame) -> DataFrame:
@@ -111,37 +112,46 @@ def preorder_tokens(split: DataFrame, only_leaves: bool = False) -> DataFrame:
 
 
 def with_child_figures(table: DataFrame) -> DataFrame:
-    """Adds n_children, n_tags (children that are tags) and first_is_tag."""
-    figures = table.where(F.col("parent").isNotNull()).groupBy("doc", F.col("parent").alias("node_id")).agg(
-        F.count(F.lit(1)).alias("n_children"), F.count("label").alias("n_tags"),
-        F.min_by(F.col("label").isNotNull(), "node_id").alias("first_is_tag"))
-    joined = table.join(figures.withColumnRenamed("node_id", "_id").withColumnRenamed("doc", "_doc"),
-                        (F.col("doc") == F.col("_doc")) & (F.col("node_id") == F.col("_id")), "left").drop("_doc", "_id")
-    return joined.na.fill(0, ["n_children", "n_tags"]).withColumn("first_is_tag", F.coalesce("first_is_tag", F.lit(False)))
+    """Adds only_child (has exactly one child) and first_is_tag (its first child is a tag).
+
+    A first child is the next row in preorder, and it is the only one when both
+    subtrees end at the same node.
+    """
+    following = W.partitionBy("doc").orderBy("node_id")
+    has_child = F.col("last_node") > F.col("node_id")
+    only = has_child & (F.lead("last_node").over(following) == F.col("last_node"))
+    first_tag = has_child & F.lead(F.col("label").isNotNull()).over(following)
+    return table.withColumn("only_child", F.coalesce(only, F.lit(False))).withColumn(
+        "first_is_tag", F.coalesce(first_tag, F.lit(False)))
 
 
 def split_trees(table: DataFrame) -> DataFrame:
     """Numbers the top-level trees of each document; ids restart at 0 in each tree."""
     upto = W.partitionBy("doc").orderBy("node_id").rowsBetween(W.unboundedPreceding, 0)
-    numbered = table.withColumn("tree", F.sum((F.col("level") == 0).cast("int")).over(upto) - 1)
-    first = F.min("node_id").over(W.partitionBy("doc", "tree"))
-    return numbered.withColumn("_first", first).withColumn("node_id", F.col("node_id") - F.col("_first")).withColumn(
-        "parent", F.col("parent") - F.col("_first")).drop("_first")
+    top = F.col("level") == 0
+    numbered = table.withColumn("tree", F.sum(top.cast("int")).over(upto) - 1).withColumn(
+        "_first", F.last(F.when(top, F.col("node_id")), ignorenulls=True).over(upto))
+    for name in ("node_id", "parent", "last_node"):
+        numbered = numbered.withColumn(name, F.col(name) - F.col("_first"))
+    return numbered.drop("_first")
 
 
 def merge_trees(trees: DataFrame, root: str = "ROOT") -> DataFrame:
     """All trees of a document under one new root, numbered in preorder again."""
-    sizes = trees.groupBy("doc", "tree").agg(F.count(F.lit(1)).alias("size"), F.max("last_leaf").alias("_last"))
-    before = W.partitionBy("doc").orderBy("tree").rowsBetween(W.unboundedPreceding, -1)
-    placed = sizes.withColumn("_base", F.coalesce(F.sum("size").over(before), F.lit(0)) + 1)
-    moved = trees.join(placed.select("doc", "tree", "_base"), ["doc", "tree"]).select(
-        "doc", (F.col("node_id") + F.col("_base")).alias("node_id"), "label", "value", (F.col("level") + 1).alias("level"),
-        F.coalesce(F.col("parent") + F.col("_base"), F.lit(0)).alias("parent"), "first_leaf", "last_leaf")
-    roots = sizes.groupBy("doc").agg(F.max("_last").alias("last_leaf")).select(
-        "doc", F.lit(0).cast("bigint").alias("node_id"), F.lit(root).alias("label"), F.lit(None).cast("string").alias("value"),
+    order = W.partitionBy("doc").orderBy("tree", "node_id")
+    whole = W.partitionBy("doc")
+    base = F.col("_new") - F.col("node_id")
+    moved = trees.withColumn("_new", F.row_number().over(order).cast("bigint")).withColumn(
+        "_leaf", F.max("last_leaf").over(whole)).withColumn("_node", F.max("_new").over(whole))
+    node = F.struct(
+        F.col("_new").alias("node_id"), "label", "value", (F.col("level") + 1).alias("level"),
+        F.coalesce(F.col("parent") + base, F.lit(0)).alias("parent"), "first_leaf", "last_leaf", (F.col("last_node") + base).alias("last_node"))
+    top = F.struct(
+        F.lit(0).cast("bigint").alias("node_id"), F.lit(root).alias("label"), F.lit(None).cast("string").alias("value"),
         F.lit(0).cast("bigint").alias("level"), F.lit(None).cast("bigint").alias("parent"),
-        F.lit(0).cast("bigint").alias("first_leaf"), "last_leaf")
-    return roots.unionByName(moved)
+        F.lit(0).cast("bigint").alias("first_leaf"), F.col("_leaf").alias("last_leaf"), F.col("_node").alias("last_node"))
+    rows = F.array_compact(F.array(F.when(F.col("_new") == 1, top), node))
+    return moved.select("doc", F.explode(rows).alias("r")).select("doc", "r.*")
 
 
 def leaves_labels_spans(merged: DataFrame) -> DataFrame:
@@ -153,7 +163,7 @@ def leaves_labels_spans(merged: DataFrame) -> DataFrame:
     """
     rows = with_child_figures(merged).where(F.col("last_leaf") >= F.col("first_leaf"))
     is_tag = F.col("label").isNotNull()
-    is_pos = is_tag & (F.col("n_children") == 1) & (F.col("n_tags") == 0)
+    is_pos = is_tag & F.col("only_child") & ~F.col("first_is_tag")
     place = F.struct("level", "node_id")
 
     def ordered(condition, *values) -> Column:
@@ -176,7 +186,7 @@ def collapse_unary(merged: DataFrame, collapse_pos: bool, collapse_root: bool =
     """
     rows = with_child_figures(merged)
     inside = W.partitionBy("doc").orderBy("node_id")
-    single = (F.col("n_children") == 1) & (F.col("n_tags") == 1)
+    single = F.col("only_child") & F.col("first_is_tag")
     if not collapse_pos:
         single = single & F.coalesce(F.lead("first_is_tag").over(inside), F.lit(False))
     if not collapse_root:

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from .ranking import with_global_position
 from .tokentables import token_counts
 
+FEW = 10_000  # longer top lists are cut by count before they are sorted
 BROADCAST_ROWS = 200_000  # a vocabulary cut to at most this many rows may be broadcast
 
 
@@ -15,7 +16,18 @@ def _by_count():
 
 
 def top_tokens(counts: DataFrame, most: int) -> DataFrame:
-    """The ``most`` most frequent tokens, ties by token; at most ``most`` rows reach one task."""
+    """The ``most`` most frequent tokens, ties by token.
+
+    Every task offers up to ``most`` rows to the final cut. For a long list the
+    counts are first reduced to those at or above the count of the last row,
+    found from the histogram of counts, so the offers add up to little more
+    than ``most`` rows.
+    """
+    if most > FEW:
+        rows = F.sum("k").over(W.orderBy(F.col("n").desc()))  # one row per distinct count
+        histogram = counts.groupBy("n").agg(F.count(F.lit(1)).alias("k")).withColumn("upto", rows)
+        reached = histogram.where(F.col("upto") >= most).agg(F.max("n")).scalar()
+        counts = counts.where(F.col("n") >= F.coalesce(reached, F.lit(0)))
     return counts.orderBy(*_by_count()).limit(most)
 
 
@@ -39,10 +51,14 @@ def index(df: DataFrame, key: str, tokens: Column, vocab: DataFrame, unknown: in
     """One row per ``key`` with the token ids in order; tokens outside the vocabulary become ``unknown``.
 
     With the vocabulary broadcast, a text's tokens stay in one task until the
-    ids are collected, so only id arrays are shuffled.
+    ids are collected, so only id arrays are shuffled. A larger vocabulary is
+    joined by shuffle with its frequent words kept apart.
     """
     exploded = df.select(key, F.posexplode_outer(tokens).alias("pos", "token"))
-    found = exploded.join(bounded(vocab.select("token", "id"), rows), "token", "left")
+    if rows <= BROADCAST_ROWS:
+        found = exploded.join(F.broadcast(vocab.select("token", "id")), "token", "left")
+    else:
+        found = skewed_lookup(exploded, vocab.select("token", "n", "id"), "token", "n", "left")
     entry = F.when(F.col("pos").isNotNull(), F.struct("pos", F.coalesce("id", F.lit(unknown)).alias("id")))
     return found.groupBy(key).agg(F.array_sort(F.collect_list(entry)).alias("e")).select(key, F.col("e.id").alias("ids"))
 
@@ -83,17 +99,28 @@ def finalise(counts: DataFrame, threshold: int, most: int, factor: int, filler:
     return kept.unionByName(fill)
 
 
-def skewed_lookup(facts: DataFrame, lookup: DataFrame, key: str, weight: str, hot: int = 1000) -> DataFrame:
-    """Inner join on a key whose most frequent values repeat in a large part of the facts.
+def skewed_lookup(facts: DataFrame, lookup: DataFrame, key: str, weight: str, how: str = "inner",
+                  hot: int = 1000) -> DataFrame:
+    """Inner or left join on a key whose most frequent values repeat in a large part of the facts.
 
-    Rows of the ``hot`` heaviest keys meet a broadcast table of ``hot`` rows and
-    are never shuffled by key; the rest, where no key is frequent, is joined by
-    shuffle. Together they are the whole join.
+    The ``hot`` heaviest keys are looked up in a broadcast table of ``hot``
+    rows. Those rows then carry a spread-out stand-in key that matches nothing,
+    so the second, shuffled lookup has no heavy key left. The facts are read
+    once; ``lookup`` must hold each key once.
     """
-    heavy = lookup.orderBy(F.col(weight).desc(), F.col(key)).limit(hot)
-    near = facts.join(F.broadcast(heavy), key)
-    far = facts.join(F.broadcast(heavy.select(key)), key, "left_anti").join(lookup, key)
-    return near.unionByName(far)
+    values = [c for c in lookup.columns if c != key]
+    heavy = lookup.orderBy(F.col(weight).desc(), F.col(key)).limit(hot).select(
+        F.col(key).alias("_hot_key"), F.struct(*values).alias("_hot"))
+    first = facts.join(F.broadcast(heavy), F.col(key) == F.col("_hot_key"), "left")
+    stand_in = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(*facts.columns), F.lit(65536)).cast("string"))
+    spread = first.withColumn("_key", F.when(F.col("_hot_key").isNull(), F.col(key)).otherwise(stand_in))
+    rest = lookup.select(F.col(key).alias("_cold_key"), F.struct(*values).alias("_cold"))
+    joined = spread.join(rest, F.col("_key") == F.col("_cold_key"), "left").withColumn("_v", F.coalesce("_hot", "_cold"))
+    if how == "inner":
+        joined = joined.where(F.col("_hot_key").isNotNull() | F.col("_cold_key").isNotNull())
+    elif how != "left":
+        raise ValueError("how must be inner or left")
+    return joined.select(*facts.columns, *[F.col(f"_v.{v}").alias(v) for v in values])
 
 
 def corpus_counts(df: DataFrame, tokens: Column) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import tokens as K
 from ..operators import subword as B, trees as R
 from ..operators.tokentables import token_counts
-from ..session import table
+from ..session import durable, table
 from . import sql as S
 from .common import as_long
 from .registry import query
@@ -129,7 +129,7 @@ SELECT doc, node_id, piece_no::BIGINT AS piece_no, piece, label FROM (
   SELECT l.doc, l.node_id, generate_subscripts(p, 1) - 1 AS piece_no, unnest(p) AS piece, t.label || '_bpe' AS label
   FROM mg l JOIN s ON s.token = l.value JOIN mg t ON t.doc = l.doc AND t.node_id = l.parent)""")
 def subword_children(spark, folder):
-    m = merged(spark, folder)
+    m = durable(merged(spark, folder))  # read for the counts and for both sides of the lookup
     counts = token_counts(m.where(C("value").isNotNull()).select(K.words(C("value")).alias("tokens")))
     segmented = B.segment(counts, B.learn_merges(counts, MERGES))
     return R.subword_children(m, segmented).select("doc", as_long("node_id"), as_long("piece_no"), "piece", "label")

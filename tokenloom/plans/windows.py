@@ -181,6 +181,11 @@ def comments_above(spark, folder):
         "doc_id", F.array_join("a", "|").alias("above"))
 
 
+def with_words(spark, folder):
+    """Documents with at least one word; the test stops at the first one and builds no tokens."""
+    return docs(spark, folder).where(C("text").rlike(f"[^{K.SPACE[1:]}")).select("doc_id", K.words(C("text")).alias("tokens"))
+
+
 def _u(seed: str, i: str = "i - 1") -> str:
     return S.uniform(seed, "doc_id", i)
 
@@ -192,7 +197,7 @@ _W = f"(SELECT doc_id, {S.words('text')} AS w FROM documents)"
 WITH e AS (SELECT doc_id, unnest(w) AS t, generate_subscripts(w, 1) AS i FROM {_W})
 SELECT doc_id, string_agg(t, ' ' ORDER BY i - 1 + CASE WHEN i = 1 THEN -1.0::DOUBLE ELSE {_u('w28')} * 3.0::DOUBLE END, i) AS tokens FROM e GROUP BY doc_id""")
 def shuffle_nearby(spark, folder):
-    return doc_words(spark, folder).where(F.size("tokens") > 0).select(
+    return with_words(spark, folder).select(
         "doc_id", F.array_join(N.shuffle_nearby(C("tokens"), C("doc_id"), "w28", 3.0), " ").alias("tokens"))
 
 
@@ -201,7 +206,7 @@ WITH e AS (SELECT doc_id, unnest(w) AS t, generate_subscripts(w, 1) AS i FROM {_
 m AS (SELECT *, min(u) OVER (PARTITION BY doc_id) AS least, max(u) OVER (PARTITION BY doc_id) AS most FROM s)
 SELECT doc_id, string_agg(t, ' ' ORDER BY i) AS tokens FROM m WHERE u >= 0.9::DOUBLE OR (most < 0.9::DOUBLE AND u = least) GROUP BY doc_id""")
 def drop_tokens(spark, folder):
-    return doc_words(spark, folder).where(F.size("tokens") > 0).select(
+    return with_words(spark, folder).select(
         "doc_id", F.array_join(N.drop_tokens(C("tokens"), C("doc_id"), "w29", 0.9), " ").alias("tokens"))
 
 
@@ -209,7 +214,7 @@ def drop_tokens(spark, folder):
 WITH e AS (SELECT doc_id, unnest(w) AS t, generate_subscripts(w, 1) AS i FROM {_W})
 SELECT doc_id, string_agg(CASE WHEN {_u('w30')} < 0.1::DOUBLE THEN '<mask>' ELSE t END, ' ' ORDER BY i) AS tokens FROM e GROUP BY doc_id""")
 def blank_tokens(spark, folder):
-    return doc_words(spark, folder).where(F.size("tokens") > 0).select(
+    return with_words(spark, folder).select(
         "doc_id", F.array_join(N.blank_tokens(C("tokens"), C("doc_id"), "w30", 0.1, "<mask>"), " ").alias("tokens"))
 
 
@@ -221,7 +226,7 @@ c AS (SELECT doc_id, t, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS i
 SELECT doc_id, string_agg(CASE WHEN {_u('n-blank')} < 0.1::DOUBLE THEN '<mask>' ELSE t END, ' ' ORDER BY i) AS tokens FROM c GROUP BY doc_id""")
 def noise_chain(spark, folder):
     noisy = N.add_noise(C("tokens"), C("doc_id"), "n", 3.0, 0.1, 0.1, "<mask>")
-    return doc_words(spark, folder).where(F.size("tokens") > 0).select("doc_id", F.array_join(noisy, " ").alias("tokens"))
+    return with_words(spark, folder).select("doc_id", F.array_join(noisy, " ").alias("tokens"))
 
 
 _INDEXED = f"""v AS (SELECT token, id FROM {vocab_sql(14, 5000)}),
@@ -250,7 +255,7 @@ SELECT doc_id, string_agg((i - 1)::VARCHAR, ' ' ORDER BY i) AS chosen FROM r WHE
 def weighted_choice(spark, folder):
     weights = F.transform("tokens", lambda t: F.lit(1.0) / F.length(t))
     chosen = N.choose_weighted(C("tokens"), weights, C("doc_id"), "w31w", 0.15)
-    return doc_words(spark, folder).where(F.size("tokens") > 0).select("doc_id", F.array_join(chosen, " ").alias("chosen"))
+    return with_words(spark, folder).select("doc_id", F.array_join(chosen, " ").alias("chosen"))
 
 
 @query("w32_mask_for_evaluation", f"""
@@ -259,7 +264,7 @@ s AS (SELECT doc_id, t, i, CASE WHEN i = 1 THEN 2.0::DOUBLE ELSE {_u('w32')} END
 SELECT doc_id, string_agg(CASE WHEN u <= 0.02::DOUBLE OR (least > 0.02::DOUBLE AND u = least) THEN '<mask>' ELSE t END, ' ' ORDER BY i) AS tokens FROM m GROUP BY doc_id""")
 def mask_for_evaluation(spark, folder):
     masked = N.mask_for_evaluation(C("tokens"), C("doc_id"), "w32", 0.02, "<mask>")
-    return doc_words(spark, folder).where(F.size("tokens") > 0).select("doc_id", F.array_join(masked, " ").alias("tokens"))
+    return with_words(spark, folder).select("doc_id", F.array_join(masked, " ").alias("tokens"))
 
 
 @query("w33_weighted_draws", f"""

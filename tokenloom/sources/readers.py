@@ -86,7 +86,7 @@ def parse_vocabulary(lines: DataFrame, specials: dict[str, int], first_id: int)
     """
     from ..operators.ranking import with_global_position
 
-    fields = lines.where(~F.contains("line", F.lit(" "))).select("line_no", words(F.col("line")).alias("f"))
+    fields = lines.where(~F.contains("line", F.lit("\u2028"))).select("line_no", words(F.col("line")).alias("f"))
     valid = fields.where(F.size("f") == 2).select("line_no", F.get("f", F.lit(0)).alias("token"), F.get("f", F.lit(1)).alias("n"))
     usable = valid.where(~F.col("token").isin(list(specials)))
     first = usable.groupBy("token").agg(F.min(F.struct("line_no", "n")).alias("f")).select("token", "f.line_no", "f.n")

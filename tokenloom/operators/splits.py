@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.hashing import key_hash, uniform
 from .ranking import with_global_position, with_group_position, with_group_running_sum, with_running_sum
-from .tokentables import one_row_each
 
 
 def keyed_split(df: DataFrame, key: Column, seed: str, test_share: float) -> DataFrame:
@@ -95,32 +94,45 @@ def worker_ranges(df: DataFrame, key: str, workers: int) -> DataFrame:
     return placed.withColumn("worker", F.floor(F.col("_place") / share)).where(F.col("worker") < workers).drop("_place")
 
 
-def stream_cells(df: DataFrame, key: str, tokens: str, streams: int, steps: int, end: str = "</s>") -> DataFrame:
-    """(batch, stream, step, token) of the corpus laid out as parallel token streams.
+def stream_batches(df: DataFrame, key: str, tokens: str, streams: int, steps: int, end: str = "</s>") -> DataFrame:
+    """(batch, stream, tokens) of the corpus laid out as parallel token streams.
 
     All texts, each closed by an end mark, form one stream that is padded in
-    front and cut into ``streams`` columns; a batch is ``steps`` rows. The
-    first row is all end marks, so each batch starts with the row before it.
-    Offsets come from a running sum over texts; tokens are never numbered globally.
+    front and cut into ``streams`` columns. A batch is ``steps`` rows of all
+    columns; each column starts with one end mark and loses its last token.
+    Text offsets come from a running sum over texts, and every text is cut into
+    its pieces of a (batch, stream) cell at once, so pieces are shuffled, not
+    tokens, and a cell collects at most ``steps`` tokens.
     """
-    closed = df.select(key, F.array_append(F.col(tokens), F.lit(end)).alias("_t")).withColumn(
-        "_n", F.size("_t").cast("long"))
+    closed = df.select(key, F.array_append(F.col(tokens), F.lit(end)).alias("_t")).withColumn("_n", F.size("_t").cast("long"))
     summed = with_running_sum(closed.select(key, "_n"), [key], "_n", "_upto").select(key, (F.col("_upto") - F.col("_n")).alias("_start"))
     total = closed.agg(F.sum("_n")).scalar()
     batches = F.ceil(total / (streams * steps))
-    height = batches * steps
-    front = height * streams - total
-    cells = one_row_each(closed.select(key, "_t").join(summed, key), ["_start"], "_t", "token", "_i").select(
-        (F.col("_start") + F.col("_i") + front).alias("_at"), "token")
-    padding = df.sparkSession.range(1).select(F.explode(F.sequence(F.lit(0).cast("long"), front)).alias("_at")).where(
-        F.col("_at") < front).withColumn("token", F.lit(end))  # fewer than streams * steps rows
-    filled = cells.unionByName(padding)
-    # the reshaped column is shifted down by one row below the leading end marks
-    row = F.pmod(F.col("_at"), height) + 1
-    placed = filled.select(F.floor(F.col("_at") / height).alias("stream"), row.alias("row"), "token")
-    heads = df.sparkSession.range(streams).select(F.col("id").alias("stream"), F.lit(0).cast("long").alias("row"), F.lit(end).alias("token"))
-    return placed.unionByName(heads).where(F.col("row") < height).select(
-        F.floor(F.col("row") / steps).alias("batch"), "stream", (F.col("row") % steps).alias("step"), "token")
+    front = batches * steps * streams - total  # fewer than streams * steps end marks
+    placed = closed.join(summed, key).select((F.col("_start") + front).alias("_start"), "_t", "_n")
+    padding = df.sparkSession.range(1).select(
+        F.lit(0).cast("long").alias("_start"), F.array_repeat(F.lit(end), front.cast("int")).alias("_t"), front.alias("_n"))
+    # one place is lost to the leading end mark, so token i of the padded stream is at place i + 1;
+    # the place at which a column starts belongs to that mark
+    runs = placed.unionByName(padding.where(F.col("_n") > 0)).withColumn("_batches", batches)
+
+    def piece(cell: Column) -> Column:
+        taken = (cell % F.col("_batches") == 0) & (F.col("_start") + 1 <= cell * steps)
+        first = F.greatest(F.col("_start") + 1, cell * steps) + F.when(taken, 1).otherwise(0)
+        last = F.least(F.col("_start") + F.col("_n"), (cell + 1) * steps - 1)
+        length = F.greatest(last - first + 1, F.lit(0)).cast("int")
+        return F.struct(cell.alias("cell"), (first % steps).alias("step"),
+                        F.slice("_t", (first - F.col("_start")).cast("int"), length).alias("tokens"))
+
+    cells = F.sequence(F.floor((F.col("_start") + 1) / steps), F.floor((F.col("_start") + F.col("_n")) / steps))
+    pieces = runs.select("_batches", F.explode(F.transform(cells, piece)).alias("p")).select(
+        (F.col("p.cell") % F.col("_batches")).alias("batch"), F.floor(F.col("p.cell") / F.col("_batches")).alias("stream"),
+        "p.step", "p.tokens").where(F.col("stream") < streams)
+    heads = df.sparkSession.range(streams).select(
+        F.lit(0).cast("long").alias("batch"), F.col("id").alias("stream"), F.lit(0).cast("long").alias("step"), F.array(F.lit(end)).alias("tokens"))
+    gathered = F.array_sort(F.collect_list(F.struct("step", "tokens")))
+    return pieces.where(F.size("tokens") > 0).unionByName(heads).groupBy("batch", "stream").agg(gathered.alias("g")).select(
+        "batch", "stream", F.flatten("g.tokens").alias("tokens"))
 
 
 def last_numbered(names: DataFrame, name: str, pattern: str, n: int, upper: int | None = None) -> DataFrame:

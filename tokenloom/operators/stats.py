@@ -9,8 +9,8 @@ from .tokentables import one_row_each
 
 
 def two_digits(value: Column) -> Column:
-    """Rounds the binary value (0.145 gives 0.14), as the reported figures are."""
-    return F.rint(value * 100) / 100
+    """Two decimals, rounding the exact binary value half to even, as the reported figures are."""
+    return F.replace(F.format_number(value, 2), F.lit(","), F.lit("")).cast("double")
 
 
 def corpus_statistics(df: DataFrame, group: str, tokens: Column) -> DataFrame:

@@ -20,9 +20,9 @@ e AS (SELECT source, unnest(w) AS token FROM t),
 r AS (SELECT t.source, count(*) AS records, sum(len(w)) AS tokens FROM t GROUP BY source),
 u AS (SELECT source, count(DISTINCT token) AS u FROM e GROUP BY source)
 SELECT r.source, records::BIGINT AS records, tokens::BIGINT AS tokens, u::BIGINT AS unique_tokens, u::BIGINT AS unique_union,
-  round(tokens / records, 2) AS mean_length FROM r JOIN u USING (source)
+  printf('%.2f', tokens / records)::DOUBLE AS mean_length FROM r JOIN u USING (source)
 UNION ALL SELECT 'Fullset', sum(records)::BIGINT, sum(tokens)::BIGINT, (SELECT sum(u) FROM u)::BIGINT,
-  (SELECT count(DISTINCT token) FROM e)::BIGINT, round(sum(tokens) / sum(records), 2) FROM r""")
+  (SELECT count(DISTINCT token) FROM e)::BIGINT, printf('%.2f', sum(tokens) / sum(records))::DOUBLE FROM r""")
 def corpus_statistics(spark, folder):
     return stats.corpus_statistics(docs(spark, folder), "source", K.words(C("text")))
 
@@ -284,7 +284,7 @@ def sampling_weights(spark, folder):
 
 
 @query("a30_dataset_weights", """
-SELECT lang, round(count(*) / (SELECT count(*) FROM documents), 2) AS weight FROM documents GROUP BY lang""")
+SELECT lang, printf('%.2f', count(*) / (SELECT count(*) FROM documents))::DOUBLE AS weight FROM documents GROUP BY lang""")
 def dataset_weights(spark, folder):
     counts = docs(spark, folder).groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     return counts.select("lang", stats.two_digits(C("n") / counts.agg(F.sum("n")).scalar()).alias("weight"))

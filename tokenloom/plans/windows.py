@@ -135,10 +135,9 @@ r AS (SELECT spot // height AS stream, spot % height + 1 AS row, token FROM f WH
       UNION ALL SELECT unnest(range(0, 8)), 0, '</s>')
 SELECT (row // 64)::BIGINT AS batch, stream::BIGINT AS stream, count(*)::BIGINT AS steps, string_agg(token, ' ' ORDER BY row) AS tokens FROM r GROUP BY 1, 2""")
 def stream_batches(spark, folder):
-    cells = P.stream_cells(doc_words(spark, folder), "doc_id", "tokens", 8, 64)
-    listed = F.array_sort(F.collect_list(F.struct("step", "token")))
-    return cells.groupBy("batch", "stream").agg(listed.alias("c")).select(
-        as_long("batch"), as_long("stream"), F.size("c").cast("long").alias("steps"), F.array_join("c.token", " ").alias("tokens"))
+    laid = P.stream_batches(doc_words(spark, folder), "doc_id", "tokens", 8, 64)
+    return laid.select(as_long("batch"), as_long("stream"), F.size("tokens").cast("long").alias("steps"),
+                       F.array_join("tokens", " ").alias("tokens"))
 
 
 @query("w14_vocabulary_ids", f"SELECT token, n, id::BIGINT AS id FROM {vocab_sql(4)}")

@@ -51,9 +51,13 @@ def with_global_position(df: DataFrame, order, name: str = "position") -> DataFr
 
 
 def with_running_sum(df: DataFrame, order, value: str, name: str = "running",
-                     position: str | None = None) -> DataFrame:
-    """Adds the inclusive running sum of an integer column in the global order."""
-    rows = _ranged(df, order)
+                     position: str | None = None, costly: bool = True) -> DataFrame:
+    """Adds the inclusive running sum of an integer column in the global order.
+
+    Range partitioning reads its input twice, once to sample it. ``costly``
+    rows (sizes made by tokenising a text, say) are therefore written first.
+    """
+    rows = _ranged(durable(df) if costly else df, order)
     totals = rows.groupBy("_part").agg(F.sum(value).alias("_v"), F.count(F.lit(1)).alias("_n"))
     offsets = _offsets(totals, "_v", "_before")
     if position:

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import LongType
 
 from ..functions import text as T, tokens as K
+from ..session import placed_by
 
 ORDERS = (1, 2, 3, 4)
 
@@ -24,7 +25,7 @@ def _segments(predictions: DataFrame) -> DataFrame:
     refs = F.transform("refs", lambda r, i: F.struct((i + 1).alias("seg"), K.words(r).alias("tokens")))
     hyp = F.array(F.struct(F.lit(0).alias("seg"), K.words(F.col("hyp")).alias("tokens")))
     return (
-        predictions.select("id", "hyp", "refs").repartition("id")
+        placed_by(predictions.select("id", "hyp", "refs"), "id")
         .select("id", F.explode(F.concat(hyp, refs)).alias("s")).select("id", "s.seg", "s.tokens")
     )
 
@@ -133,7 +134,7 @@ def _closest_penalty() -> Column:
 def token_f1(predictions: DataFrame) -> DataFrame:
     """(id, precision, recall, f1) of the reference with the best F1; the first of equals."""
     hyp = F.array(F.struct(F.lit(0).alias("side"), F.col("h").alias("tokens")))
-    pairs = predictions.repartition("id").select(
+    pairs = placed_by(predictions, "id").select(
         "id", K.words(T.normalize_answer(F.col("hyp"))).alias("h"), F.col("hyp"), F.posexplode("refs").alias("ref_no", "ref"))
     sides = pairs.select("id", "ref_no", F.explode(F.concat(hyp, F.array(F.struct(
         F.lit(1).alias("side"), K.words(T.normalize_answer(F.col("ref"))).alias("tokens"))))).alias("s"))

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.hashing import key_hash, uniform
+from ..session import durable
 from .ranking import with_global_position, with_group_position, with_group_running_sum, with_running_sum
 
 
@@ -105,8 +106,9 @@ def stream_batches(df: DataFrame, key: str, tokens: str, streams: int, steps: in
     tokens, and a cell collects at most ``steps`` tokens.
     """
     closed = df.select(key, F.array_append(F.col(tokens), F.lit(end)).alias("_t")).withColumn("_n", F.size("_t").cast("long"))
-    summed = with_running_sum(closed.select(key, "_n"), [key], "_n", "_upto").select(key, (F.col("_upto") - F.col("_n")).alias("_start"))
-    total = closed.agg(F.sum("_n")).scalar()
+    sizes = durable(closed.select(key, "_n"))
+    summed = with_running_sum(sizes, [key], "_n", "_upto", costly=False).select(key, (F.col("_upto") - F.col("_n")).alias("_start"))
+    total = sizes.agg(F.sum("_n")).scalar()
     batches = F.ceil(total / (streams * steps))
     front = batches * steps * streams - total  # fewer than streams * steps end marks
     placed = closed.join(summed, key).select((F.col("_start") + front).alias("_start"), "_t", "_n")

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from pyspark.sql.types import StringType
 
 from ..functions.tokens import WORD_SYMBOL_OR_GAP
+from ..session import placed_by
 
 
 def one_row_each(df: DataFrame, keep: list[str], items: str, name: str, pos: str | None = None) -> DataFrame:
@@ -35,7 +36,7 @@ def words_with_offsets(df: DataFrame, key: str, text: str) -> DataFrame:
     partitioning, and each window holds a single text.
     """
     pieces = (
-        df.select(key, text).repartition(key)
+        placed_by(df.select(key, text), key)
         .select(key, F.posexplode(F.regexp_extract_all(F.col(text), F.lit(WORD_SYMBOL_OR_GAP), 1)).alias("pos", "token"))
     )
     up_to_here = W.partitionBy(key).orderBy("pos").rowsBetween(W.unboundedPreceding, 0)

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.tokens import strip
+from ..session import placed_by
 
 # Tags that are always closed in the given pages.
 BALANCED_TAGS = ["head", "title", "nav", "ul", "li", "a", "article", "h1", "div", "footer"]
@@ -23,7 +24,7 @@ def pieces(df: DataFrame, key: str, html: str) -> DataFrame:
     """(doc, pos, piece): tags and text runs in order."""
     cleaned = F.regexp_replace(html, NO_CONTENT, "")
     return (
-        df.select(F.col(key).alias("doc"), F.col(html)).repartition("doc")
+        placed_by(df.select(F.col(key).alias("doc"), F.col(html)), "doc")
         .select("doc", F.posexplode(F.regexp_extract_all(cleaned, F.lit(PIECES), 1)).alias("pos", "piece"))
     )
 

@@ -246,7 +246,7 @@ SELECT doc_id, round(avg(ln(n / size)), 5) AS score FROM t JOIN g USING (token),
 def sequence_score(spark, folder):
     per_doc = (docs(spark, folder).select("doc_id", F.explode(K.words(C("text"))).alias("token"))
                .groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("k")))
-    g = doc_counts(spark, folder)
+    g = per_doc.groupBy("token").agg(F.sum("k").alias("n"))
     scored = V.skewed_lookup(per_doc, g, "token", "n")
     logp = F.log(C("n") / g.agg(F.sum("n").cast("double")).scalar())
     return scored.groupBy("doc_id").agg(F.round(F.sum(C("k") * logp) / F.sum("k"), 5).alias("score"))

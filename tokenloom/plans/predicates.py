@@ -176,7 +176,7 @@ def quote_parity(spark, folder):
 SELECT doc_id, count(*)::BIGINT AS tokens, count(*) FILTER (WHERE length({S.strip(S.no_punct('w'))}) > 0)::BIGINT AS with_text
 FROM (SELECT doc_id, unnest({S.words('text')}) AS w FROM documents) GROUP BY doc_id""")
 def has_text(spark, folder):
-    rows = docs(spark, folder).select("doc_id", K.words(C("text")).alias("w")).where(F.size("w") > 0)
+    rows = docs(spark, folder).where(C("text").rlike(f"[^{K.SPACE[1:]}")).select("doc_id", K.words(C("text")).alias("w"))
     return rows.select("doc_id", F.size("w").cast("long").alias("tokens"),
                        F.size(F.filter("w", T.has_text)).cast("long").alias("with_text"))
 

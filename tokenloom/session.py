@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str = "*", partitions: int = 8, memory: str = "16g") -> SparkSession:
@@ -61,12 +61,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
     A file with a single row group is read by one task. Where the scan of a
     text table has fewer tasks than cores (small inputs only) its rows are
-    spread first; a large table is used as scanned, without this shuffle. The
-    spreading key is seeded by scan position, so a repeated task sends every
-    row to the same place, and costly text filters stay behind the spreading.
+    spread first; a large table is used as scanned, without this shuffle.
     """
     df = spark.read.parquet(f"{folder}/{name}.parquet")
     cores = spark.sparkContext.defaultParallelism
-    if name in LONG_TEXT_TABLES and df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores, F.rand(seed=7))
-    return df
+    spread = name in LONG_TEXT_TABLES and df.rdd.getNumPartitions() < cores
+    return df.repartition(cores) if spread else df
+
+
+def placed_by(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows hashed by key into the configured number of shuffle partitions.
+
+    For steps that make many rows out of each row after the shuffle: the number
+    is given so that small shuffled texts are not merged into few tasks.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)

@@ -8,7 +8,7 @@ from ..functions import arrays as A, tokens as K
 from ..operators import ranking, vocab as V
 from ..session import table
 from . import sql as S
-from .common import DOC_COUNTS_SQL, PAIRS_SQL, doc_counts, doc_words, docs, pairs, turns, vocab_sql
+from .common import PAIRS_SQL, doc_counts, doc_words, pairs, turns, vocab_sql
 from .registry import query
 
 C = F.col

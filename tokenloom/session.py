@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str = "*", partitions: int = 8, memory: str = "16g") -> SparkSession:
-    """Session for tests and the benchmark; clusters bring their own settings."""
+    """Session for tests and the benchmark; clusters bring their own settings.
+
+    Small files are cut into splits of 1 MB, so that a small table keeps every core busy.
+    """
     return (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("tokenloom")
@@ -24,22 +27,17 @@ def local_session(cores: str = "*", partitions: int = 8, memory: str = "16g") ->
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, taken from ``spark.checkpoint.dir``.
+    """Folder that every executor can reach: ``spark.checkpoint.dir``.
 
-    Only a local-mode session may fall back to a temporary folder: there all
-    tasks run on this machine.
+    A session without that setting (a test, say) gets a folder below its
+    warehouse, which executors share as well.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
-    folder = folder or context.getCheckpointDir()
-    if folder:
-        if context.getCheckpointDir() is None:
-            context.setCheckpointDir(folder)
-        return folder
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="tokenloom-"))
-    return context.getCheckpointDir()
+    folder = folder or context.getCheckpointDir() or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/stages"
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
+    return folder
 
 
 def durable(df: DataFrame) -> DataFrame:
@@ -53,6 +51,32 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written as Parquet below the shared folder and read back.
+
+    Cuts the lineage at files that outlive a lost executor and, unlike a
+    checkpoint, keeps column pruning. ``discard`` deletes the files.
+    """
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(*frames: DataFrame) -> None:
+    """Deletes the files of ``staged`` frames that nothing reads any more."""
+    for df in frames:
+        jvm = df.sparkSession.sparkContext._jvm
+        for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark's cleaner remove the shuffle files of finished jobs now rather than at its next periodic collection."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 LONG_TEXT_TABLES = {"documents", "pages", "conversations"}
 
 

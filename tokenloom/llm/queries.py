@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .exact import exact_groups
+from .neardup import near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -36,3 +37,8 @@ FROM d""")
 def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = exact_groups(documents(spark, folder))
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+@query("op10_minhash_near_dedup")
+def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(documents(spark, folder), width=4, percent=80)

@@ -101,3 +101,18 @@ def test_components_of_paths_stars_and_loops(spark):
 
 def test_signature_bound_is_loose():
     assert 0.6 * BANDS * ROWS < least_agreement(80) < 0.75 * BANDS * ROWS
+
+
+def test_bitmap_bound_never_rules_out_a_link():
+    import numpy as np
+    from tokenloom.llm.neardup import bitmap, possible
+    draw = np.random.default_rng(1)
+    for _ in range(300):
+        base = draw.integers(0, 2**64, int(draw.integers(5, 9000)), np.uint64)
+        kept = base[draw.random(len(base)) < draw.uniform(0.7, 1)]
+        other = np.unique(np.append(kept, draw.integers(0, 2**64, int(len(base) * draw.uniform(0, 0.2)), np.uint64)))
+        base = np.unique(base)
+        common = len(np.intersect1d(base, other))
+        linked = 100 * common >= 80 * (len(base) + len(other) - common)
+        x, y = (np.frombuffer(bitmap(s), np.uint64) for s in (base, other))
+        assert possible(x, len(base), y[None, :], np.array([len(other)]), 80)[0] or not linked

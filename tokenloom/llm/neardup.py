@@ -12,9 +12,11 @@
    compared. Confirmed links give components.
 4. Buckets that still hold several components are compared inside: members
    are dealt to blocks, each task compares the signatures of two blocks, and
-   only pairs of different components that may be similar leave it. Those are
-   confirmed on full sets as well. After this, any linked pair that shares a
-   bucket is in one component, whatever the bucket's size.
+   only pairs of different components that may be similar leave it. A bitmap of
+   each set bounds the similarity from above without loss, so few of the pairs
+   that leave are below the threshold. They are confirmed on full sets as well.
+   After this, any linked pair that shares a bucket is in one component,
+   whatever the bucket's size.
 
 Defined results: null and blank texts have no shingles and are linked with
 nothing. A text with fewer words than a shingle is one shingle, so it is linked
@@ -38,6 +40,7 @@ from .words import WordTable, mixed, slices, starts_of, window_hashes
 BANDS, ROWS = 32, 5
 BLOCK = 512  # members of a bucket that one task compares with as many others
 HASH_STEP = 4096  # shingles hashed at a time, so that the work stays in the cache
+BITMAP = 4096  # bits of a set's bitmap
 SPREAD = 5.0  # standard deviations below the expected agreement at which a signature rules a pair out
 SHINGLE_BASE = 0x9E3779B97F4A7C15
 
@@ -100,8 +103,15 @@ def _read(width: int):
     return run
 
 
+def bitmap(shingles: np.ndarray) -> bytes:
+    """One bit per residue of the shingle hashes."""
+    bits = np.zeros(BITMAP, bool)
+    bits[(shingles % np.uint64(BITMAP)).astype(np.int64)] = True
+    return np.packbits(bits).tobytes()
+
+
 def _sets(width: int):
-    """Batches of (key, text) -> key, sorted distinct shingle hashes."""
+    """Batches of (key, text) -> key, sorted distinct shingle hashes, how many, their bitmap."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = WordTable()
@@ -110,9 +120,11 @@ def _sets(width: int):
                 split = [text.lower().split() for text in texts]
                 counts = np.array([len(words) for words in split], np.int64)
                 shingles, per = _shingles(table, [word for words in split for word in words], counts, width)
-                sets = [np.unique(shingles[s:s + n]).tobytes() for s, n in zip(starts_of(per), per)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, len(texts)), pa.array(sets, pa.binary())],
-                                                 names=["key", "shingles"])
+                sets = [np.unique(shingles[s:s + n]) for s, n in zip(starts_of(per), per)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(start, len(texts)), pa.array([x.tobytes() for x in sets], pa.binary()),
+                     pa.array([len(x) for x in sets], pa.int64()), pa.array([bitmap(x) for x in sets], pa.binary())],
+                    names=["key", "shingles", "size", "bits"])
 
     return run
 
@@ -155,6 +167,17 @@ def _plausible(percent: int):
     return run
 
 
+def possible(bits: np.ndarray, size: int, others: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Whether a set may reach the threshold with each of the others.
+
+    A bit that only one bitmap has stands for at least one shingle that the
+    other set lacks, which bounds the common shingles from above.
+    """
+    common = np.minimum(size - np.bitwise_count(bits & ~others).sum(axis=1, dtype=np.int64),
+                        sizes - np.bitwise_count(others & ~bits).sum(axis=1, dtype=np.int64))
+    return 100 * common >= percent * (size + sizes - common)
+
+
 def _across(percent: int, key_type: pa.DataType):
     """One pair of blocks of a bucket -> plausible pairs of different components.
 
@@ -168,6 +191,8 @@ def _across(percent: int, key_type: pa.DataType):
         names = table.column("key").to_numpy()
         roots = table.column("root").to_numpy()
         signs = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint32).reshape(len(names), -1)
+        bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint64).reshape(len(names), -1)
+        sizes = table.column("size").to_numpy()
         left, right = np.flatnonzero(side == one), np.flatnonzero(side == other)
         found_a, found_b = [], []
         for i in left:
@@ -177,6 +202,8 @@ def _across(percent: int, key_type: pa.DataType):
             equal = signs[rest] == signs[i]
             near = equal.sum(axis=1) >= least
             rest, equal = rest[near], equal[near]
+            near = possible(bits[i], sizes[i], bits[rest], sizes[rest], percent)
+            rest, equal = rest[near], equal[near]
             if len(rest):
                 first = equal.reshape(len(rest), BANDS, ROWS).all(axis=2).argmax(axis=1) == band
                 found_a += [names[i]] * int(first.sum())
@@ -231,7 +258,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
         stars.join(signed.withColumnsRenamed({"key": "a", "signature": "x"}), "a").join(signs, "b").select("a", "b", "x", "y")
         .mapInArrow(_plausible(percent), "a bigint, b bigint"), "neardup-likely")
     candidates = shared.select("key").distinct()
-    sets = staged(rows.join(candidates, "key").select("key", "text").mapInArrow(_sets(width), "key bigint, shingles binary")
+    sets = staged(rows.join(candidates, "key").select("key", "text").mapInArrow(_sets(width), "key bigint, shingles binary, size bigint, bits binary")
                   .dropDuplicates(["key"]), "neardup-sets")
     release(spark)
     links = _links(likely, sets, percent)
@@ -244,9 +271,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     dealt = (
         placed.select("key", "root", "bucket").join(split, "bucket").join(signed, "key")
+        .join(sets.select("key", "size", "bits"), "key")
         .withColumn("block", F.pmod(F.xxhash64("key"), blocks).cast("int"))
         .withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .select("bucket", "band", "key", "root", "signature", "block",
+        .select("bucket", "band", "key", "root", "signature", "size", "bits", "block",
                 F.least("block", "with").alias("one"), F.greatest("block", "with").alias("other"))
     )
     across = (dealt.groupBy("bucket", "one", "other")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .exact import exact_groups
 from .neardup import near_duplicates
+from .passages import without_repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -42,3 +43,9 @@ def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_minhash_near_dedup")
 def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(documents(spark, folder), width=4, percent=80)
+
+
+@query("op9_substring_dedup")
+def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    report, _ = without_repeats(documents(spark, folder))
+    return report.select("doc_id", "n_words", "n_removed", F.lower(F.hex("kept_digest")).alias("kept_sha256"))

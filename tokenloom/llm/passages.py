@@ -154,12 +154,13 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     release(spark)
     windows = texts.mapInArrow(_extended, "window bigint, window2 bigint, key bigint")
     earliest = windows.groupBy("window", "window2").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low < high")
-    gone = (windows.join(earliest.drop("high"), ["window", "window2"]).where("key > low")
-            .groupBy("key").agg(F.collect_set("window").alias("gone")))
+    gone = staged(windows.join(earliest.drop("high"), ["window", "window2"]).where("key > low")
+                  .groupBy("key").agg(F.collect_set("window").alias("gone")), "passages-gone")
+    release(spark)
     fixed = staged(
         texts.join(gone, "key").select("key", "text", "places", "gone")
         .mapInArrow(_removed, "key bigint, digest binary, n_removed bigint, kept_digest binary, kept_text string"), "passages-fixed")
-    discard(places, texts)
+    discard(places, texts, gone)
     release(spark)
     copy = F.col("key").isNotNull() & (F.col("key") != F.col("first"))
     report = (

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from . import language, quality
 from .exact import exact_groups
 from .neardup import near_duplicates
 from .passages import without_repeats
@@ -49,3 +50,20 @@ def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     report, _ = without_repeats(documents(spark, folder))
     return report.select("doc_id", "n_words", "n_removed", F.lower(F.hex("kept_digest")).alias("kept_sha256"))
+
+
+@query("op5_language_id")
+def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    held_out = language.fold("doc_id", 3) == 1
+    model = language.learn(docs.where(~F.coalesce(held_out, F.lit(True))))
+    return language.predict(docs, model).select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+@query("op7_quality_classifier")
+def op7_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    held_out = language.fold("doc_id", 5) == 0
+    labels = spark.read.parquet(f"{folder}/labels.parquet").where(~F.coalesce(held_out, F.lit(True)))
+    return quality.score(docs, quality.learn(docs, labels)).select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import language, quality
+from . import language, quality, tokenbin
 from .exact import exact_groups
 from .neardup import near_duplicates
+from .neighbours import nearest_neighbours
 from .passages import without_repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +69,15 @@ def op7_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     labels = spark.read.parquet(f"{folder}/labels.parquet").where(~F.coalesce(held_out, F.lit(True)))
     return quality.score(docs, quality.learn(docs, labels)).select(
         "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query("op2_token_ids")
+def op2_token_ids(spark: SparkSession, folder: str) -> DataFrame:
+    parts, place, kind = tokenbin.write_tokens(documents(spark, folder), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return tokenbin.read_tokens(parts, place, kind).withColumnRenamed("key", "doc_id")
+
+
+@query("op4_nearest_neighbours")
+def op4_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    rows = spark.read.parquet(f"{folder}/embeddings.parquet")
+    return nearest_neighbours(rows, rows.where("vec_id % 20 = 0"), k=20)

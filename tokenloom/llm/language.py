@@ -27,6 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .words import slices, starts_of
 
@@ -175,6 +176,21 @@ def predict(docs: DataFrame, model: Languages, key: str = "doc_id", text: str =
     return rows.mapInArrow(run, f"key {kind}, lang_pred string, score double").withColumnRenamed("key", key)
 
 
+def predict_onto(docs: DataFrame, model: Languages, text: str = "text", column: str = "lang_pred") -> DataFrame:
+    """The rows with their predicted language in one more column."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    docs = docs.drop(column)
+    place, names = docs.columns.index(text), [*docs.columns, column]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start, texts in slices(batch, place):
+                found, _ = shared.value.best([t.decode() for t in texts])
+                yield pa.RecordBatch.from_arrays([*batch.slice(start, len(texts)).columns, pa.array(found, pa.string())], names=names)
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(column, StringType())]))
+
+
 def fold(key: str, folds: int) -> Column:
     """crc32 of the key as text, modulo ``folds``."""
     return F.crc32(F.col(key).cast("string").cast("binary")) % folds

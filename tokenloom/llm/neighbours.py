@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from ..session import discard, staged
 from .files import array, attempt_name, new_folder, output, rows_each
 
-SHARD = 4096
+SHARD = 8192
 LINKS, BEAM_BUILD, BEAM_SEARCH = 16, 64, 128
 BATCH = 256
 INTEGERS = ("ids", "owners", "nodes", "links")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import language, quality, tokenbin
+from . import language, linetemplates, mixing, mixing_sql, pieces, quality, tokenbin
 from .exact import exact_groups
 from .neardup import near_duplicates
 from .neighbours import nearest_neighbours
@@ -81,3 +81,27 @@ def op2_token_ids(spark: SparkSession, folder: str) -> DataFrame:
 def op4_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     rows = spark.read.parquet(f"{folder}/embeddings.parquet")
     return nearest_neighbours(rows, rows.where("vec_id % 20 = 0"), k=20)
+
+
+@query("op3_sentencepiece")
+def op3_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.report(documents(spark, folder), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op6_line_dedup")
+def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = linetemplates.without_repeated_lines(documents(spark, folder))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+@query("op8_mix_sources", mixing_sql.MIX)
+def op8_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(documents(spark, folder).select("doc_id", "source", "text")).select(
+        "doc_id", "source", "epoch", F.round("place", 6).alias("place"))
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, folder)

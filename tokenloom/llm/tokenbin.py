@@ -6,9 +6,11 @@ first is 0) and ``.keys``. Parts follow one another in key order; where a part
 begins in the whole sequence of ids is the prefix sum of the parts before it,
 one number a part. Files are read back memory-mapped.
 
-Texts are cut at ASCII white space and each distinct run is encoded once per
-task: the tokenizer drops white space and never joins across it. The table of
-runs is emptied when it is full, so memory does not grow with the corpus.
+Texts are cut at ASCII white space, and each distinct run is encoded once per
+worker process: the tokenizer drops white space and never joins across it. It
+also lower-cases, and it cuts between letters and the punctuation after them, so
+a run of letters with closing punctuation is looked up by its letters. The
+tables are emptied when they are full, so memory does not grow with the corpus.
 
 Defined results: null and empty texts hold the end id only. A null key sorts
 first (its key is stored as the smallest 64-bit integer). Rows that repeat a key
@@ -27,35 +29,59 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from ..session import discard, release, staged
+from ..session import release, staged
 from .files import array, attempt_name, new_folder, output, rows_each
 from .words import slices
 
-TABLE_RUNS = 300_000
+TABLE_RUNS, TABLE_PIECES = 300_000, 1_200_000
+CLOSING = ".,!?;:"
 NO_KEY = -(2**63)
 
 
 class Encoder:
     """Encodes texts run by run with a tokenizers file."""
 
+    _opened: dict[str, "Encoder"] = {}
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks already use all cores
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = id_type(path)
-        self.table: dict[bytes, bytes] = {}
+        self.runs: dict[bytes, bytes] = {}  # white-space runs -> ids
+        self.pieces: dict[str, bytes] = {}  # what the tokenizer was asked -> ids
+
+    @classmethod
+    def of(cls, path: str) -> "Encoder":
+        """The worker process's encoder of this file; its tables serve all tasks that run there."""
+        if path not in cls._opened:
+            cls._opened[path] = cls(path)
+        return cls._opened[path]
+
+    @staticmethod
+    def _parts(run: bytes) -> tuple[str, str]:
+        """A run as two texts whose ids follow one another."""
+        text = run.decode()
+        letters = text.rstrip(CLOSING)
+        if letters.isalpha():  # no apostrophes, marks or special tokens, so the cut and the case do not matter
+            return (letters.encode().lower().decode(), text[len(letters):])
+        return text, ""
 
     def encode(self, texts: list[bytes], end: bytes) -> list[bytes]:
         split = [text.split() for text in texts]
-        new = list({run for runs in split for run in runs if run not in self.table})
-        if new:
-            if len(self.table) + len(new) > TABLE_RUNS:
-                self.table.clear()
-                new = list({run for runs in split for run in runs})
-            for run, found in zip(new, self.tokenizer.encode_batch([run.decode() for run in new], add_special_tokens=False)):
-                self.table[run] = np.array(found.ids, self.dtype).tobytes()
-        look = self.table.__getitem__
+        if len(self.runs) > TABLE_RUNS:
+            self.runs.clear()
+        if len(self.pieces) > TABLE_PIECES:
+            self.pieces = {"": b""}
+        self.pieces.setdefault("", b"")
+        cut = {run: self._parts(run) for runs in split for run in runs if run not in self.runs}
+        new = list({part for parts in cut.values() for part in parts if part not in self.pieces})
+        for part, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+            self.pieces[part] = np.array(found.ids, self.dtype).tobytes()
+        for run, (first, second) in cut.items():
+            self.runs[run] = self.pieces[first] + self.pieces[second]
+        look = self.runs.__getitem__
         return [b"".join(map(look, runs)) + end for runs in split]
 
 
@@ -73,27 +99,18 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, key: str = "doc_i
     end = np.array([end_id], dtype).tobytes()
     rows = docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).cast("string").alias("text"))
 
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
-        for batch in batches:
-            for start, texts in slices(batch, 1):
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(start, len(texts)), pa.array(encoder.encode(texts, end), pa.binary())], names=["key", "ids"])
-
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name, width = attempt_name(), np.dtype(dtype).itemsize
+        name, width, encoder = attempt_name(), np.dtype(dtype).itemsize, Encoder.of(tokenizer)
         keys, ends, total = [], [np.zeros(1, np.int64)], 0
         stream = None
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            stream = stream or output(f"{folder}/{name}.ids")
-            lengths = np.array([len(ids) // width for ids in batch.column(1).to_pylist()], np.int64)
-            for ids in batch.column(1):
-                stream.write(ids.as_buffer())
-            ends.append(total + np.cumsum(lengths))
-            total = int(ends[-1][-1])
-            keys.append(batch.column(0).fill_null(NO_KEY).to_numpy())
+            for start, texts in slices(batch, 1):
+                stream = stream or output(f"{folder}/{name}.ids")
+                encoded = encoder.encode(texts, end)
+                stream.write(b"".join(encoded))
+                ends.append(total + np.cumsum([len(ids) // width for ids in encoded]))
+                total = int(ends[-1][-1])
+                keys.append(batch.column(0).slice(start, len(texts)).fill_null(NO_KEY).to_numpy())
         if stream:
             stream.close()
             for suffix, parts in (("offsets", ends), ("keys", keys)):
@@ -102,10 +119,9 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, key: str = "doc_i
             yield pa.RecordBatch.from_pydict({"part": [TaskContext.get().partitionId()], "name": [name],
                                               "docs": [sum(map(len, keys))], "tokens": [total]})
 
-    encoded = staged(rows.mapInArrow(encode, "key bigint, ids binary"), "tokens-encoded")  # sampling the ranges must not encode twice
-    parts = staged(encoded.repartitionByRange("key").sortWithinPartitions("key")
+    # ranges are sampled from the plain rows, so no text is encoded twice
+    parts = staged(rows.repartitionByRange("key").sortWithinPartitions("key")
                    .mapInArrow(write, "part bigint, name string, docs bigint, tokens bigint"), "tokens-parts")
-    discard(encoded)
     release(spark)
     before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)  # one row a part
     return parts.withColumn("base", F.coalesce(F.sum("tokens").over(before), F.lit(0))), folder, dtype

@@ -33,7 +33,7 @@ from ..session import release, staged
 from .files import array, attempt_name, new_folder, output, rows_each
 from .words import slices
 
-TABLE_RUNS, TABLE_PIECES = 300_000, 1_200_000
+TABLE_RUNS, TABLE_PIECES = 700_000, 1_200_000
 CLOSING = ".,!?;:"
 NO_KEY = -(2**63)
 
@@ -62,6 +62,8 @@ class Encoder:
     @staticmethod
     def _parts(run: bytes) -> tuple[str, str]:
         """A run as two texts whose ids follow one another."""
+        if run.isalpha():  # of bytes: A-Z and a-z only
+            return run.lower().decode(), ""
         text = run.decode()
         letters = text.rstrip(CLOSING)
         if letters.isalpha():  # no apostrophes, marks or special tokens, so the cut and the case do not matter

@@ -30,7 +30,7 @@ def new_lines(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 def one_of_each_group(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """The document with the smallest id of each group of near copies."""
     gone = near_duplicates(docs, width=WIDTH, percent=PERCENT).where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(gone.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

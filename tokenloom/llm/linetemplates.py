@@ -142,7 +142,8 @@ def without_repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "te
     """The rows with shortened texts, and n_lines and n_dropped. Columns of these names are replaced."""
     dropped = repeated_lines(docs, key, text, min_docs, min_tokens).withColumnsRenamed({"key": "_of", "lines": "_lines"})
     plain = docs.drop("n_lines", "n_dropped")
-    joined = plain.join(dropped, F.col(key).cast("bigint") == F.col("_of"), "left").select(*plain.columns, "_lines")
+    # merged by key at every size, so that small and large tables take the same plan
+    joined = plain.join(dropped.hint("merge"), F.col(key).cast("bigint") == F.col("_of"), "left").select(*plain.columns, "_lines")
     place, last, names = plain.columns.index(text), len(plain.columns), [*plain.columns, "n_lines", "n_dropped"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

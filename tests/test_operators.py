@@ -197,8 +197,8 @@ def test_stream_layout(spark):
     assert got == want
 
 
-def test_split_conserves_rows(spark):
-    parts = splits.train_valid_test(spark.range(107).withColumnRenamed("id", "k"), "k", "s", 10)
+def test_exact_split_has_equal_shards(spark):
+    parts = splits.train_valid_test(spark.range(107).withColumnRenamed("id", "k"), "k", "s", 10, exact=True)
     counts = {(r["split"], r["shard"]): r["count"] for r in parts.groupBy("split", "shard").count().collect()}
     assert counts == {("valid", None): 10, ("test", None): 10, **{("train", i): 10 for i in range(8)}}
 
@@ -342,8 +342,18 @@ def test_constrained_pieces(spark):
 
 
 def test_isolate_terms(spark):
-    got = texts(spark, ["1934USABUSA", "USA", "none"]).orderBy("id").select(B.isolate_terms(C("text"), "USA")).collect()
-    assert [r[0] for r in got] == [["1934", "USA", "B", "USA"], ["USA"], ["none"]]
+    got = texts(spark, ["redKMblueKMKM", "KM", "plain", "7KM"]).orderBy("id").select(B.isolate_terms(C("text"), "KM")).collect()
+    assert [r[0] for r in got] == [["red", "KM", "blue", "KM", "KM"], ["KM"], ["plain"], ["7", "KM"]]
+
+
+def test_splits_keep_every_row(spark):
+    for n in (0, 1, 6, 7, 9, 20, 25, 30):
+        df = spark.range(n).withColumnRenamed("id", "k")
+        split = splits.train_valid_test(df, "k", "s", 10).collect()
+        assert len(split) == n and all(r["shard"] is None or 0 <= r["shard"] < 8 for r in split)
+        ranges = [r["worker"] for r in splits.worker_ranges(df, "k", 7).orderBy("k").collect()]
+        sizes = sorted((ranges.count(w) for w in range(7)), reverse=True)
+        assert ranges == sorted(ranges) and sizes == [ranges.count(w) for w in range(7)] and sizes[0] - sizes[-1] <= 1 and sum(sizes) == n
 
 
 def test_encoded_texts_restore(spark):

@@ -24,16 +24,18 @@ def shuffled(df: DataFrame, key: str, seed: str) -> DataFrame:
     return with_global_position(hashed, ["_h", key], "place").drop("_h")
 
 
-def train_valid_test(df: DataFrame, key: str, seed: str, held_out: int, shards: int = 8) -> DataFrame:
-    """(key, split, shard): ``held_out`` rows each for valid and test, the rest in equal train shards.
+def train_valid_test(df: DataFrame, key: str, seed: str, held_out: int, shards: int = 8, exact: bool = False) -> DataFrame:
+    """(key, split, shard): ``held_out`` rows each for valid and test, the rest in train shards of equal size.
 
-    Rows beyond the last full train shard are left out, as in the known files.
+    Rows beyond the last full shard go to the last one; ``exact`` leaves them
+    out instead, as in the known files.
     """
     placed = shuffled(df, key, seed)
-    shard_size = F.floor((df.agg(F.count(F.lit(1))).scalar() - 2 * held_out) / shards)
-    shard = F.floor((F.col("place") - 2 * held_out) / shard_size)
+    size = F.greatest(F.lit(1), F.floor((df.agg(F.count(F.lit(1))).scalar() - 2 * held_out) / shards))
+    shard = F.floor((F.col("place") - 2 * held_out) / size)
     split = F.when(F.col("place") < held_out, "valid").when(F.col("place") < 2 * held_out, "test").otherwise("train")
-    cut = placed.withColumn("split", split).withColumn("shard", F.when(F.col("split") == "train", shard))
+    cut = placed.withColumn("split", split).withColumn(
+        "shard", F.when(F.col("split") == "train", shard if exact else F.least(shard, F.lit(shards - 1))))
     return cut.where((F.col("split") != "train") | (F.col("shard") < shards)).drop("place")
 
 
@@ -88,11 +90,21 @@ def cap_batches(batched: DataFrame, batch: str, key: str, seed: str, cap: int) -
     return batched.withColumn("_rank", rank).where(F.col("_rank") <= cap).drop("_rank")
 
 
-def worker_ranges(df: DataFrame, key: str, workers: int) -> DataFrame:
-    """(key, worker): equal contiguous ranges in key order, the remainder left out."""
+def worker_ranges(df: DataFrame, key: str, workers: int, exact: bool = False) -> DataFrame:
+    """(key, worker): contiguous ranges in key order whose sizes differ by at most one, the larger ones first.
+
+    With ``exact`` all ranges are equal and the remainder is left out.
+    """
     placed = with_global_position(df.select(key), [key], "_place")
-    share = F.floor(df.agg(F.count(F.lit(1))).scalar() / workers)
-    return placed.withColumn("worker", F.floor(F.col("_place") / share)).where(F.col("worker") < workers).drop("_place")
+    count = df.agg(F.count(F.lit(1))).scalar()
+    size = F.greatest(F.lit(1), F.floor(count / workers))
+    if exact:
+        return placed.withColumn("worker", F.floor(F.col("_place") / size)).where(F.col("worker") < workers).drop("_place")
+    larger = F.pmod(count, F.lit(workers))
+    first = larger * (F.floor(count / workers) + 1)
+    worker = F.when(F.col("_place") < first, F.floor(F.col("_place") / (F.floor(count / workers) + 1))).otherwise(
+        larger + F.floor((F.col("_place") - first) / size))
+    return placed.withColumn("worker", worker).drop("_place")
 
 
 def stream_batches(df: DataFrame, key: str, tokens: str, streams: int, steps: int, end: str = "</s>") -> DataFrame:

@@ -22,7 +22,6 @@ BETWEEN = CLOSE + OPEN
 # Fixed values.
 END_OF_WORD = "</w>"
 SEPARATOR = "@@"
-MOST_MERGES = 50_000
 
 Merge = tuple[str, str]
 
@@ -76,10 +75,9 @@ def independent_prefix(ranked: list[tuple[str, str, int]], complete: bool) -> li
 def learn_merges(counts: DataFrame, merges: int, candidates: int = 64, freeze_every: int = 10) -> list[Merge]:
     """Merge list by falling pair count, ties by the two symbols.
 
-    Each round brings at most ``candidates`` pairs to the driver; the merge
-    list itself is bounded by ``MOST_MERGES``.
+    Each round brings at most ``candidates`` pairs to the driver, which also
+    holds the merge list, as long as the caller asked for.
     """
-    merges = min(merges, MOST_MERGES)
     base = durable(counts.select("n", as_symbols(F.col("token")).alias("symbols")))
     learned: list[Merge] = []
     pending: list[Merge] = []

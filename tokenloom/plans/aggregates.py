@@ -134,7 +134,7 @@ r AS (SELECT token, count(*) AS n FROM t ANTI JOIN v USING (token) GROUP BY toke
 SELECT 'nseq' AS stat, count(*)::BIGINT AS n FROM documents
 UNION ALL SELECT 'ntok', (count(*) + (SELECT count(*) FROM documents))::BIGINT FROM t
 UNION ALL SELECT 'nunk', sum(n)::BIGINT FROM r
-UNION ALL SELECT 'replaced:' || token, n::BIGINT FROM r WHERE n >= 5""")
+UNION ALL SELECT 'replaced:' || token, n::BIGINT FROM r""")
 def indexing_statistics(spark, folder):
     # every sequence also counts its end mark
     counts = doc_counts(spark, folder)
@@ -144,7 +144,7 @@ def indexing_statistics(spark, folder):
     ntok = counts.agg(F.lit("ntok").alias("stat"), F.sum("n").alias("n")).select(
         "stat", (C("n") + nseq.select("n").scalar()).alias("n"))
     nunk = replaced.agg(F.lit("nunk").alias("stat"), F.sum("n").alias("n"))
-    words = replaced.where(C("n") >= 5).select(F.concat(F.lit("replaced:"), "token").alias("stat"), "n")
+    words = replaced.select(F.concat(F.lit("replaced:"), "token").alias("stat"), "n")
     return nseq.unionByName(ntok).unionByName(nunk).unionByName(words)
 
 

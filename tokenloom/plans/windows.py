@@ -27,6 +27,11 @@ k AS (SELECT doc_id, lang, CASE WHEN place < 20 THEN 'valid' WHEN place < 40 THE
 
 @query("w02_train_valid_test", f"WITH {_SPLIT} SELECT doc_id, split, shard::BIGINT AS shard FROM k WHERE split <> 'train' OR shard < 8")
 def train_valid_test(spark, folder):
+    return P.train_valid_test(docs(spark, folder).select("doc_id"), "doc_id", "w2", 20, exact=True).withColumn("shard", as_long("shard"))
+
+
+@query("w02_train_valid_test_all_rows", f"WITH {_SPLIT} SELECT doc_id, split, CASE WHEN split = 'train' THEN least(shard, 7) END::BIGINT AS shard FROM k")
+def train_valid_test_all_rows(spark, folder):
     return P.train_valid_test(docs(spark, folder).select("doc_id"), "doc_id", "w2", 20).withColumn("shard", as_long("shard"))
 
 
@@ -121,6 +126,11 @@ def capped_batches(spark, folder):
 WITH p AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS place, count(*) OVER () AS n FROM documents)
 SELECT doc_id, (place // (n // 7))::BIGINT AS worker FROM p WHERE place // (n // 7) < 7""")
 def worker_ranges(spark, folder):
+    return P.worker_ranges(docs(spark, folder), "doc_id", 7, exact=True).select("doc_id", as_long("worker"))
+
+
+@query("w12_worker_ranges_all_rows", "SELECT doc_id, (ntile(7) OVER (ORDER BY doc_id) - 1)::BIGINT AS worker FROM documents")
+def worker_ranges_all_rows(spark, folder):
     return P.worker_ranges(docs(spark, folder), "doc_id", 7).select("doc_id", as_long("worker"))
 
 

@@ -417,6 +417,48 @@ def test_node_table(spark):
         ("z", 3, 5, 1, 1), ("h1", 1, 0, 2, 2), ("t", 2, 7, 2, 2), ("div", 1, 0, 3, 2), ("footer", 0, None, 3, 3), ("f", 1, 10, 3, 3)]
 
 
+def outline(spark, html):
+    df = spark.createDataFrame([(1, html)], "page long, html string")
+    rows = trees.nodes(trees.events(df, "page", "html")).orderBy("node_id").collect()
+    assert all(r["last_node"] is not None and r["last_leaf"] is not None for r in rows)
+    return " ".join(str(r["level"]) + (r["label"] or repr(r["value"])) for r in rows)
+
+
+@pytest.mark.parametrize("html, expected", [
+    ("<table><tr><td>x", "0table 1tr 2td 3'x'"),
+    ("<TABLE><TR><TD>a<td>b<tr><td>c</TABLE>d", "0table 1tr 2td 3'a' 2td 3'b' 1tr 2td 3'c' 0'd'"),
+    ("<ul><li>a<li><ul><li>b</ul>c<li>d</ul>", "0ul 1li 2'a' 1li 2ul 3li 4'b' 2'c' 1li 2'd'"),
+    ("<p><b>x<br>y<p>z</p></p>w", "0p 1b 2'x' 2br 2'y' 0p 1'z' 0'w'"),
+    ("<html><head><meta a=b><title>t</title><body>x", "0html 1head 2meta 2title 3't' 1body 2'x'"),
+    ("</div>a < b<x-y q='1'>c</nope></x-y>", "0'a' 0'< b' 0x-y 1'c'"),
+    ("<dl><dt>k<dd>v<dt>l</dl><select><option>1<option>2</select>", "0dl 1dt 2'k' 1dd 2'v' 1dt 2'l' 0select 1option 2'1' 1option 2'2'"),
+    ("<!DOCTYPE html><SCRIPT>var t='<p>'</SCRIPT><!-- <i> -->t<em", "0't' 0'<em'"),
+])
+def test_pages_that_are_not_well_formed(spark, html, expected):
+    assert outline(spark, html) == expected
+
+
+def test_page_balance(spark):
+    df = spark.createDataFrame([(1, "<div><p>a<p>b<br></div></i>"), (2, ""), (3, None)], "page long, html string")
+    rows = {r["doc"]: (r["opened"], r["implied"], r["ignored"]) for r in trees.balance_report(df, "page", "html").collect()}
+    assert rows[1] == (3, 2, 1) and rows[2] == rows[3] == (0, 0, 0)
+
+
+def test_words_of_longer_leaves_are_split(spark):
+    df = spark.createDataFrame([(1, "<a>lower lower</a><b>lower</b>")], "page long, html string")
+    merged = trees.merge_trees(trees.split_trees(trees.nodes(trees.events(df, "page", "html"))))
+    known = spark.createDataFrame([("lower", 3, ["low", "er"])], "token string, n long, pieces array<string>")
+    got = sorted(tuple(r) for r in trees.subword_children(merged, known, K.words).select("node_id", "word_no", "piece", "label").collect())
+    assert got == [(2, 0, "er", "a_bpe"), (2, 0, "low", "a_bpe"), (2, 1, "er", "a_bpe"), (2, 1, "low", "a_bpe"),
+                   (4, 0, "er", "b_bpe"), (4, 0, "low", "b_bpe")]
+
+
+def test_covered_leaves(spark):
+    merged = trees.merge_trees(trees.split_trees(page_nodes(spark)))
+    got = {r["node_id"]: (r["leaves"], r["total"]) for r in trees.covered_leaves(merged, F.length).collect()}
+    assert got[0] == (4, 6) and got[1] == (3, 5) and got[2] == (2, 4) and 10 not in got
+
+
 def test_tree_summary_and_merge_order(spark):
     merged = trees.merge_trees(trees.split_trees(page_nodes(spark)))
     row = trees.leaves_labels_spans(merged).first()

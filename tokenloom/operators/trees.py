@@ -1,5 +1,11 @@
 """Trees as node tables: one row per node, numbered in preorder within its document.
 
+Tags of any name are kept. A page need not be well formed: void tags are nodes
+without children, end tags that may be left out are implied by what follows, an
+end tag closes what is still open inside its element, end tags without an open
+element are ignored, and the end of the page closes the rest. Every page
+therefore gives a balanced stream of events.
+
 Texts are hashed to tasks by document once; tags are cut out after that, so
 every window by document (or document and level) reuses that placement. A
 window never holds more than one document. Node spans come from running
@@ -8,38 +14,139 @@ counts, not from comparing nodes with leaves.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from collections import Counter
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from ..functions.tokens import strip
 from ..session import placed_by
 
-# Tags that are always closed in the given pages.
-BALANCED_TAGS = ["head", "title", "nav", "ul", "li", "a", "article", "h1", "div", "footer"]
-NO_CONTENT = "(?s)<script.*?</script>|<style.*?</style>|<!--.*?-->"
-PIECES = "(<[^>]*>|[^<]+)"
-TAG_NAME = "^</?([a-z0-9]+)"
+NO_CONTENT = "(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->"
+# a tag, a declaration, or text; "<" that begins neither starts a text
+PIECES = "(</?[A-Za-z][^>]*>|<[!?][^>]*>|<[^<]*|[^<]+)"
+TAG_NAME = "^</?([A-Za-z][A-Za-z0-9:-]*)[^>]*>$"
+
+# Fixed values of HTML: elements without content, and start tags that end an
+# open element (first set) unless an element of the second set lies between.
+VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+_BLOCKS = ("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
+           "header hr main menu nav ol p pre section table ul")
+_P_SCOPE = "button caption html object table td template th"
+_RULES = [
+    (_BLOCKS, "p", _P_SCOPE),
+    ("li", "li", "ul ol menu"),
+    ("dt dd", "dt dd", "dl"),
+    ("td th", "td th", "tr table"),
+    ("tr", "tr", "table"),
+    ("thead tbody tfoot", "thead tbody tfoot", "table"),
+    ("option", "option", "select"),
+    ("optgroup", "option optgroup", "select"),
+    ("body", "head", "html"),
+]
+ENDS = {tag: (frozenset(ended.split()), frozenset(scope.split())) for tags, ended, scope in _RULES for tag in tags.split()}
 
 
 def pieces(df: DataFrame, key: str, html: str) -> DataFrame:
     """(doc, pos, piece): tags and text runs in order."""
-    cleaned = F.regexp_replace(html, NO_CONTENT, "")
-    return (
-        placed_by(df.select(F.col(key).alias("doc"), F.col(html)), "doc")
-        .select("doc", F.posexplode(F.regexp_extract_all(cleaned, F.lit(PIECES), 1)).alias("pos", "piece"))
-    )
+    return _cut(df, key, html).select("doc", F.posexplode("cut").alias("pos", "piece"))
 
 
-def events(df: DataFrame, key: str, html: str, tags: list[str] = BALANCED_TAGS) -> DataFrame:
-    """(doc, pos, kind, label, value): opening and closing of kept tags, and non-blank texts."""
-    cut = pieces(df, key, html).withColumn("label", F.regexp_extract("piece", TAG_NAME, 1))
-    kept = F.col("label").isin(tags)
-    kind = (
-        F.when(F.col("piece").startswith("</"), F.when(kept, "close"))
-        .when(F.col("piece").startswith("<"), F.when(kept, "open"))
-        .when(strip(F.col("piece")) != "", "text")
-    )
-    return cut.withColumn("kind", kind).where(F.col("kind").isNotNull()).select(
-        "doc", "pos", "kind", "label", F.when(F.col("kind") == "text", strip(F.col("piece"))).alias("value"))
+def _cut(df: DataFrame, key: str, html: str) -> DataFrame:
+    cleaned = F.regexp_replace(F.coalesce(html, F.lit("")), F.lit(NO_CONTENT), F.lit(""))  # a null page has no nodes
+    return placed_by(df.select(F.col(key).alias("doc"), F.col(html)), "doc").select(
+        "doc", F.regexp_extract_all(cleaned, F.lit(PIECES), 1).alias("cut"))
+
+
+def closings(marks: list[str]) -> list[tuple[int, bool]]:
+    """For each mark, how many elements end before it and whether it counts; one more entry for the end of the page.
+
+    A mark is ``+name`` for a start tag, ``-name`` for an end tag, anything else for text.
+    """
+    stack, held, out = [], Counter(), []
+
+    def end(depth: int) -> int:
+        gone = len(stack) - depth
+        for _ in range(gone):
+            held[stack.pop()] -= 1
+        return gone
+
+    for mark in marks:
+        kind, name = mark[:1], mark[1:]
+        before, counts = 0, True
+        if kind == "-":
+            counts = held[name] > 0
+            if counts:
+                depth = len(stack) - 1
+                while stack[depth] != name:
+                    depth -= 1
+                before = end(depth) - 1
+        elif kind == "+":
+            ended, scope = ENDS.get(name, ((), ()))
+            if any(held[tag] for tag in ended):
+                depth = len(stack) - 1
+                while depth >= 0 and stack[depth] not in ended and stack[depth] not in scope:
+                    depth -= 1
+                if depth >= 0 and stack[depth] in ended:
+                    before = end(depth)
+            if name not in VOID:
+                stack.append(name)
+                held[name] += 1
+        out.append((before, counts))
+    return [*out, (len(stack), False)]
+
+
+@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("before", T.IntegerType()), T.StructField("counts", T.BooleanType())])))
+def _closings(marks: pd.Series) -> pd.Series:
+    return marks.map(lambda row: [{"before": before, "counts": counts} for before, counts in closings(list(row))])
+
+
+def _marked(df: DataFrame, key: str, html: str) -> DataFrame:
+    """(doc, cut, marks, ends) per page; texts of white space only are left out."""
+    name = lambda piece: F.lower(F.regexp_extract(piece, TAG_NAME, 1))
+    mark = lambda piece: (
+        F.when(name(piece) != "", F.concat(F.when(piece.startswith("</"), F.lit("-")).otherwise(F.lit("+")), name(piece)))
+        .when(piece.rlike("(?s)^<[!?].*>$") | (strip(piece) == ""), F.lit("skip")).otherwise(F.lit("")))
+    cut = _cut(df, key, html).withColumn("cells", F.filter(
+        F.transform("cut", lambda piece: F.struct(mark(piece).alias("mark"), strip(piece).alias("value"))), lambda c: c["mark"] != "skip"))
+    return cut.select("doc", "cells", _closings(F.col("cells.mark")).alias("ends"))
+
+
+def events(df: DataFrame, key: str, html: str) -> DataFrame:
+    """(doc, pos, kind, label, value): a balanced stream of opening and closing of elements, and non-blank texts."""
+    text = F.lit(None).cast("string")
+
+    def event(kind: str, label: Column = text, value: Column = text) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), label.alias("label"), value.alias("value"))
+
+    close = event("close")
+    none = F.array().cast("array<struct<kind:string,label:string,value:string>>")
+
+    def own(cell: Column) -> Column:
+        label = F.substring(cell["mark"], 2, 1 << 20)
+        return (
+            F.when(cell["mark"] == "", F.array(event("text", value=cell["value"])))
+            .when(cell["mark"].startswith("-"), F.array(close))
+            .when(label.isin(*sorted(VOID)), F.array(event("open", label), close))
+            .otherwise(F.array(event("open", label))))
+
+    def step(pair: Column) -> Column:
+        cell, ends = pair["cells"], pair["ends"]
+        return F.concat(F.array_repeat(close, ends["before"]), F.when(ends["counts"], own(cell)).otherwise(none))
+
+    stream = F.flatten(F.transform(F.arrays_zip("cells", "ends"), step))
+    return _marked(df, key, html).select("doc", F.posexplode(stream).alias("pos", "event")).select("doc", "pos", "event.*")
+
+
+def balance_report(df: DataFrame, key: str, html: str) -> DataFrame:
+    """(doc, opened, implied, ignored): start tags with content, ends they left to be implied, and end tags without an open element."""
+    rows = _marked(df, key, html)
+    ends = lambda p: p["cells"]["mark"].startswith("-") & ~p["ends"]["counts"]
+    starts = lambda c: c["mark"].startswith("+") & ~F.substring(c["mark"], 2, 1 << 20).isin(*sorted(VOID))
+    return rows.select(
+        "doc", F.size(F.filter("cells", starts)).cast("long").alias("opened"),
+        F.aggregate("ends", F.lit(0).cast("long"), lambda n, e: n + e["before"]).alias("implied"),
+        F.size(F.filter(F.arrays_zip("cells", "ends"), lambda p: F.coalesce(ends(p), F.lit(False)))).cast("long").alias("ignored"))
 
 
 def nodes(stream: DataFrame) -> DataFrame:
@@ -208,12 +315,18 @@ def symbols(merged: DataFrame, words_of) -> DataFrame:
     return leaves.unionByName(merged.where(F.col("label").isNotNull()).select("doc", F.col("label").alias("token")))
 
 
-def covered_leaves(merged: DataFrame) -> DataFrame:
-    """(doc, node_id, leaf, value): leaves below each tag, by an equi-join on leaf number."""
-    tags = merged.where(F.col("label").isNotNull() & (F.col("last_leaf") >= F.col("first_leaf"))).select(
-        "doc", "node_id", F.explode(F.sequence("first_leaf", "last_leaf")).alias("leaf"))
-    leaves = merged.where(F.col("value").isNotNull()).select("doc", F.col("first_leaf").alias("leaf"), "value")
-    return tags.join(leaves, ["doc", "leaf"])
+def covered_leaves(merged: DataFrame, size) -> DataFrame:
+    """(doc, node_id, leaves, total): leaves below each tag that has any, and the sum of ``size`` of their values.
+
+    A running sum in preorder gives the total up to each node; a subtree's total
+    is the one up to its last node less the one up to itself.
+    """
+    upto = W.partitionBy("doc").orderBy("node_id").rowsBetween(W.unboundedPreceding, 0)
+    summed = merged.withColumn("_upto", F.sum(F.coalesce(size(F.col("value")), F.lit(0))).over(upto))
+    ends = summed.select("doc", F.col("node_id").alias("last_node"), F.col("_upto").alias("_end"))
+    tags = summed.where(F.col("label").isNotNull() & (F.col("last_leaf") >= F.col("first_leaf")))
+    return tags.join(ends, ["doc", "last_node"]).select(
+        "doc", "node_id", (F.col("last_leaf") - F.col("first_leaf") + 1).alias("leaves"), (F.col("_end") - F.col("_upto")).alias("total"))
 
 
 def edge_check(table: DataFrame) -> DataFrame:
@@ -255,19 +368,22 @@ def merge_order(merged: DataFrame) -> DataFrame:
     return both.select("doc", "left", "right", "parent", "step")
 
 
-def subword_children(merged: DataFrame, segmented: DataFrame) -> DataFrame:
-    """(doc, node_id, piece_no, label, piece): leaves of several pieces as labelled children.
+def subword_children(merged: DataFrame, segmented: DataFrame, words_of) -> DataFrame:
+    """(doc, node_id, word_no, piece_no, label, piece): the words of each leaf that have several pieces, as labelled children.
 
-    The children of a split leaf are labelled with its tag plus ``_bpe``.
+    A leaf of several words is cut into words first, numbered from 0. The
+    children are labelled with the tag above the leaf plus ``_bpe``.
     ``segmented`` holds (token, n, pieces) of distinct words.
     """
     from .vocab import skewed_lookup
 
     tags = merged.where(F.col("label").isNotNull()).select("doc", F.col("node_id").alias("parent"), F.col("label").alias("tag"))
-    leaves = merged.where(F.col("value").isNotNull()).select("doc", "node_id", "parent", F.col("value").alias("token"))
-    split = skewed_lookup(leaves, segmented.where(F.size("pieces") > 1).select("token", "n", "pieces"), "token", "n")
-    return split.join(tags, ["doc", "parent"]).select(
-        "doc", "node_id", F.posexplode("pieces").alias("piece_no", "piece"), F.concat("tag", F.lit("_bpe")).alias("label"))
+    leaves = merged.where(F.col("value").isNotNull()).join(tags, ["doc", "parent"], "left")
+    words = leaves.select("doc", "node_id", "tag", F.posexplode_outer(words_of(F.col("value"))).alias("word_no", "token"))
+    split = skewed_lookup(words.where(F.col("token").isNotNull()),
+                          segmented.where(F.size("pieces") > 1).select("token", "n", "pieces"), "token", "n")
+    return split.select("doc", "node_id", "word_no", F.posexplode("pieces").alias("piece_no", "piece"),
+                        F.concat("tag", F.lit("_bpe")).alias("label"))
 
 
 def balanced_regions(tokens: DataFrame, opening: Column, closing: Column, separator: Column, base_depth: int = 0) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import tokens as K
 from ..operators import subword as B, trees as R
 from ..operators.tokentables import token_counts
-from ..session import durable, table
+from ..session import staged, table
 from . import sql as S
 from .common import as_long
 from .registry import query
@@ -24,14 +24,33 @@ def merged(spark, folder):
     return R.merge_trees(R.split_trees(nodes(spark, folder)))
 
 
-_TAGS = "(" + ", ".join(S.q(t) for t in R.BALANCED_TAGS) + ")"
-PIECES_SQL = f"""pc AS (SELECT doc, unnest(p) AS piece, generate_subscripts(p, 1) AS pos FROM (
-  SELECT page_id AS doc, regexp_extract_all(regexp_replace(html, {S.q(R.NO_CONTENT)}, '', 'g'), {S.q(R.PIECES)}) AS p FROM pages))"""
-NODES = f"""{PIECES_SQL},
-ev AS (SELECT * FROM (SELECT doc, pos, regexp_extract(piece, {S.q(R.TAG_NAME)}, 1) AS label, {S.strip('piece')} AS value,
-  CASE WHEN starts_with(piece, '</') THEN CASE WHEN regexp_extract(piece, {S.q(R.TAG_NAME)}, 1) IN {_TAGS} THEN 'close' END
-       WHEN starts_with(piece, '<') THEN CASE WHEN regexp_extract(piece, {S.q(R.TAG_NAME)}, 1) IN {_TAGS} THEN 'open' END
-       WHEN {S.strip('piece')} <> '' THEN 'text' END AS kind FROM pc) WHERE kind IS NOT NULL),
+PIECES_SQL = r"""pc AS (SELECT doc, unnest(p) AS piece, generate_subscripts(p, 1) AS pos FROM (
+  SELECT page_id AS doc, regexp_extract_all(regexp_replace(html, '(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->', '', 'g'),
+    '</?[A-Za-z][^>]*>|<[!?][^>]*>|<[^<]*|[^<]+') AS p FROM pages))"""
+# the stack of open elements, one recursion step per tag of a page; the rules are written out here on purpose
+EVENTS_SQL = f"""{PIECES_SQL},
+ru AS (SELECT unnest(string_split(t, ' ')) AS label, string_split(e, ' ') AS ended, string_split(u, ' ') AS scope FROM (VALUES
+  ('address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul', 'p', 'button caption html object table td template th'),
+  ('li', 'li', 'ul ol menu'), ('dt dd', 'dt dd', 'dl'), ('td th', 'td th', 'tr table'), ('tr', 'tr', 'table'), ('thead tbody tfoot', 'thead tbody tfoot', 'table'),
+  ('option', 'option', 'select'), ('optgroup', 'option optgroup', 'select'), ('body', 'head', 'html')) v(t, e, u)),
+kd AS (SELECT *, CASE WHEN label <> '' AND piece[2] = '/' THEN 'close' WHEN label <> '' THEN 'open' WHEN (piece[1:2] IN ('<!', '<?') AND suffix(piece, '>')) OR value = '' THEN 'skip' ELSE 'text' END AS kind,
+  label IN ('area', 'base', 'br', 'col', 'embed', 'hr', 'img', 'input', 'link', 'meta', 'param', 'source', 'track', 'wbr') AS void
+  FROM (SELECT doc, pos, piece, lower(regexp_extract(piece, '^</?([A-Za-z][A-Za-z0-9:-]*)[^>]*>$', 1)) AS label, {S.strip('piece')} AS value FROM pc)),
+tg AS MATERIALIZED (SELECT kd.*, row_number() OVER (PARTITION BY doc ORDER BY pos) AS i, coalesce(ended, []) AS ended, coalesce(scope, []) AS scope FROM kd LEFT JOIN ru USING (label) WHERE kind IN ('open', 'close')),
+st AS (SELECT doc, 0::BIGINT AS i, []::VARCHAR[] AS r, 0 AS before, false AS own FROM (SELECT DISTINCT doc FROM pc)
+  UNION ALL SELECT doc, i, CASE WHEN kind = 'open' AND NOT void THEN [label] ELSE [] END || r[(gone + 1):], CASE WHEN kind = 'close' THEN greatest(gone - 1, 0) ELSE gone END, kind = 'open' OR gone > 0 FROM (
+    SELECT *, CASE WHEN kind = 'close' THEN hit WHEN hit > 0 AND (wall = 0 OR hit < wall) THEN hit ELSE 0 END::BIGINT AS gone FROM (
+      SELECT tg.doc, tg.i, kind, void, label, r, coalesce(list_position(list_transform(r, lambda x: CASE WHEN kind = 'close' THEN x = label ELSE list_contains(ended, x) END), true), 0) AS hit,
+        coalesce(list_position(list_transform(r, lambda x: list_contains(scope, x)), true), 0) AS wall FROM st JOIN tg ON tg.doc = st.doc AND tg.i = st.i + 1))),
+fx AS MATERIALIZED (SELECT st.*, tg.kind, tg.void, tg.label, tg.pos FROM st JOIN tg USING (doc, i)),
+lo AS (SELECT doc, len(arg_max(r, i)) AS left_open FROM st GROUP BY doc)"""
+NODES = f"""{EVENTS_SQL},
+ev AS (SELECT doc, row_number() OVER (PARTITION BY doc ORDER BY pos, part) AS pos, kind, label, value FROM (
+  SELECT doc, pos, 2 AS part, 'text' AS kind, NULL AS label, value FROM kd WHERE kind = 'text'
+  UNION ALL SELECT doc, pos, 1, 'close', NULL, NULL FROM (SELECT doc, pos, unnest(range(before)) FROM fx)
+  UNION ALL SELECT doc, pos, 2, kind, CASE WHEN kind = 'open' THEN label END, NULL FROM fx WHERE own
+  UNION ALL SELECT doc, pos, 3, 'close', NULL, NULL FROM fx WHERE void AND kind = 'open'
+  UNION ALL SELECT doc, 1000000000, 1, 'close', NULL, NULL FROM (SELECT doc, unnest(range(left_open)) FROM lo))),
 cn AS (SELECT *, sum(CASE kind WHEN 'open' THEN 1 WHEN 'close' THEN -1 ELSE 0 END) OVER u AS after, sum((kind <> 'close')::INT) OVER u AS seen,
   sum((kind = 'text')::INT) OVER u AS texts FROM ev WINDOW u AS (PARTITION BY doc ORDER BY pos)),
 lv AS (SELECT *, CASE WHEN kind = 'open' THEN after - 1 ELSE after END AS level FROM cn),
@@ -67,27 +86,27 @@ def balanced_regions(spark, folder):
 
 _SPLIT = f"""{NODES}, sh AS (SELECT *, node_id + coalesce(sum((value IS NOT NULL)::INT) OVER (PARTITION BY doc ORDER BY node_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nid FROM nd),
 ks AS (SELECT doc, parent AS node_id, list(nid ORDER BY nid) AS kids FROM sh WHERE parent IS NOT NULL GROUP BY ALL),
-sp AS (SELECT sh.doc, nid AS node_id, coalesce(label, 'text') AS type, NULL AS value, CASE WHEN value IS NOT NULL THEN [nid + 1] ELSE [] END || coalesce(kids, []) AS children FROM sh LEFT JOIN ks USING (doc, node_id)
-  UNION ALL SELECT doc, nid + 1, NULL, value, [] FROM sh WHERE value IS NOT NULL)"""
+sp AS (SELECT sh.doc, nid AS node_id, coalesce(label, 'text') AS type, NULL::VARCHAR AS value, CASE WHEN value IS NOT NULL THEN [nid + 1] ELSE [] END || coalesce(kids, []) AS children FROM sh LEFT JOIN ks USING (doc, node_id)
+  UNION ALL SELECT doc, nid + 1, NULL, value, []::BIGINT[] FROM sh WHERE value IS NOT NULL)"""
 
 
 @query("w20_value_nodes", f"""
-WITH {_SPLIT} SELECT doc, node_id::BIGINT AS node_id, type, value, array_to_string(children, ' ') AS children FROM sp""")
+WITH RECURSIVE {_SPLIT} SELECT doc, node_id::BIGINT AS node_id, type, value, array_to_string(children, ' ') AS children FROM sp""")
 def value_nodes(spark, folder):
-    return R.split_value_nodes(nodes(spark, folder)).select(
+    return R.split_value_nodes(staged(nodes(spark, folder), "tree-nodes")).select(
         "doc", as_long("node_id"), "type", "value", F.array_join("children", " ").alias("children"))
 
 
 @query("w21_preorder_tokens", f"""
-WITH {_SPLIT} SELECT doc, string_agg(coalesce(value, '<' || type || '>'), '|' ORDER BY node_id) AS tokens, string_agg(value, '|' ORDER BY node_id) AS leaves FROM sp GROUP BY doc""")
+WITH RECURSIVE {_SPLIT} SELECT doc, string_agg(coalesce(value, '<' || type || '>'), '|' ORDER BY node_id) AS tokens, string_agg(value, '|' ORDER BY node_id) AS leaves FROM sp GROUP BY doc""")
 def preorder_tokens(spark, folder):
-    split = R.split_value_nodes(nodes(spark, folder))
+    split = staged(R.split_value_nodes(staged(nodes(spark, folder), "tree-nodes")), "tree-split")
     leaves = R.preorder_tokens(split, only_leaves=True).select("doc", F.array_join("tokens", "|").alias("leaves"))
     return R.preorder_tokens(split).select("doc", F.array_join("tokens", "|").alias("tokens")).join(leaves, "doc", "left")
 
 
 @query("w22_leaves_labels_spans", f"""
-WITH {NODES}, x AS (SELECT *, label IS NOT NULL AND nc = 1 AND nt = 0 AS is_pos FROM mf WHERE last_leaf >= first_leaf)
+WITH RECURSIVE {NODES}, x AS (SELECT *, label IS NOT NULL AND nc = 1 AND nt = 0 AS is_pos FROM mf WHERE last_leaf >= first_leaf)
 SELECT doc, string_agg(value, '|' ORDER BY first_leaf) FILTER (WHERE label IS NULL) AS leaves, coalesce(string_agg(label, ' ' ORDER BY level, node_id) FILTER (WHERE is_pos), '') AS pos_tags,
   string_agg(label, ' ' ORDER BY level, node_id) FILTER (WHERE label IS NOT NULL AND NOT is_pos) AS labels,
   string_agg(first_leaf || '-' || last_leaf, ' ' ORDER BY level, node_id) FILTER (WHERE label IS NOT NULL AND NOT is_pos) AS spans FROM x GROUP BY doc""")
@@ -99,7 +118,7 @@ def leaves_labels_spans(spark, folder):
 
 
 def _sql_collapse(condition: str, label: str) -> str:
-    return f"""WITH {NODES}, f AS (SELECT *, {condition} AS single FROM (SELECT *, lead(ft) OVER (PARTITION BY doc ORDER BY node_id) AS next_ft FROM mf)),
+    return f"""WITH RECURSIVE {NODES}, f AS (SELECT *, {condition} AS single FROM (SELECT *, lead(ft) OVER (PARTITION BY doc ORDER BY node_id) AS next_ft FROM mf)),
 c AS (SELECT *, sum((NOT coalesce(prev, false))::INT) OVER (PARTITION BY doc ORDER BY node_id) AS chain FROM (SELECT *, lag(single) OVER (PARTITION BY doc ORDER BY node_id) AS prev FROM f))
 SELECT doc, min(node_id)::BIGINT AS node_id, {label} AS label, count(*)::BIGINT AS size FROM c WHERE label IS NOT NULL GROUP BY doc, chain"""
 
@@ -116,53 +135,65 @@ def collapse_joined(spark, folder):
 
 
 @query("w24_tree_symbols", f"""
-WITH {NODES} SELECT token, count(*)::BIGINT AS n FROM (SELECT unnest({S.words('value')}) AS token FROM mg WHERE value IS NOT NULL
+WITH RECURSIVE {NODES} SELECT token, count(*)::BIGINT AS n FROM (SELECT unnest({S.words('value')}) AS token FROM mg WHERE value IS NOT NULL
   UNION ALL SELECT label FROM mg WHERE label IS NOT NULL) GROUP BY token""")
 def tree_symbols(spark, folder):
     return R.symbols(merged(spark, folder), K.words).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("w25_subword_children", f"""
-WITH {NODES}, {merges_sql(MERGES, f"(SELECT token, count(*) AS n FROM (SELECT unnest({S.words('value')}) AS token FROM nd WHERE value IS NOT NULL) GROUP BY token)")},
+WITH RECURSIVE {NODES}, lw AS MATERIALIZED (SELECT doc, node_id, parent, unnest(w) AS token, generate_subscripts(w, 1) - 1 AS word_no FROM (SELECT doc, node_id, parent, {S.words('value')} AS w FROM mg WHERE value IS NOT NULL)),
+{merges_sql(MERGES, "(SELECT token, count(*) AS n FROM lw GROUP BY token)")},
 s AS (SELECT token, p FROM {_FINAL} WHERE len(p) > 1)
-SELECT doc, node_id, piece_no::BIGINT AS piece_no, piece, label FROM (
-  SELECT l.doc, l.node_id, generate_subscripts(p, 1) - 1 AS piece_no, unnest(p) AS piece, t.label || '_bpe' AS label
-  FROM mg l JOIN s ON s.token = l.value JOIN mg t ON t.doc = l.doc AND t.node_id = l.parent)""")
+SELECT doc, node_id, word_no::BIGINT AS word_no, piece_no::BIGINT AS piece_no, piece, label FROM (
+  SELECT l.doc, l.node_id, l.word_no, generate_subscripts(p, 1) - 1 AS piece_no, unnest(p) AS piece, t.label || '_bpe' AS label
+  FROM lw l JOIN s USING (token) JOIN mg t ON t.doc = l.doc AND t.node_id = l.parent)""")
 def subword_children(spark, folder):
-    m = durable(merged(spark, folder))  # read for the counts and for both sides of the lookup
+    m = staged(merged(spark, folder), "tree-nodes")  # read for the counts and for both sides of the lookup
     counts = token_counts(m.where(C("value").isNotNull()).select(K.words(C("value")).alias("tokens")))
     segmented = B.segment(counts, B.learn_merges(counts, MERGES))
-    return R.subword_children(m, segmented).select("doc", as_long("node_id"), as_long("piece_no"), "piece", "label")
+    return R.subword_children(m, segmented, K.words).select(
+        "doc", as_long("node_id"), as_long("word_no"), as_long("piece_no"), "piece", "label")
 
 
-@query("w26_merge_trees", f"WITH {NODES} SELECT doc, node_id::BIGINT AS node_id, label, value, level::BIGINT AS level, parent::BIGINT AS parent FROM mg")
+@query("w26_merge_trees", f"WITH RECURSIVE {NODES} SELECT doc, node_id::BIGINT AS node_id, label, value, level::BIGINT AS level, parent::BIGINT AS parent FROM mg")
 def merge_trees(spark, folder):
     return merged(spark, folder).select("doc", as_long("node_id"), "label", "value", as_long("level"), as_long("parent"))
 
 
 @query("w27_merge_order", f"""
-WITH {NODES}, k AS (SELECT *, first_value(first_leaf) OVER (PARTITION BY doc, parent ORDER BY node_id) AS f, lag(last_leaf) OVER (PARTITION BY doc, parent ORDER BY node_id) AS ll
+WITH RECURSIVE {NODES}, k AS (SELECT *, first_value(first_leaf) OVER (PARTITION BY doc, parent ORDER BY node_id) AS f, lag(last_leaf) OVER (PARTITION BY doc, parent ORDER BY node_id) AS ll
   FROM mg WHERE last_leaf >= first_leaf AND parent IS NOT NULL),
 s AS (SELECT *, row_number() OVER (PARTITION BY doc ORDER BY last_leaf, f DESC) - 1 AS step, max(last_leaf) OVER (PARTITION BY doc) + 1 AS nl FROM k WHERE ll IS NOT NULL)
 SELECT a.doc, string_agg((CASE WHEN a.f = a.ll THEN a.f ELSE l.nl + l.step END) || ',' || (CASE WHEN a.first_leaf = a.last_leaf THEN a.first_leaf ELSE r.nl + r.step END) || ',' || (a.nl + a.step), ',' ORDER BY a.step) AS encoding
 FROM s a LEFT JOIN s l ON l.doc = a.doc AND l.f = a.f AND l.last_leaf = a.ll LEFT JOIN s r ON r.doc = a.doc AND r.f = a.first_leaf AND r.last_leaf = a.last_leaf AND a.first_leaf <> a.f
 GROUP BY a.doc""")
 def merge_order(spark, folder):
-    steps = R.merge_order(merged(spark, folder))
+    steps = R.merge_order(staged(merged(spark, folder), "tree-nodes"))
     triple = F.struct("step", F.concat_ws(",", "left", "right", "parent").alias("t"))
     return steps.groupBy("doc").agg(F.array_sort(F.collect_list(triple)).alias("s")).select(
         "doc", F.array_join("s.t", ",").alias("encoding"))
 
 
 @query("j14_parent_child", f"""
-WITH {NODES} SELECT doc, count(*)::BIGINT AS edges, count(*)::BIGINT AS matched, (count(*) - count(DISTINCT node_id))::BIGINT AS repeated FROM mg WHERE parent IS NOT NULL GROUP BY doc""")
+WITH RECURSIVE {NODES}, ed AS (SELECT doc, unnest(list(node_id)) AS child FROM mg WHERE parent IS NOT NULL GROUP BY doc, parent)
+SELECT ed.doc, count(*)::BIGINT AS edges, count(c.node_id)::BIGINT AS matched, (count(*) - count(DISTINCT child))::BIGINT AS repeated
+FROM ed LEFT JOIN mg c ON c.doc = ed.doc AND c.node_id = ed.child GROUP BY ed.doc""")
 def parent_child(spark, folder):
-    return R.edge_check(merged(spark, folder))
+    return R.edge_check(staged(merged(spark, folder), "tree-nodes"))
 
 
 @query("j15_covered_leaves", f"""
-WITH {NODES} SELECT t.doc, t.node_id, count(*)::BIGINT AS leaves, sum(length(l.value))::BIGINT AS chars FROM mg t JOIN mg l
+WITH RECURSIVE {NODES} SELECT t.doc, t.node_id, count(*)::BIGINT AS leaves, sum(length(l.value))::BIGINT AS chars FROM mg t JOIN mg l
 ON l.doc = t.doc AND l.value IS NOT NULL AND l.first_leaf BETWEEN t.first_leaf AND t.last_leaf WHERE t.label IS NOT NULL GROUP BY t.doc, t.node_id""")
 def covered_leaves(spark, folder):
-    cells = R.covered_leaves(merged(spark, folder))
-    return cells.groupBy("doc", as_long("node_id")).agg(F.count(F.lit(1)).alias("leaves"), F.sum(F.length("value")).alias("chars"))
+    cells = R.covered_leaves(staged(merged(spark, folder), "tree-nodes"), F.length)
+    return cells.select("doc", as_long("node_id"), as_long("leaves"), as_long("total").alias("chars"))
+
+
+@query("w20_page_balance", f"""
+WITH RECURSIVE {EVENTS_SQL} SELECT lo.doc, count(*) FILTER (WHERE kind = 'open' AND NOT void)::BIGINT AS opened,
+  (coalesce(sum(before), 0) + any_value(left_open))::BIGINT AS implied, count(*) FILTER (WHERE kind = 'close' AND NOT own)::BIGINT AS ignored
+FROM lo LEFT JOIN fx ON fx.doc = lo.doc GROUP BY lo.doc""")
+def page_balance(spark, folder):
+    return R.balance_report(table(spark, folder, "pages"), "page_id", "html")

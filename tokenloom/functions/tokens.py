@@ -68,6 +68,16 @@ def words_and_symbols(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(WORD_OR_SYMBOL), 1)
 
 
+def words_with_gaps(text: Column) -> Column:
+    """Words and symbols, each with the white space after it; joined and stripped they give the text back."""
+    return F.regexp_extract_all(text, F.lit(WORD_OR_SYMBOL + r"[\p{Z}\p{C}]*"), 0)
+
+
+def untokenised(cells: Column) -> Column:
+    """The original text of cells of ``words_with_gaps``, without outer white space."""
+    return F.regexp_replace(F.array_join(cells, ""), r"[\p{Z}\p{C}]+\z", "")
+
+
 def alnum_runs(text: Column) -> Column:
     """Runs of letters/digits and of anything else; lone spaces kept only at the ends."""
     return bind(

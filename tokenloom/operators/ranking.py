@@ -38,25 +38,23 @@ def _offsets(totals: DataFrame, value: str, offset: str) -> DataFrame:
     return totals.select("_part", F.coalesce(F.sum(value).over(before), F.lit(0)).alias(offset))
 
 
-def with_global_position(df: DataFrame, order, name: str = "position") -> DataFrame:
-    """Adds the 0-based position of each row in the global order; ``order`` must be unique."""
+def _positioned(df: DataFrame, order, name: str) -> DataFrame:
     rows = _ranged(df, order)
     counts = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     offsets = _offsets(counts, "_n", "_offset")
     return (
         rows.join(F.broadcast(offsets), "_part")
         .withColumn(name, F.col("_mid").bitwiseAND(F.lit(_ROW_MASK)) + F.col("_offset"))
-        .drop("_mid", "_part", "_offset")
+        .drop("_offset")
     )
 
 
-def with_running_sum(df: DataFrame, order, value: str, name: str = "running",
-                     position: str | None = None, costly: bool = True) -> DataFrame:
-    """Adds the inclusive running sum of an integer column in the global order.
+def with_global_position(df: DataFrame, order, name: str = "position") -> DataFrame:
+    """Adds the 0-based position of each row in the global order; ``order`` must be unique."""
+    return _positioned(df, order, name).drop("_mid", "_part")
 
-    Range partitioning reads its input twice, once to sample it. ``costly``
-    rows (sizes made by tokenising a text, say) are therefore written first.
-    """
+
+def _summed(df: DataFrame, order, value: str, name: str, position: str | None, costly: bool) -> DataFrame:
     rows = _ranged(durable(df) if costly else df, order)
     totals = rows.groupBy("_part").agg(F.sum(value).alias("_v"), F.count(F.lit(1)).alias("_n"))
     offsets = _offsets(totals, "_v", "_before")
@@ -70,18 +68,48 @@ def with_running_sum(df: DataFrame, order, value: str, name: str = "running",
     )
     if position:
         out = out.withColumn(position, F.col("_mid").bitwiseAND(F.lit(_ROW_MASK)) + F.col("_offset"))
-    return out.drop("_mid", "_part", "_local", "_before", "_offset")
+    return out.drop("_local", "_before", "_offset")
+
+
+def with_running_sum(df: DataFrame, order, value: str, name: str = "running",
+                     position: str | None = None, costly: bool = True) -> DataFrame:
+    """Adds the inclusive running sum of an integer column in the global order.
+
+    Range partitioning reads its input twice, once to sample it. ``costly``
+    rows (sizes made by tokenising a text, say) are therefore written first.
+    """
+    return _summed(df, order, value, name, position, costly).drop("_mid", "_part")
+
+
+def _group_start(rows: DataFrame, group: str, at: str, name: str) -> DataFrame:
+    """Adds the value of ``at`` in the first row of the group; rows are ranged by group first.
+
+    A group is a run of rows. Its start is found inside the partition, and for
+    the run that a partition takes over from earlier ones in a table of one row
+    per partition, so no join moves rows by group. Null is a group like any other.
+    """
+    here = F.first(at).over(W.partitionBy("_part", group).orderBy("_mid").rowsBetween(W.unboundedPreceding, 0))
+    local = rows.withColumn(name, here)
+    ends = local.groupBy("_part").agg(
+        F.min_by(F.struct(F.col(group).alias("g")), "_mid").alias("first"),
+        F.max_by(F.struct(F.col(group).alias("g"), F.col(name).alias("start")), "_mid").alias("last"))
+    heads = ends.groupBy(F.struct(F.col("last.g").alias("g")).alias("first")).agg(
+        F.min("_part").alias("_since"), F.min_by("last.start", "_part").alias("_carried"))
+    carried = ends.select("_part", "first").join(heads, "first").where(F.col("_since") < F.col("_part")).select(
+        "_part", F.col("first.g").alias("_run"), "_carried", F.lit(True).alias("_taken"))
+    goes_on = F.coalesce("_taken", F.lit(False)) & F.col(group).eqNullSafe(F.col("_run"))
+    return local.join(F.broadcast(carried), "_part", "left").withColumn(
+        name, F.when(goes_on, F.col("_carried")).otherwise(F.col(name))).drop("_run", "_carried", "_taken")
 
 
 def with_group_position(df: DataFrame, group: str, order, name: str = "position") -> DataFrame:
     """0-based position inside each group, safe when one group holds most rows."""
-    placed = with_global_position(df, [group, *order], "_global")
-    starts = placed.groupBy(group).agg(F.min("_global").alias("_start"))
-    return placed.join(starts, group).withColumn(name, F.col("_global") - F.col("_start")).drop("_global", "_start")
+    placed = _group_start(_positioned(df, [group, *order], "_global"), group, "_global", "_start")
+    return placed.withColumn(name, F.col("_global") - F.col("_start")).drop("_global", "_start", "_mid", "_part")
 
 
 def with_group_running_sum(df: DataFrame, group: str, order, value: str, name: str = "running") -> DataFrame:
     """Inclusive running sum inside each group, safe when one group holds most rows."""
-    summed = with_running_sum(df, [group, *order], value, "_total")
-    starts = summed.groupBy(group).agg(F.min(F.col("_total") - F.col(value)).alias("_start"))
-    return summed.join(starts, group).withColumn(name, F.col("_total") - F.col("_start")).drop("_total", "_start")
+    summed = _summed(df, [group, *order], value, "_total", None, True).withColumn("_prior", F.col("_total") - F.col(value))
+    started = _group_start(summed, group, "_prior", "_start")
+    return started.withColumn(name, F.col("_total") - F.col("_start")).drop("_total", "_prior", "_start", "_mid", "_part")

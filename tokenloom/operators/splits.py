@@ -164,16 +164,14 @@ def last_numbered(names: DataFrame, name: str, pattern: str, n: int, upper: int
 def weighted_draws(weights: DataFrame, name: str, weight: str, draws: int, seed: str) -> DataFrame:
     """(draw, name): ``draws`` names drawn with replacement in proportion to their weight.
 
-    Draws and upper bounds are sorted together and each draw takes the next
-    bound's name: the window holds one row per name plus the draws.
+    The upper bounds, one per name, are one array; each draw takes the first
+    bound above it, so draws are worked on wherever they are.
     """
     share = F.col(weight) / weights.agg(F.sum(weight)).scalar()
-    upto = F.sum("p").over(W.orderBy(name).rowsBetween(W.unboundedPreceding, 0))
-    bounds = weights.withColumn("p", share).select(F.lit(None).cast("long").alias("draw"), upto.alias("at"), F.col(name))
-    drawn = weights.sparkSession.range(draws).select(
-        F.col("id").alias("draw"), uniform(seed, F.col("id")).alias("at"), F.lit(None).cast("string").alias(name))
-    # a bound equal to a draw comes first: the draw belongs to the next name
-    following = W.orderBy("at", F.col("draw").asc_nulls_first()).rowsBetween(0, W.unboundedFollowing)
-    picked = F.coalesce(F.first(name, ignorenulls=True).over(following), F.max(name).over(W.orderBy(F.lit(0)).rowsBetween(
-        W.unboundedPreceding, W.unboundedFollowing)))
-    return bounds.unionByName(drawn).withColumn(name, picked).where(F.col("draw").isNotNull()).select("draw", name)
+    upto = F.sum(share).over(W.orderBy(name).rowsBetween(W.unboundedPreceding, 0))
+    listed = weights.select(F.struct(upto.alias("upto"), F.col(name).alias("name")).alias("b"))
+    bounds = listed.agg(F.array_sort(F.collect_list("b")).alias("_bounds")).scalar()
+    drawn = weights.sparkSession.range(draws).select(F.col("id").alias("draw"), uniform(seed, F.col("id")).alias("_at"), bounds.alias("_bounds"))
+    above = F.filter("_bounds", lambda b: b["upto"] > F.col("_at"))
+    picked = F.coalesce(F.get(above, F.lit(0))["name"], F.element_at("_bounds", -1)["name"])  # rounding may leave the last bound below 1
+    return drawn.select("draw", picked.alias(name))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import text as T, tokens as K
+from ..functions import arrays as A, text as T, tokens as K
 from ..operators import filters as P
 from ..session import table
 from . import sql as S
@@ -73,13 +73,14 @@ def length_agreement(spark, folder):
 
 
 @query("f06_matrix_agreement", f"""
-SELECT count(*) FILTER (WHERE len(rel) <> n)::BIGINT AS violations, count(*)::BIGINT AS checked FROM (
-  SELECT string_split({S.collapse('text')}, ' ') AS rel, len({S.words('text')}) AS n FROM conversations
-  WHERE len({S.words('text')}) > 0)""")
+WITH l AS (SELECT conv_id, turn, unnest(string_split(text, chr(10))) AS line, len(string_split(text, chr(10))) AS n_lines, {S.words('text')} AS src FROM conversations),
+m AS (SELECT conv_id, turn, greatest(any_value(n_lines), max(len(string_split(line, ' ')))) AS n, any_value(len(src)) AS n_src FROM l GROUP BY conv_id, turn)
+SELECT count(*) FILTER (WHERE n <> n_src)::BIGINT AS violations, count(*)::BIGINT AS checked FROM m WHERE n_src > 0""")
 def matrix_agreement(spark, folder):
-    t = talk(spark, folder).select(K.words(C("text")).alias("src"), F.split(K.collapse_space(C("text")), " ").alias("rel"))
-    return P.drop_empty(t, C("src")).agg(F.count_if(F.size("rel") != F.size("src")).alias("violations"),
-                                        F.count(F.lit(1)).alias("checked"))
+    # the lines of a turn as a relation matrix: it fits the words only if it is as wide as there are words
+    t = talk(spark, folder).select(K.words(C("text")).alias("src"), A.parse_matrix(F.to_json(F.split("text", "\n"))).alias("rel"))
+    off = (F.size("rel") != F.size("src")) | F.exists("rel", lambda row: F.size(row) != F.size("src"))
+    return P.drop_empty(t, C("src")).agg(F.count_if(off).alias("violations"), F.count(F.lit(1)).alias("checked"))
 
 
 _HEAD = "regexp_extract(text, '^([^.]*)\\.', 1)"

@@ -185,15 +185,25 @@ def alnum_runs(spark, folder):
     return documents(spark, folder).select("doc_id", F.array_join(K.alnum_runs(C("text")), "|").alias("runs"))
 
 
-@query("x14_token_view", f"""
-SELECT conv_id, turn, array_to_string(list_transform(w, lambda t: lower(t)), ' ') AS lowered,
-  array_to_string(w[3:8], ' ') AS cut, array_to_string(w, '') AS untokenised
-FROM (SELECT conv_id, turn, regexp_extract_all(text, {S.q(K.WORD_OR_SYMBOL)}) AS w FROM conversations)""")
+@query("x14_token_view", r"""
+WITH p AS (SELECT conv_id, turn, unnest(c) AS piece, generate_subscripts(c, 1) AS pos FROM (
+  SELECT conv_id, turn, regexp_extract_all(text, '[\p{L}\p{N}\p{M}]+|[^\p{Z}\p{C}]|[\p{Z}\p{C}]+') AS c FROM conversations)),
+q AS (SELECT *, sum(length(piece)) OVER u - length(piece) AS start, NOT regexp_matches(piece, '^[\p{Z}\p{C}]') AS tok, sum(NOT regexp_matches(piece, '^[\p{Z}\p{C}]')) OVER u AS nr
+  FROM p WINDOW u AS (PARTITION BY conv_id, turn ORDER BY pos)),
+g AS (SELECT conv_id, turn, string_agg(lower(piece), ' ' ORDER BY pos) AS lowered, string_agg(piece, ' ' ORDER BY pos) FILTER (WHERE nr BETWEEN 3 AND 8) AS cut,
+  min(start) AS a, max(start + length(piece)) AS b, min(start) FILTER (WHERE nr BETWEEN 3 AND 8) AS c, max(start + length(piece)) FILTER (WHERE nr BETWEEN 3 AND 8) AS d
+  FROM q WHERE tok GROUP BY conv_id, turn)
+SELECT t.conv_id, t.turn, CASE WHEN text IS NOT NULL THEN coalesce(lowered, '') END AS lowered, CASE WHEN text IS NOT NULL THEN coalesce(cut, '') END AS cut,
+  CASE WHEN text IS NOT NULL THEN coalesce(substring(text, (a + 1)::BIGINT, (b - a)::BIGINT), '') END AS untokenised,
+  CASE WHEN text IS NOT NULL THEN coalesce(substring(text, (c + 1)::BIGINT, (d - c)::BIGINT), '') END AS cut_text
+FROM conversations t LEFT JOIN g USING (conv_id, turn)""")
 def token_view(spark, folder):
     w = K.words_and_symbols(C("text"))
+    cells = K.words_with_gaps(C("text"))
     return table(spark, folder, "conversations").select(
         "conv_id", "turn", F.array_join(F.transform(w, F.lower), " ").alias("lowered"),
-        F.array_join(F.slice(w, 3, 6), " ").alias("cut"), F.array_join(w, "").alias("untokenised"))
+        F.array_join(F.slice(w, 3, 6), " ").alias("cut"), K.untokenised(cells).alias("untokenised"),
+        K.untokenised(F.slice(cells, 3, 6)).alias("cut_text"))
 
 
 @query("x15_ngrams", f"""
@@ -236,14 +246,14 @@ def nfd_tokens(spark, folder):
     return tokentables.normalise_nfd(counts).groupBy("token").agg(F.sum("n").alias("n"))
 
 
-def _sql_literal(col: str) -> str:
-    col = S.replaces(f"replace({col}, ' ', ' ▁ ')", T.PYTHON_CHAR_TO_TOKEN.items())
+def _sql_literal(col: str, char_to_token=T.PYTHON_CHAR_TO_TOKEN, token_to_char=T.PYTHON_TOKEN_TO_CHAR) -> str:
+    col = S.replaces(f"replace({col}, ' ', ' ▁ ')", char_to_token.items())
     ended = r"regexp_replace(x, '\n\z', '') || ' ENDCOM'"
     col = f"list_transform([{col}], lambda x: CASE WHEN starts_with(x, ' STOKEN0') THEN {ended} ELSE x END)[1]"
     col = S.sub(S.replaces(col, [("\n", " STRNEWLINE "), ("\t", " TABSYMBOL ")]), " +", " ")
     col = S.sub(S.sub(col, r"(\P{N})(\p{P})", r"\1 \2 "), r"(\p{P})(\P{N})", r" \1 \2")
     col = S.collapse(S.sub(col, r"(\p{S})", r" \1 "))
-    return f"replace({S.replaces(col, T.PYTHON_TOKEN_TO_CHAR.items())}, chr(13), '')"
+    return f"replace({S.replaces(col, token_to_char.items())}, chr(13), '')"
 
 
 @query("x19_literal_tokens", DOC.format(_sql_literal("text") + " AS literal"))
@@ -251,6 +261,12 @@ def literal_tokens(spark, folder):
     return documents(spark, folder).select("doc_id", T.normalize_literal(C("text"), False).alias("literal"))
 
 
+@query("x19_java_literal_tokens", DOC.format(_sql_literal("text", T.JAVA_CHAR_TO_TOKEN, T.JAVA_TOKEN_TO_CHAR) + " AS literal"))
+def java_literal_tokens(spark, folder):
+    return documents(spark, folder).select(
+        "doc_id", T.normalize_literal(C("text"), False, T.JAVA_CHAR_TO_TOKEN, T.JAVA_TOKEN_TO_CHAR).alias("literal"))
+
+
 @query("x19_comment_tokens")
 def comment_tokens(spark, folder):
     return documents(spark, folder).select("doc_id", T.normalize_literal(C("text"), True).alias("literal"))

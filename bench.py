@@ -18,6 +18,7 @@ HEADLINE = [
     "f13_dialect", "f17_has_text", "j02_positional_zip", "j04_vocabulary_lookup", "m02_pad_batch", "s16_shard_sink",
     "t01_incremental_ingest", "u03_multiset_union", "w02_train_valid_test", "w07_token_batches", "w13_stream_batches",
     "w14_vocabulary_ids", "w15_top_vocabulary", "w22_leaves_labels_spans", "w31_mask_for_prediction",
+    "a06_apply_merges", "a07_vocabulary_constrained", "j06_subword_lookup", "w25_subword_children", "w27_merge_order",
     "x03_clean_comment", "x11_camel_code_parts", "x12_words_with_offsets", "x19_literal_tokens",
 ]
 

@@ -261,6 +261,12 @@ def test_moving_mean_recurrence(spark):
     assert [got[0], got[1]] == pytest.approx(want)
 
 
+def test_uneven_parameters(spark):
+    df = spark.createDataFrame([("m1", "w"), ("m1", "b"), ("m2", "w"), ("m2", "w"), ("m3", "w"), ("m3", "b")], "model string, name string")
+    assert one(stats.uneven_parameters(df, "model", "name")) == [("b", 2)]
+    assert one(stats.uneven_parameters(df.where("name = 'w'"), "model", "name")) == []
+
+
 def test_statistics_union_and_sum(spark):
     df = spark.createDataFrame([("a", "x y"), ("a", "x"), ("b", "x z"), ("b", "")], "split string, text string")
     got = {r["split"]: r for r in stats.corpus_statistics(df, "split", K.words(C("text"))).collect()}

@@ -112,6 +112,13 @@ def tally(results: DataFrame, statuses: list[str], success: str, missing: str) -
     )
 
 
+def uneven_parameters(params: DataFrame, model: str, name: str) -> DataFrame:
+    """(name, models): parameters that some models hold and others do not; empty if the models can be averaged."""
+    pairs = params.select(F.col(model).alias("model"), F.col(name).alias("name")).distinct()
+    models = pairs.agg(F.count_distinct("model")).scalar()
+    return pairs.groupBy("name").agg(F.count(F.lit(1)).alias("models")).where(F.col("models") < models)
+
+
 def parameter_mean(params: DataFrame, name: str, values: str) -> DataFrame:
     """Element-wise mean of the parameter arrays that share a name."""
     cells = params.select(name, F.posexplode(values).alias("pos", "value"))

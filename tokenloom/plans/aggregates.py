@@ -309,6 +309,14 @@ def parameter_moving_mean(spark, folder):
     return m.select(as_long("label"), as_long("pos"), F.round("value", 6).alias("value"))
 
 
+@query("a31_uneven_parameters", """
+SELECT p_size AS name, count(DISTINCT p_brand)::BIGINT AS models FROM part GROUP BY p_size
+HAVING count(DISTINCT p_brand) < (SELECT count(DISTINCT p_brand) FROM part)""")
+def uneven_parameters(spark, folder):
+    # brands stand for models, part sizes for the parameters each of them holds
+    return stats.uneven_parameters(table(spark, folder, "part"), "p_brand", "p_size")
+
+
 @query("a32_vocabulary_union", f"""
 SELECT DISTINCT token FROM (SELECT unnest({S.words('text')}) AS token FROM conversations
   UNION ALL SELECT unnest({S.words('text')}) FROM benchmark)""")

@@ -149,15 +149,18 @@ def relative_positions(spark, folder):
 
 
 @query("m11_masks", f"""
-WITH n AS (SELECT conv_id, turn, {_N_LINES} AS n, max({_N_LINES}) OVER () AS w FROM conversations)
-SELECT conv_id, turn, array_to_string(list_transform(range(0, w), lambda i: CASE WHEN i < n THEN 1 ELSE 0 END), '') AS mask,
+WITH n AS (SELECT conv_id, turn, {_N_LINES} AS n, (row_number() OVER (ORDER BY {_N_LINES}, conv_id, turn) - 1) // 16 AS batch FROM conversations),
+b AS (SELECT *, max(n) OVER (PARTITION BY batch) AS w FROM n)
+SELECT conv_id, turn, batch::BIGINT AS batch, array_to_string(list_transform(range(0, w), lambda i: CASE WHEN i < n THEN 1 ELSE 0 END), '') AS mask,
   array_to_string(list_transform(range(0, w), lambda i: array_to_string(list_transform(range(0, w), lambda j: CASE WHEN i < n AND j < n THEN 1 ELSE 0 END), '')), ' ') AS square
-FROM n""")
+FROM b""")
 def masks(spark, folder):
+    # batches of 16 turns of similar length, so one long turn widens the masks of its batch only
     n = turns(spark, folder).select("conv_id", "turn", F.size(K.lines(C("text"))).alias("n"))
-    sized = n.withColumn("w", n.agg(F.max("n")).scalar())
+    placed = ranking.with_global_position(n, ["n", "conv_id", "turn"], "place").withColumn("batch", F.floor(C("place") / 16).cast("long"))
+    sized = placed.withColumn("w", F.max("n").over(W.partitionBy("batch")))
     return sized.select(
-        "conv_id", "turn", joined(F.transform(A.length_mask(C("n"), C("w")), lambda b: b.cast("int")), "").alias("mask"),
+        "conv_id", "turn", "batch", joined(F.transform(A.length_mask(C("n"), C("w")), lambda b: b.cast("int")), "").alias("mask"),
         joined(F.transform(A.square_mask(C("n"), C("w")), lambda r: joined(r, ""))).alias("square"))
 
 

@@ -130,21 +130,24 @@ def snake_parts(spark, folder):
     return table(spark, folder, "part").select("p_partkey", F.array_join(K.snake_parts(name), "|").alias("parts"))
 
 
+CUT = "\ue001"  # a private-use mark for the SQL alone
+
+
 def _sql_camel(token: str) -> str:
     """Cut marks put in twice: RE2 has no look-around and a match uses up its characters."""
     marked = token
     for _ in range(2):
-        marked = S.sub(marked, "([a-z])([A-Z])", r"\1~~\2")
+        marked = S.sub(marked, "([a-z])([A-Z])", r"\1" + CUT + r"\2")
     for _ in range(2):
-        marked = S.sub(marked, "([A-Z])([A-Z][a-z])", r"\1~~\2")
-    return f"list_filter(string_split({marked}, '~~'), lambda p: p <> '')"
+        marked = S.sub(marked, "([A-Z])([A-Z][a-z])", r"\1" + CUT + r"\2")
+    return f"list_filter(string_split({marked}, '{CUT}'), lambda p: p <> '')"
 
 
-_CODE_TEXT = r"replace(replace(replace(replace(text, '~~', ''), '. ', ''), ' of ', '_'), ' the ', 'X')"
+_CODE_TEXT = "replace(replace(replace(text, '. ', ''), ' of ', '_'), ' the ', 'X')"
 
 
 def _code_text():
-    return T.replace_all(C("text"), [("~~", ""), (". ", ""), (" of ", "_"), (" the ", "X")])
+    return T.replace_all(C("text"), [(". ", ""), (" of ", "_"), (" the ", "X")])
 
 
 @query("x11_camel_code_parts", f"""

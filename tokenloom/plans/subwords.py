@@ -70,11 +70,10 @@ def vocabulary_constrained(spark, folder):
 
 @query("a08_isolate_terms", f"""
 SELECT token, array_to_string(CASE WHEN regexp_full_match(token, 'ea|tion') OR NOT regexp_matches(token, 'ea|tion') THEN [token]
-  ELSE list_filter(string_split(regexp_replace(token, '(ea|tion)', '~\\1~', 'g'), '~'), lambda p: p <> '') END, '|') AS parts
-FROM {DOC_COUNTS_SQL} WHERE NOT contains(token, '~')""")
+  ELSE list_filter(string_split(regexp_replace(token, '(ea|tion)', chr(57345) || '\\1' || chr(57345), 'g'), chr(57345)), lambda p: p <> '') END, '|') AS parts
+FROM {DOC_COUNTS_SQL}""")
 def isolate_terms(spark, folder):
-    words = doc_counts(spark, folder).where(~F.contains(C("token"), F.lit("~")))
-    return words.select("token", F.array_join(B.isolate_terms(C("token"), "ea|tion"), "|").alias("parts"))
+    return doc_counts(spark, folder).select("token", F.array_join(B.isolate_terms(C("token"), "ea|tion"), "|").alias("parts"))
 
 
 @query("j06_subword_lookup", f"""

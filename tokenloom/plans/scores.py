@@ -127,12 +127,23 @@ def unsmoothed_corpus_bleu(spark, folder):
     return total.select(F.round(R.unsmoothed_corpus_bleu(), 6).alias("bleu"))
 
 
-@query("a22_rouge_l")
+# one row of the table of common lengths per recursion step: a length grows at the latest match up to each place
+ROUGE_SQL = f"""{PRED},
+lr AS MATERIALIZED (SELECT id, k, string_split(array_to_string(h, ' '), ' ') AS a, string_split(ref, ' ') AS b FROM (SELECT id, h, unnest([tgt, src]) AS ref, unnest([1, 2]) AS k FROM pred)),
+dp AS (SELECT id, k, 0::BIGINT AS i, list_transform(b, lambda x: 0::BIGINT) AS line FROM lr
+  UNION ALL SELECT id, k, i + 1, CASE WHEN len(hits) = 0 THEN line ELSE list_transform(line, lambda x, j: greatest(x, coalesce(list_max(list_transform(list_filter(hits, lambda p: p <= j), lambda p: coalesce(line[p - 1], 0) + 1)), 0))) END
+  FROM (SELECT dp.id, dp.k, i, line, list_filter(range(1, len(b) + 1), lambda j: b[j] = a[i + 1]) AS hits FROM dp JOIN lr ON lr.id = dp.id AND lr.k = dp.k WHERE i < len(a))),
+lc AS (SELECT id, k, arg_max(line[-1], i) AS lcs FROM dp GROUP BY id, k),
+pr AS (SELECT id, max(lcs / len(a)) AS p, max(lcs / len(b)) AS r FROM lr JOIN lc USING (id, k) GROUP BY id),
+rl AS (SELECT id, CASE WHEN p > 0 AND r > 0 THEN (1 + 1.44::DOUBLE) * p * r / (r + 1.44::DOUBLE * p) ELSE 0::DOUBLE END AS score FROM pr)"""
+
+
+@query("a22_rouge_l", f"WITH RECURSIVE {ROUGE_SQL} SELECT id, round(score, 6) AS rouge_l FROM rl")
 def rouge_l(spark, folder):
     return R.rouge_l(predictions(spark, folder)).select("id", F.round("rouge_l", 6).alias("rouge_l"))
 
 
-@query("a22_mean_rouge_l")
+@query("a22_mean_rouge_l", f"WITH RECURSIVE {ROUGE_SQL} SELECT round(avg(score), 6) AS mean_rouge_l, count(*)::BIGINT AS n FROM rl")
 def mean_rouge_l(spark, folder):
     return R.rouge_l(predictions(spark, folder)).agg(F.round(F.avg("rouge_l"), 6).alias("mean_rouge_l"), F.count(F.lit(1)).alias("n"))
 

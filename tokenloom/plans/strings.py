@@ -270,7 +270,17 @@ def java_literal_tokens(spark, folder):
         "doc_id", T.normalize_literal(C("text"), False, T.JAVA_CHAR_TO_TOKEN, T.JAVA_TOKEN_TO_CHAR).alias("literal"))
 
 
-@query("x19_comment_tokens")
+# runs of more than five equal characters are cut by their lengths; the rule itself uses a back-reference
+_SQUEEZED = r"""ch AS (SELECT doc_id, unnest(c) AS c, generate_subscripts(c, 1) AS i FROM (SELECT doc_id, regexp_extract_all(regexp_replace(text, ' +', ' ', 'g'), '(?s).') AS c FROM documents)),
+st AS (SELECT *, c IS DISTINCT FROM lag(c) OVER (PARTITION BY doc_id ORDER BY i) AS starts FROM ch),
+rn AS (SELECT *, sum(starts::INT) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM st),
+ps AS (SELECT *, row_number() OVER (PARTITION BY doc_id, run ORDER BY i) AS nth FROM rn),
+sq AS (SELECT doc_id, string_agg(c, '' ORDER BY i) FILTER (WHERE nth <= 5 OR c = chr(10)) AS text FROM ps GROUP BY doc_id),
+co AS (SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(sq.text, '') END AS text FROM documents d LEFT JOIN sq USING (doc_id))"""
+
+
+@query("x19_comment_tokens", f"""WITH {_SQUEEZED} SELECT doc_id,
+  CASE WHEN len(regexp_extract_all(text, '[\\p{{L}}\\p{{N}}_]')) >= 2 THEN {_sql_literal('text')} ELSE '' END AS literal FROM co""")
 def comment_tokens(spark, folder):
     return documents(spark, folder).select("doc_id", T.normalize_literal(C("text"), True).alias("literal"))
 

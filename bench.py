@@ -13,7 +13,7 @@ from tokenloom.plans import QUERIES
 from tokenloom.session import local_session
 
 HEADLINE = [
-    "a01_corpus_statistics", "a02_token_counts", "a05_learn_merges", "a14_document_frequency", "a18_corpus_bleu",
+    "a01_corpus_statistics", "a02_token_counts", "a05_learn_merges", "a05_learn_100_merges", "a14_document_frequency", "a18_corpus_bleu",
     "a22_mean_rouge_l", "a23_mean_token_f1", "a24_weighted_mean", "a25_result_tally", "a27_sequence_score",
     "f13_dialect", "f17_has_text", "j02_positional_zip", "j04_vocabulary_lookup", "m02_pad_batch", "s16_shard_sink",
     "t01_incremental_ingest", "u03_multiset_union", "w02_train_valid_test", "w07_token_batches", "w13_stream_batches",

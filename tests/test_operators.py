@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tokenloom.functions import arrays as A, noise as N, text as T, tokens as K
 from tokenloom.operators import (filters as P, pairing, ranking as R, scoring, splits, stats, subword as B, tokentables,
                                  trees, vocab as V)
+from tokenloom.plans.common import doc_counts
 from tokenloom.session import fresh_path
 from tokenloom.sources import readers as I, sinks as O
 from tokenloom.streaming import jobs as J
@@ -341,12 +342,12 @@ def test_toy_merges(spark):
     assert B.learn_merges(counts_frame(spark, TOY), 10) == slow_merges(TOY, 10)[0]
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_batched_learning_equals_one_at_a_time(spark, seed):
+@pytest.mark.parametrize("seed, candidates", [(1, 8), (2, 8), (3, 2048)])
+def test_batched_learning_equals_one_at_a_time(spark, seed, candidates):
     rng = random.Random(seed)
     counts = {"".join(rng.choice("aabcde") for _ in range(rng.randint(1, 7))): rng.randint(1, 9) for _ in range(60)}
     want, words = slow_merges(counts, 25)
-    merges = B.learn_merges(counts_frame(spark, counts), 25, candidates=8, freeze_every=2)
+    merges = B.learn_merges(counts_frame(spark, counts), 25, candidates=candidates, freeze_every=2)
     assert merges == want
     got = {r["token"]: r["pieces"] for r in B.segment(counts_frame(spark, counts), merges).collect()}
     for word, parts in words.items():
@@ -355,6 +356,11 @@ def test_batched_learning_equals_one_at_a_time(spark, seed):
         assert joined == word + "</w>"
 
 
+def test_many_merges_of_the_documents(spark):
+    counts = {r["token"]: r["n"] for r in doc_counts(spark, "/root/testdata/sf0.001").collect()}
+    assert B.learn_merges(counts_frame(spark, counts), 60, candidates=64) == slow_merges(counts, 60)[0]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.tuples(st.sampled_from("ab"), st.sampled_from("abc")), unique=True, max_size=5), st.text("abc", min_size=1, max_size=12))
 def test_encoding_takes_lowest_rank_first(merges, word):

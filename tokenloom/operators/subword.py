@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, StringType
 
-from ..session import durable
+from ..session import discard, durable, staged
 from .tokentables import one_row_each
 from .vocab import skewed_lookup
 
@@ -44,57 +44,112 @@ def pair_counts(words: DataFrame, symbols: str = "symbols", n: str = "n") -> Dat
     return pairs.groupBy("p.left", "p.right").agg(F.sum(n).alias("n"))
 
 
+def _marked_pairs(merges: list[Merge]) -> Column:
+    """The marked pairs as one constant array; the plan keeps its shape, so that its compiled code serves every step."""
+    listed = [f"{OPEN}{left}{BETWEEN}{right}{CLOSE}" for left, right in merges]
+    return F.split(F.lit((OPEN + CLOSE).join(listed)), OPEN + CLOSE) if listed else F.array().cast("array<string>")
+
+
 def merge_symbols(symbols: Column, merges: list[Merge]) -> Column:
-    for left, right in merges:
-        symbols = F.replace(symbols, F.lit(f"{OPEN}{left}{BETWEEN}{right}{CLOSE}"), F.lit(f"{OPEN}{left}{right}{CLOSE}"))
-    return symbols
+    """Symbols with the merges applied in order."""
+    return F.aggregate(_marked_pairs(merges), symbols, lambda text, pair: F.replace(text, pair, F.replace(pair, F.lit(BETWEEN), F.lit(""))))
 
 
-def independent_prefix(ranked: list[tuple[str, str, int]], complete: bool) -> list[Merge]:
+def next_merges(ranked: list[tuple[str, str, int]], bound: int, known: set[str]) -> list[Merge]:
     """The merges that one-at-a-time learning would pick next, from pairs in rank order.
 
     A merge only changes counts of pairs that share a symbol with it, and the
     pairs it creates are at most as frequent as those. So further pairs can be
-    taken in the same round while they share no symbol with an earlier one and
-    are strictly more frequent than the first pair that does. ``complete`` says
-    the list holds all pairs; otherwise the unseen ones may be as frequent as
-    the last listed.
+    taken in the same step while they share no symbol with an earlier one and
+    are strictly more frequent than the first pair that does, and than
+    ``bound``, the most that a pair outside the list may have. A merge whose
+    result is already a symbol (``known``) can add to counts of old pairs, so
+    it is only taken alone.
     """
     taken: list[tuple[str, str, int]] = []
     used: set[str] = set()
-    bound = 0 if complete else ranked[-1][2]
+    made = set(known)
     for left, right, n in ranked:
-        if left in used or right in used:
-            bound = n
+        repeats = left + right in made
+        if left in used or right in used or (repeats and taken):
+            bound = max(bound, n)
             break
         taken.append((left, right, n))
+        if repeats:
+            break
         used |= {left, right}
+        made.add(left + right)
     return [(l, r) for i, (l, r, n) in enumerate(taken) if i == 0 or n > bound]
 
 
-def learn_merges(counts: DataFrame, merges: int, candidates: int = 64, freeze_every: int = 10) -> list[Merge]:
+def count_changes(words: DataFrame, step: list[Merge], watched: list[Merge], least: int, gains: int) -> DataFrame:
+    """(left, right, n): by how much ``step`` changes the counts of the watched pairs, then the ``gains`` largest new
+    counts above ``least``. Only words that hold a merged pair are taken apart."""
+    symbols = F.col("symbols")
+    touched = F.exists(_marked_pairs(step), lambda pair: F.contains(symbols, pair))
+    sides = words.where(touched).select(F.explode(F.array(
+        F.struct((-F.col("n")).alias("n"), symbols.alias("symbols")),
+        F.struct("n", merge_symbols(symbols, step).alias("symbols")))).alias("side")).select("side.*")
+    listed = ", ".join(f"X'{(l + BETWEEN + r).encode().hex()}'" for l, r in watched)
+    seen = F.expr(f"cast(concat(left, '{BETWEEN}', right) AS binary) IN ({listed})")
+    changes = pair_counts(sides).withColumn("seen", seen).where(F.col("seen") | (F.col("n") > least))
+    return changes.orderBy(F.col("seen").desc(), F.col("n").desc(), "left", "right").limit(len(watched) + gains)
+
+
+def learn_merges(counts: DataFrame, merges: int, candidates: int = 2048, freeze_every: int = 24) -> list[Merge]:
     """Merge list by falling pair count, ties by the two symbols.
 
-    Each round brings at most ``candidates`` pairs to the driver, which also
-    holds the merge list, as long as the caller asked for.
+    A full count ranks the first ``candidates`` pairs. Each step then takes
+    apart only the words that hold one of its pairs and applies the differences
+    to that ranking, together with the new pairs that are more frequent than
+    any pair outside it. The next full count comes when no listed pair is
+    certain to be the next one, or when a merge makes a symbol that another
+    merge made before. The driver holds the merge list, as long as the caller
+    asked for, and at most ``5 * candidates`` pairs.
     """
-    base = durable(counts.select("n", as_symbols(F.col("token")).alias("symbols")))
+    words = staged(counts.select("n", as_symbols(F.col("token")).alias("symbols")), "merge-words")
     learned: list[Merge] = []
+    known = {END_OF_WORD}
     pending: list[Merge] = []
-    rounds = 0
+
+    def current() -> DataFrame:
+        return words.select("n", merge_symbols(F.col("symbols"), pending).alias("symbols"))
+
     while len(learned) < merges:
-        state = base.select("n", merge_symbols(F.col("symbols"), pending).alias("symbols"))
-        top = pair_counts(state).orderBy(F.col("n").desc(), "left", "right").limit(candidates).collect()
+        top = pair_counts(current()).orderBy(F.col("n").desc(), "left", "right").limit(candidates).collect()
+        live = {(r["left"], r["right"]): r["n"] for r in top}
+        bound = top[-1]["n"] if len(top) == candidates else 0
+        certain = bool(top)  # the first pair of a full count is the next merge, whatever the bound
+        while certain and len(learned) < merges:
+            ranked = sorted(((l, r, n) for (l, r), n in live.items()), key=lambda p: (-p[2], p[0], p[1]))
+            step = next_merges(ranked, bound, known)[: merges - len(learned)]
+            learned += step
+            state = current()
+            pending = pending + step
+            repeats = step[0][0] + step[0][1] in known
+            known.update(l + r for l, r in step)
+            if repeats or len(learned) == merges:
+                break
+            parts = {symbol for pair in step for symbol in pair}
+            watched = [pair for pair in live if not parts.isdisjoint(pair)]
+            changes = count_changes(state, step, watched, bound, candidates).collect()
+            gained = [r["n"] for r in changes if not r["seen"]]
+            if len(gained) == candidates:
+                bound = max(bound, gained[-1])
+            for r in changes:
+                pair = (r["left"], r["right"])
+                live[pair] = live.get(pair, 0) + r["n"]
+            live = {pair: n for pair, n in live.items() if n > bound}
+            if len(live) > 4 * candidates:
+                bound = max(bound, sorted(live.values(), reverse=True)[candidates])
+                live = {pair: n for pair, n in live.items() if n > bound}
+            certain = bool(live)
+            if len(pending) >= freeze_every:
+                before, words, pending = words, staged(current(), "merge-words"), []
+                discard(before)
         if not top:
             break
-        ranked = [(r["left"], r["right"], r["n"]) for r in top]
-        step = independent_prefix(ranked, len(ranked) < candidates)[: merges - len(learned)]
-        learned += step
-        pending += step
-        rounds += 1
-        if rounds % freeze_every == 0:
-            base = durable(base.select("n", merge_symbols(F.col("symbols"), pending).alias("symbols")))
-            pending = []
+    discard(words)
     return learned
 
 
@@ -184,7 +239,7 @@ def constrain(segmented: DataFrame, merges: list[Merge], vocabulary: DataFrame)
         lookup = F.when(F.col("final"), F.col("piece")).otherwise(F.concat("piece", F.lit(SEPARATOR)))
         merged = F.when(F.col("final"), F.concat("piece", F.lit(END_OF_WORD))).otherwise(F.col("piece"))
         looked = rows.withColumn("_l", lookup).join(known, F.col("_l") == F.col("known"), "left")
-        looked = looked.withColumn("_m", merged).join(F.broadcast(parts), F.col("_m") == F.col("merged"), "left")
+        looked = looked.withColumn("_m", merged).join(parts, F.col("_m") == F.col("merged"), "left")
         done = F.col("known").isNotNull() | F.col("left").isNull()
         return looked.select("root", "root_final", "path", "piece", "final", "left", "right", done.alias("done"))
 

@@ -50,6 +50,12 @@ def learn_merges(spark, folder):
     return B.merge_table(spark, merges).withColumn("rank", C("rank").cast("long"))
 
 
+@query("a05_learn_100_merges")
+def learn_100_merges(spark, folder):
+    merges = B.learn_merges(doc_counts(spark, folder), 100)
+    return B.merge_table(spark, merges).withColumn("rank", C("rank").cast("long"))
+
+
 @query("a06_apply_merges", f"""
 WITH {merges_sql(MERGES)} SELECT token, array_to_string(p, '@@ ') AS pieces, token AS restored FROM {_FINAL}""")
 def apply_merges(spark, folder):

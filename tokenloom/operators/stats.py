@@ -41,13 +41,17 @@ def corpus_statistics(df: DataFrame, group: str, tokens: Column) -> DataFrame:
 
 
 def document_frequency(df: DataFrame, key: str, tokens: Column, min_df: int, stop_words: list[str]) -> DataFrame:
-    """(token, df, n) of tokens in at least ``min_df`` texts, stop words left out."""
-    per_text = (
-        df.select(key, F.explode(tokens).alias("token")).where(~F.col("token").isin(stop_words))
-        .groupBy(key, "token").agg(F.count(F.lit(1)).alias("n"))
-    )
+    """(token, df, n) of tokens in at least ``min_df`` texts, stop words left out; one row per ``key``.
+
+    A text's tokens are sorted inside its row, where the first of each run counts for ``df``, so that the only
+    shuffle is that of sums per token.
+    """
+    in_order = df.select(key, F.sort_array(tokens).alias("_sorted"))
+    flagged = in_order.select(F.explode_outer(F.transform("_sorted", lambda t, i: F.struct(
+        t.alias("token"), (~t.eqNullSafe(F.get("_sorted", i - 1))).cast("long").alias("first")))).alias("_t"))
     return (
-        per_text.groupBy("token").agg(F.count(F.lit(1)).alias("df"), F.sum("n").alias("n"))
+        flagged.select("_t.*").where(~F.col("token").isin(stop_words))
+        .groupBy("token").agg(F.sum("first").alias("df"), F.count(F.lit(1)).alias("n"))
         .where(F.col("df") >= min_df)
     )
 

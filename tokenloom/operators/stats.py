@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from ..session import durable
+from ..session import staged
 from .tokentables import one_row_each
 
 
@@ -23,8 +23,8 @@ def corpus_statistics(df: DataFrame, group: str, tokens: Column) -> DataFrame:
     sized = df.select(group, tokens.alias("t"))
     records = sized.groupBy(group).agg(F.count(F.lit(1)).alias("records"))
     # written once: the texts are tokenised a single time for all figures below
-    per_token = durable(
-        one_row_each(sized, [group], "t", "token").groupBy(group, "token").agg(F.count(F.lit(1)).alias("n")))
+    per_token = staged(
+        one_row_each(sized, [group], "t", "token").groupBy(group, "token").agg(F.count(F.lit(1)).alias("n")), "corpus-tokens")
     tokens_by_group = per_token.groupBy(group).agg(F.sum("n").alias("tokens"), F.count(F.lit(1)).alias("unique_tokens"))
     rows = (
         records.join(tokens_by_group, group, "left")

@@ -22,7 +22,7 @@ def known_language(spark: SparkSession, docs: DataFrame, folder: str) -> DataFra
 
 def new_lines(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Texts without lines of recurring templates; documents that lose every line with text go."""
-    kept = linetemplates.without_repeated_lines(docs)
+    kept = linetemplates.without_repeated_lines(docs, **linetemplates.EVERY_LINE)
     emptied = (F.col("n_dropped") > 0) & (F.trim(F.regexp_replace("text", r"\s+", " ")) == "")
     return kept.where(~F.coalesce(emptied, F.lit(False))).withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
 

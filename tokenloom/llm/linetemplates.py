@@ -13,6 +13,11 @@ share a template, in which the places that differ become fields.
 3. A template of ``min_docs`` documents recurs. The document with the smallest
    key keeps its lines, all others lose them.
 
+A line of at most ``DEPTH`` tokens is its own template, its digits aside. A line
+of fields alone has nothing to tell it by: it keeps its digits, so that only the
+same numbers repeat it. The registered queries use ``EVERY_LINE``: all lines with
+text take part, and only the number of documents decides.
+
 Defined results: blank lines and lines below ``min_tokens`` tokens stay. Null
 texts stay null, texts without a dropped line stay as they are. A null key
 loses nothing and is not counted. Rows that repeat a key are one document.
@@ -34,13 +39,17 @@ from .words import slices
 
 DEPTH, SIMILAR, FIELD = 3, 0.7, b"<*>"
 MIN_DOCS, MIN_TOKENS = 10, 3
+EVERY_LINE = {"min_docs": 3, "min_tokens": 1}
 GROUP = 4000  # masked lines that one task parses together
 DIGIT = re.compile(rb"[0-9]")
 
 
 def masked(line: bytes) -> list[bytes]:
     tokens = line.split()
-    return [FIELD if DIGIT.search(token) else token for token in tokens] if DIGIT.search(line) else tokens
+    if not DIGIT.search(line):
+        return tokens
+    fields = [FIELD if DIGIT.search(token) else token for token in tokens]
+    return fields if any(field is not FIELD for field in fields) else tokens
 
 
 def _lines(min_tokens: int, whole: bool):

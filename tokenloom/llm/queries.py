@@ -90,7 +90,7 @@ def op3_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op6_line_dedup")
 def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    kept = linetemplates.without_repeated_lines(documents(spark, folder))
+    kept = linetemplates.without_repeated_lines(documents(spark, folder), **linetemplates.EVERY_LINE)
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 

@@ -10,7 +10,9 @@ letter of each at a time.
 Learning is bounded: at most ``SAMPLE_DOCS`` documents a language, chosen by
 hash, a piece of ``PIECE`` characters of each from a place chosen by hash, and
 ``TOTAL`` characters over all languages. The automata are broadcast; ``TOTAL``
-bounds them as well.
+bounds them as well. The whole alphabet of the samples is kept, however many
+scripts they hold: an automaton numbers the letters of its own sample, and its
+transitions lie in blocks of ``WIDE`` letters, written only where a state has one.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0,
 and so is every text if there is no labelled text. Letters that no sample holds
@@ -33,11 +35,12 @@ from .words import slices, starts_of
 
 SAMPLE_DOCS, PIECE, TOTAL = 96, 400, 400_000
 BLOCK = 256
+WIDE = 64  # letters of a block of transitions
 UNKNOWN = "und"
 
 
-def suffix_automaton(symbols: np.ndarray, size: int) -> np.ndarray:
-    """Transitions of the suffix automaton of a symbol sequence: row = state, column = symbol, 0 = none (0 is the root)."""
+def suffix_moves(symbols: np.ndarray) -> list[dict[int, int]]:
+    """Transitions of the suffix automaton of a symbol sequence, one dictionary per state (0 is the root)."""
     moves: list[dict[int, int]] = [{}]
     link, length = [-1], [0]
     last = 0
@@ -64,6 +67,12 @@ def suffix_automaton(symbols: np.ndarray, size: int) -> np.ndarray:
                     state = link[state]
                 link[target] = link[new] = clone
         last = new
+    return moves
+
+
+def suffix_automaton(symbols: np.ndarray, size: int) -> np.ndarray:
+    """The same as a table: row = state, column = symbol, 0 = none."""
+    moves = suffix_moves(symbols)
     table = np.zeros((len(moves), size), np.int32)
     for state, row in enumerate(moves):
         for symbol, target in row.items():
@@ -71,12 +80,35 @@ def suffix_automaton(symbols: np.ndarray, size: int) -> np.ndarray:
     return table
 
 
+class Automaton:
+    """A suffix automaton over any number of symbols, in two levels: state and block of symbols, then symbol in its block."""
+
+    def __init__(self, symbols: np.ndarray, size: int):
+        own = np.unique(symbols)
+        self.number = np.zeros(size, np.int64)  # 0: a symbol that the sequence lacks, without transitions
+        self.number[own] = np.arange(1, len(own) + 1)
+        self.per = -(-(len(own) + 1) // WIDE)
+        moves = suffix_moves(self.number[symbols])
+        self.places = np.zeros(len(moves) * self.per, np.int32)  # block 0 has no transition
+        used = np.unique(np.fromiter((state * self.per + symbol // WIDE for state, row in enumerate(moves) for symbol in row), np.int64))
+        self.places[used] = np.arange(1, len(used) + 1)
+        self.targets = np.zeros((len(used) + 1) * WIDE, np.int32)
+        for state, row in enumerate(moves):
+            for symbol, target in row.items():
+                self.targets[int(self.places[state * self.per + symbol // WIDE]) * WIDE + symbol % WIDE] = target
+
+    def step(self, states: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+        """The state after one more symbol, by its number; 0 = none."""
+        blocks = self.places[states * self.per + numbers // WIDE].astype(np.int64)
+        return self.targets[blocks * WIDE + numbers % WIDE].astype(np.int64)
+
+
 class Languages:
     """Learned alphabet and one automaton per language."""
 
     def __init__(self, texts: dict[str, str]):
-        letters = sorted({c for text in texts.values() for c in text.lower() if c.isalpha()})[:250]
-        self.codes = np.zeros(0x110000, np.uint8)  # 0: no letter
+        letters = sorted({c for text in texts.values() for c in text.lower() if c.isalpha()})
+        self.codes = np.zeros(0x110000, np.int32)  # 0: no letter
         for point in range(0x110000):
             if chr(point).isalpha():
                 self.codes[point] = 1  # a letter of no sample
@@ -89,7 +121,7 @@ class Languages:
             sample = self.symbols(texts[name])
             if (sample > 1).any():
                 self.names.append(name)
-                self.tables.append(suffix_automaton(sample[sample != 1], self.size).ravel())
+                self.tables.append(Automaton(sample, self.size))
                 self.bits.append(math.log2(len(sample) + 1))
 
     def symbols(self, text: str) -> np.ndarray:
@@ -102,13 +134,13 @@ class Languages:
         codes = codes[keep]
         return codes[:-1] if len(codes) and codes[-1] == 0 else codes
 
-    def phrases(self, blocks: np.ndarray, table: np.ndarray) -> np.ndarray:
+    def phrases(self, blocks: np.ndarray, table: Automaton) -> np.ndarray:
         """Phrases of each row of symbols, padding not counted."""
         state = np.zeros(len(blocks), np.int64)
         count = np.ones(len(blocks), np.int64)
-        root = table[:self.size].astype(np.int64)
-        for symbol in np.ascontiguousarray(blocks.T).astype(np.int64):
-            step = table[state * self.size + symbol]
+        root = table.step(np.zeros(self.size, np.int64), table.number)
+        for symbol in np.ascontiguousarray(blocks.T):
+            step = table.step(state, table.number[symbol])
             ended = step == 0
             count += ended
             state = np.where(ended, root[symbol], step)
@@ -119,7 +151,7 @@ class Languages:
         symbols = [self.symbols(text) for text in texts]
         lengths = np.array([len(s) for s in symbols], np.int64)
         per = -(-lengths // BLOCK)
-        blocks = np.full((int(per.sum()), BLOCK), self.pad, np.uint8)
+        blocks = np.full((int(per.sum()), BLOCK), self.pad, np.int32)
         flat = blocks.reshape(-1)
         for at, s in zip(starts_of(per), symbols):
             flat[at * BLOCK:at * BLOCK + len(s)] = s

@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import random
+
+import pytest
+
 import corpus_pipeline
+from tokenloom.llm import linetemplates
 from tokenloom.llm.queries import QUERIES
 
 
@@ -17,3 +22,45 @@ def test_short_and_rare_lines_go(spark, tmp_path):
     kept = {r["doc_id"]: r["text"].split("\n") for r in corpus_pipeline.new_lines(spark, docs, "").collect()}
     assert kept[0] == rows[0][1].split("\n") and kept[3] == ["once", "33", "3 3 3", "textd alone", " "]
     assert kept[1] == ["Twice here", "11", "1 1 1", "textb alone", " "] and kept[2] == ["once", "22", "2 2 2", "textc alone", " "]
+
+
+def plain(rows, min_docs):
+    """Texts without recurring lines, by comparing each line with each other one of its path."""
+    docs, group = {}, {}
+    for key, text in rows:
+        for line in text.split("\n"):
+            docs.setdefault(line, set()).add(key)
+            group[line] = line
+    for a in docs:
+        for b in docs:
+            x, y = a.split(), b.split()
+            if len(x) == len(y) and x[:3] == y[:3] and sum(map(str.__eq__, x, y)) / len(x) >= 0.7 and group[a] != group[b]:
+                old = group[b]
+                group = {line: group[a] if g == old else g for line, g in group.items()}
+    met = {}
+    for line, g in group.items():
+        met.setdefault(g, set()).update(docs[line])
+    gone = lambda key, line: len(met[group[line]]) >= min_docs and key != min(met[group[line]])
+    return {key: "\n".join(line for line in text.split("\n") if not gone(key, line)) for key, text in rows}
+
+
+def free_text(seed):
+    """Lines of one opening and different ends, among them 'x5 Y0', 'x5 Y1' and others that end in Y1."""
+    draw = random.Random(seed)
+    rows = []
+    for key in range(40):
+        lines = [" ".join(["one", "same", "start", *(f"{place}{draw.choice('abcdefgh')}" for place in "pqrstuvw"[:n])]).replace("p", "P")
+                 for n in (1, 2, 2, 3, 3, 4, 5, 6, 7)]
+        rows.append((key, "\n".join([*lines, f"go on to x{'abcdefgh'[key % 8]} Y{'abc'[key % 3]}"])))
+    return rows
+
+
+@pytest.mark.parametrize("group", [1000, 7, 2])
+def test_templates_do_not_depend_on_the_dealing(spark, monkeypatch, group):
+    monkeypatch.setattr(linetemplates, "GROUP", group)
+    rows = free_text(1)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for min_docs in (3, 10):
+        got = {r["doc_id"]: r["text"] for r in linetemplates.without_repeated_lines(docs, min_docs=min_docs, min_tokens=1).collect()}
+        want = plain(rows, min_docs)
+        assert got == want and 0 < sum(a != b for a, b in zip(want.values(), dict(rows).values())) and any("same" in t for t in list(want.values())[5:])

@@ -3,14 +3,20 @@
 A line's tokens lie between white space; tokens that hold a digit are variable
 fields from the start. The tree's path is the number of tokens, then the first
 ``DEPTH`` tokens. Under a path, lines that agree in ``SIMILAR`` of their places
-share a template, in which the places that differ become fields.
+are linked, and all lines that links lead to share a template. So a line's
+template depends on the lines alone, not on their order, number or placing.
 
 1. One narrow pass counts the documents of every path. Only paths that occur in
    ``min_docs`` documents can hold a recurring template; the others' lines go no
    further.
-2. The distinct masked lines of those paths are parsed. A path with many of them
-   is dealt to several tasks, whose templates are then parsed together.
-3. A template of ``min_docs`` documents recurs. The document with the smallest
+2. The distinct masked lines of those paths are keyed by runs of their further
+   tokens, one run more than places may differ, so that lines to be linked have
+   a run in common. Lines with a common run share a bucket.
+3. Every line of a bucket is compared with the bucket's smallest one. Buckets
+   that still hold several components are dealt to blocks of about ``GROUP``
+   lines, each task compares two blocks, and components of the links are the
+   templates. No task holds a path.
+4. A template of ``min_docs`` documents recurs. The document with the smallest
    key keeps its lines, all others lose them.
 
 A line of at most ``DEPTH`` tokens is its own template, its digits aside. A line
@@ -35,12 +41,13 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import discard, release, staged
+from .components import components
 from .words import slices
 
 DEPTH, SIMILAR, FIELD = 3, 0.7, b"<*>"
 MIN_DOCS, MIN_TOKENS = 10, 3
 EVERY_LINE = {"min_docs": 3, "min_tokens": 1}
-GROUP = 4000  # masked lines that one task parses together
+GROUP = 1000  # lines of a bucket that one task compares with as many others; no result depends on it
 DIGIT = re.compile(rb"[0-9]")
 
 
@@ -80,7 +87,10 @@ def _lines(min_tokens: int, whole: bool):
 
 
 def parse(contents: list[str]) -> tuple[list[int], list[str]]:
-    """Number of the template of each masked line of one path, in the order given, and the templates."""
+    """Number of the template of each masked line of one path, in the order given, and the templates.
+
+    The greedy parse of lines one after the other, to compare with; no query uses it, as its templates depend on the order.
+    """
     templates: list[list[str]] = []
     out = []
     for content in contents:
@@ -99,22 +109,87 @@ def parse(contents: list[str]) -> tuple[list[int], list[str]]:
     return out, [" ".join(t) for t in templates]
 
 
-def _parsed(table: pa.Table) -> pa.Table:
-    """Masked lines of one path and deal -> path, line, and the text of its template."""
-    order = np.argsort(np.array(table.column("content").to_pylist(), object), kind="stable")
-    contents = [table.column("content")[int(i)].as_py() for i in order]
-    numbers, texts = parse(contents)
-    return pa.table({"path": table.column("path").take(pa.array(order)), "line": table.column("line").take(pa.array(order)),
-                     "template": pa.array([texts[n] for n in numbers], pa.string())})
-
-
-def _merged(table: pa.Table) -> pa.Table:
-    """Templates of one path from all its deals -> path, template, the hash that stands for its merged template."""
-    contents = sorted(set(table.column("template").to_pylist()))
-    numbers, templates = parse(contents)
-    texts = [xxhash.xxh3_64_intdigest(f"{table.column('path')[0].as_py()} {t}") for t in templates]
-    return pa.table({"path": pa.array([table.column("path")[0].as_py()] * len(contents), pa.int64()), "template": pa.array(contents, pa.string()),
-                     "merged": pa.array(np.array([texts[n] for n in numbers], np.uint64).view(np.int64))})
+def runs_of(count: int) -> list[tuple[int, int]]:
+    """Runs of places of which similar lines of so many tokens and one path have at least one in common."""
+    least = next(k for k in range(int(SIMILAR * count), count + 1) if k / count >= SIMILAR)
+    rest, cuts = count - DEPTH, count - least + 1
+    if rest < cuts:  # the path alone makes lines similar
+        return [(DEPTH, DEPTH)]
+    return [(DEPTH + rest * i // cuts, DEPTH + rest * (i + 1) // cuts) for i in range(cuts)]
+
+
+def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(path, line, content) -> path, line, bucket for each run of lines that are longer than a path."""
+    for batch in batches:
+        rows, buckets = [], []
+        for row, content in enumerate(batch.column(2)):
+            tokens = content.as_py().split(" ")
+            if len(tokens) > DEPTH:
+                for number, (start, end) in enumerate(runs_of(len(tokens))):
+                    rows.append(row)
+                    buckets.append(xxhash.xxh3_64_intdigest(f"{number} {' '.join(tokens[start:end])}"))
+        taken = pa.array(rows, pa.int64())
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(taken), batch.column(1).take(taken),
+                                          pa.array(np.array(buckets, np.uint64).view(np.int64))], names=["path", "line", "bucket"])
+
+
+def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of (a, b, content, content) -> the pairs that agree in enough places."""
+    for batch in batches:
+        keep = []
+        for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+            x, y = x.split(" "), y.split(" ")
+            keep.append(len(x) == len(y) and sum(map(str.__eq__, x, y)) / len(x) >= SIMILAR)
+        yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+
+def _across(table: pa.Table) -> pa.Table:
+    """Two blocks of a bucket -> links of similar lines, as many as join the components that they join."""
+    one, other = table.column("one")[0].as_py(), table.column("other")[0].as_py()
+    names, side = table.column("line").to_numpy(), table.column("block").to_numpy()
+    own = np.unique(table.column("root").to_numpy(), return_inverse=True)[1]
+    codes: dict[str, int] = {}
+    places = np.array([[codes.setdefault(token, len(codes)) for token in content.as_py().split(" ")] for content in table.column("content")], np.int32)
+    left, right = np.flatnonzero(side == one), np.flatnonzero(side == other)
+    found: list[tuple[int, int]] = []
+    for i in left:
+        rest = right[(own[right] != own[i]) & ((right > i) if one == other else True)]
+        rest = rest[(places[rest] == places[i]).sum(axis=1) / places.shape[1] >= SIMILAR]
+        if len(rest):
+            met, first = np.unique(own[rest], return_index=True)
+            found += [(names[i], names[j]) for j in rest[first]]
+            own[np.isin(own, met)] = own[i]
+    return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+
+def dealt(placed: DataFrame, contents: DataFrame) -> DataFrame:
+    """(path, bucket, line, root, n) -> the lines of buckets of several components, once for each pair of blocks to compare."""
+    split = (placed.groupBy("path", "bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+             .where("low != high").select("path", "bucket"))
+    blocks = F.ceil(F.col("n") / GROUP).cast("int")
+    return (placed.join(split, ["path", "bucket"]).join(contents.select("line", "content"), "line")
+            .withColumn("block", F.pmod(F.xxhash64("line"), blocks).cast("int"))
+            .withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
+            .select("path", "bucket", "line", "root", "content", "block",
+                    F.least("block", "with").alias("one"), F.greatest("block", "with").alias("other")))
+
+
+def templates(contents: DataFrame) -> DataFrame:
+    """(path, line, content), distinct -> (node, root): lines that share a template with a smaller one. A staged table."""
+    keyed = staged(contents.select("path", "line", "content").mapInArrow(_keyed, "path bigint, line bigint, bucket bigint"), "lines-keyed")
+    sizes = keyed.groupBy("path", "bucket").agg(F.count(F.lit(1)).alias("n"), F.min("line").alias("leader")).where("n > 1")
+    shared = staged(keyed.join(sizes, ["path", "bucket"]), "lines-shared")
+    side = lambda name, text: contents.select(F.col("line").alias(name), F.col("content").alias(text))
+    stars = shared.where("line != leader").select(F.col("line").alias("a"), F.col("leader").alias("b")).distinct()
+    links = staged(stars.join(side("a", "x"), "a").join(side("b", "y"), "b").select("a", "b", "x", "y")
+                   .mapInArrow(_similar, "a bigint, b bigint"), "lines-links")
+    roots = components(links, "a", "b")
+    placed = (shared.join(roots.withColumnRenamed("node", "line"), "line", "left")
+              .select("path", "bucket", "line", F.coalesce("root", "line").alias("root"), "n"))
+    more = staged(dealt(placed, contents).groupBy("path", "bucket", "one", "other").applyInArrow(_across, "a bigint, b bigint"), "lines-more")
+    out = components(links.unionByName(more), "a", "b")
+    discard(keyed, shared, links, roots, more)
+    return out
 
 
 def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_docs: int = MIN_DOCS,
@@ -130,18 +205,14 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min
         rows.mapInArrow(_lines(min_tokens, True), "key bigint, path bigint, line bigint, content string")
         .join(paths, "path").groupBy("path", "line", "content").agg(F.count(F.lit(1)).alias("n")).drop("n"), "lines-contents")
     release(spark)
-    sizes = contents.groupBy("path").agg(F.count(F.lit(1)).alias("n"))
-    dealt = (contents.join(sizes, "path")
-             .withColumn("deal", F.pmod(F.col("line"), F.ceil(F.col("n") / GROUP).cast("bigint"))))
-    first = staged(dealt.groupBy("path", "deal").applyInArrow(_parsed, "path bigint, line bigint, template string"), "lines-templates")
-    merged = first.select("path", "template").distinct().groupBy("path").applyInArrow(_merged, "path bigint, template string, merged bigint")
-    found = staged(narrow.join(first.join(merged, ["path", "template"]).select("path", "line", "merged"), ["path", "line"])
-                   .select("key", "line", "merged"), "lines-found")
+    shared = templates(contents)
+    found = staged(narrow.join(paths, "path").join(shared.withColumnRenamed("node", "line"), "line", "left")
+                   .select("key", "line", F.coalesce("root", "line").alias("merged")), "lines-found")
     recurring = (found.select("merged", "key").distinct().groupBy("merged")
                  .agg(F.count(F.lit(1)).alias("docs"), F.min("key").alias("first")).where(F.col("docs") >= min_docs))
     out = staged(found.join(recurring, "merged").where("key != first").groupBy("key").agg(F.collect_set("line").alias("lines")),
                  "lines-dropped")
-    discard(narrow, paths, contents, first, found)
+    discard(narrow, paths, contents, shared, found)
     release(spark)
     return out
 

@@ -64,3 +64,13 @@ def test_templates_do_not_depend_on_the_dealing(spark, monkeypatch, group):
         got = {r["doc_id"]: r["text"] for r in linetemplates.without_repeated_lines(docs, min_docs=min_docs, min_tokens=1).collect()}
         want = plain(rows, min_docs)
         assert got == want and 0 < sum(a != b for a, b in zip(want.values(), dict(rows).values())) and any("same" in t for t in list(want.values())[5:])
+
+
+def test_no_task_holds_a_path(spark, monkeypatch):
+    """Lines of one opening and free ends go to tasks by two blocks at a time, long lines in smaller ones."""
+    monkeypatch.setattr(linetemplates, "GROUP", 20)
+    for tokens, most in ((6, 80), (640, 16)):
+        rows = [(1, key, "one same start " + " ".join(["all", *(f"w{key}x{i}" for i in range(tokens - 4))]), key, 7, 400) for key in range(400)]
+        frame = spark.createDataFrame(rows, "path long, line long, content string, root long, bucket long, n long")
+        got = linetemplates.dealt(frame.drop("content"), frame).groupBy("one", "other").count().collect()
+        assert len(got) > 100 and max(r["count"] for r in got) <= most

@@ -48,6 +48,7 @@ DEPTH, SIMILAR, FIELD = 3, 0.7, b"<*>"
 MIN_DOCS, MIN_TOKENS = 10, 3
 EVERY_LINE = {"min_docs": 3, "min_tokens": 1}
 GROUP = 1000  # lines of a bucket that one task compares with as many others; no result depends on it
+LONG = 64  # tokens up to which a line counts once in its block, and once more for each as many
 DIGIT = re.compile(rb"[0-9]")
 
 
@@ -166,7 +167,8 @@ def dealt(placed: DataFrame, contents: DataFrame) -> DataFrame:
     """(path, bucket, line, root, n) -> the lines of buckets of several components, once for each pair of blocks to compare."""
     split = (placed.groupBy("path", "bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"))
              .where("low != high").select("path", "bucket"))
-    blocks = F.ceil(F.col("n") / GROUP).cast("int")
+    weight = F.ceil(F.size(F.split("content", " ", -1)) / LONG)  # the same for all lines of a path
+    blocks = F.least("n", F.ceil(F.col("n") * weight / GROUP)).cast("int")
     return (placed.join(split, ["path", "bucket"]).join(contents.select("line", "content"), "line")
             .withColumn("block", F.pmod(F.xxhash64("line"), blocks).cast("int"))
             .withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))

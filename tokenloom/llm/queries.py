@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import language, linetemplates, mixing, mixing_sql, pieces, quality, tokenbin
+from . import language, lexical, lexical_sql, linetemplates, mixing, mixing_sql, pieces, quality, tokenbin
 from .exact import exact_groups
 from .neardup import near_duplicates
 from .neighbours import nearest_neighbours
@@ -100,6 +100,11 @@ def op8_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "source", "epoch", F.round("place", 6).alias("place"))
 
 
+@query("op11_lexical_search", lexical_sql.SEARCH)
+def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.ranked(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"), k=20)
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import language, lexical, lexical_sql, linetemplates, mixing, mixing_sql, pieces, quality, tokenbin
+from . import language, lexical, lexical_sql, linetemplates, mixing, mixing_sql, pieces, quality, spelling, spelling_sql, tokenbin
 from .exact import exact_groups
 from .neardup import near_duplicates
 from .neighbours import nearest_neighbours
@@ -105,6 +105,11 @@ def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
     return lexical.ranked(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"), k=20)
 
 
+@query("op12_spelling_variants", spelling_sql.VARIANTS)
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(spelling.word_counts(documents(spark, folder)))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import language, lexical, lexical_sql, linetemplates, mixing, mixing_sql, pieces, quality, spelling, spelling_sql, tokenbin
+from . import language, lexical, lexical_sql, linetemplates, mixing, mixing_sql, pieces, pitmanyor, quality, spelling, spelling_sql, tokenbin
 from .exact import exact_groups
 from .neardup import near_duplicates
 from .neighbours import nearest_neighbours
@@ -110,6 +110,11 @@ def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.variants(spelling.word_counts(documents(spark, folder)))
 
 
+@query("op13_lm_scoring")
+def op13_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return pitmanyor.scored(documents(spark, folder), language.fold("doc_id", 7) == 2)
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline

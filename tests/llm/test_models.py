@@ -5,10 +5,12 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tokenloom.llm import language, quality
 from tokenloom.llm.language import Languages, suffix_automaton
+from tokenloom.llm import neighbours
 from tokenloom.llm.neighbours import nearest_neighbours
 from tokenloom.llm.queries import QUERIES
 
@@ -44,6 +46,38 @@ def test_neighbours_recall_over_shards(spark):
     assert all(abs(s - np.dot(vectors[q], vectors[i])) < 1e-9 for q in got for i, s in got[q])
 
 
+@pytest.mark.parametrize("dim", [32, 64])
+@pytest.mark.parametrize("spread,longest", [(0.25, 1), (0.5, 1), (1.0, 1), (0.0, 1e4), (0.25, 1e200)])
+def test_recall_with_uneven_lengths(dim, spread, longest, tmp_path):
+    draw = np.random.default_rng(6)
+    vectors = draw.normal(size=(4000, dim))
+    vectors *= (np.exp(spread * draw.normal(size=4000)) / np.linalg.norm(vectors, axis=1))[:, None]
+    vectors[11] *= longest
+    table = pa.table({"id": np.arange(4000), "dim": pa.array([dim] * 4000, pa.int32()), "shard": pa.array([0] * 4000, pa.int32()),
+                      "vector": pa.array(list(vectors))})
+    name = neighbours._build(f"file://{tmp_path}")(table).column("name")[0].as_py()
+    queries = np.arange(5, 4000, 40)
+    got = {q: set(ids) for q, ids, _ in neighbours.Shard(f"file://{tmp_path}", name, dim).nearest(queries, vectors[queries], 20)}
+    score = vectors[queries] @ vectors.T
+    score[np.arange(len(queries)), queries] = -np.inf
+    want = np.argsort(-score, axis=1)[:, :20]
+    assert np.mean([len(got[q] & set(w)) / 20 for q, w in zip(queries, want)]) >= 0.95
+
+
+def test_vectors_of_one_direction(spark):
+    """Thousands of lengths of one direction beside others: all are reached, with products of either sign."""
+    draw = np.random.default_rng(8)
+    line = draw.normal(size=8)
+    rows = [(i, list(map(float, line * (1 + i / 700)))) for i in range(700)] + [(1000 + i, list(map(float, draw.normal(size=8)))) for i in range(700)]
+    rows += [(2000, list(map(float, -line)))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = answer(nearest_neighbours(df, df.where("vec_id in (0, 300, 1003, 1250, 2000)"), 20))
+    chosen = [r for r in rows if r[0] in (0, 300, 1003, 1250, 2000)]
+    want = exact(rows, chosen, 20)
+    hits = {q: len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want}
+    assert min(hits.values()) >= 19
+
+
 def test_neighbours_ties_and_rows_that_take_no_part(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(i, [1.0, 0.0]) for i in range(60)] + [(60, [0.5, 0.5]), (61, [2.0, 1.0]), (62, [1.0, 0.0, 0.0])]

@@ -1,20 +1,30 @@
 """Approximate nearest neighbours by inner product: one hierarchical navigable small-world graph per shard.
 
-Rows are dealt to shards of about ``SHARD`` vectors by a hash of their id. Equal
-vectors of a shard are one node. A shard's graph is built in numpy, whole batches
-of nodes at a time, and stored as flat neighbour arrays: per level a table of
-``LINKS`` (``2 * LINKS`` at the ground) node numbers, -1 where none. Every query
-searches every shard; a batch of queries walks a graph in lockstep. The shards'
-results are merged by a window that keeps the best on the map side.
-
-Vectors get one more component that gives all of a shard the same length, so
-that the nearest by angle is the largest by inner product. Found candidates are
-scored on the original vectors in double precision.
+Rows are dealt to shards of about ``SHARD`` vectors by a hash of their id. A
+shard's graphs are built in numpy, whole batches of nodes at a time, and stored
+as flat neighbour arrays: per level a table of ``LINKS`` (``2 * LINKS`` at the
+ground) node numbers, -1 where none.
+
+The largest inner product is the nearest by angle only among vectors of like
+length. So a shard is cut into bands of falling length, each at most ``RATIO``
+from longest to shortest, with a graph of its own that is linked by angle and
+walked by inner product. Where fewer than ``SMALL`` vectors are that close, a
+band takes the next ``SMALL`` of any length, and the walk's beam holds them all.
+A band is left out for a query when its longest vector cannot reach the k-th
+best score so far, which is exact. Vectors of one direction are one node, which
+holds them by length; equal vectors are one vector with several ids.
+
+Queries are written once, in blocks; each task walks one shard's graphs for one
+block, a batch of queries in lockstep. The shards' results are merged by a
+window that keeps the best on the map side. Found candidates are scored on the
+original vectors in double precision.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite
 components take no part, nor do null ids. Vectors of another length than the
 query's are no candidates. Of rows that repeat an id, the smallest vector counts.
-A query without candidates has no rows. Other columns are ignored.
+Products beyond the range of doubles are infinite; such a sum without a value
+ranks last, as minus infinity. A query without candidates has no rows. Other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,7 +41,8 @@ from .files import array, attempt_name, new_folder, output, rows_each
 SHARD = 8192
 LINKS, BEAM_BUILD, BEAM_SEARCH = 16, 64, 128
 BATCH = 256
-INTEGERS = ("ids", "owners", "nodes", "links")
+RATIO, SMALL = 1.5, 256
+QUERIES = 1024  # in a block
 
 
 def _beam(vectors: np.ndarray, links: np.ndarray, queries: np.ndarray, entry: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -153,6 +164,26 @@ def usable(rows: DataFrame, key: str, vector: str) -> DataFrame:
     )
 
 
+def directions(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Unit vectors and the logarithms of the lengths, for components of any size."""
+    most = np.abs(vectors).max(axis=1)
+    units = vectors / most[:, None]
+    length = np.sqrt((units**2).sum(axis=1))
+    return units / length[:, None], np.log(most) + np.log(length)
+
+
+def bands(lengths: np.ndarray) -> list[np.ndarray]:
+    """Vectors by falling (log) length, cut into bands of like length or of few vectors."""
+    order, out, low = np.argsort(-lengths, kind="stable"), [], 0
+    falling = -lengths[order]
+    while low < len(order):
+        high = int(np.searchsorted(falling, falling[low] + np.log(RATIO), "right"))
+        high = min(len(order), max(high, low + SMALL))
+        out.append(order[low:high])
+        low = high
+    return out
+
+
 def _build(folder: str):
     """The rows of one shard -> its files."""
 
@@ -162,22 +193,34 @@ def _build(folder: str):
         original = table.column("vector").combine_chunks().flatten().to_numpy().reshape(-1, dim)
         order = np.argsort(ids)
         ids, original = ids[order], original[order]
-        nodes, owner = np.unique(original, axis=0, return_inverse=True)
-        owner = owner.ravel()
-        byowner = np.lexsort((ids, owner))
-        owners = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(nodes)))])
-        square = (nodes**2).sum(axis=1)
-        scale = 1 / np.sqrt(square.max())
-        flat = np.concatenate([nodes * scale, np.sqrt(np.maximum(1 - square * scale**2, 0))[:, None]], axis=1).astype(np.float32)
-        graph = Graph(flat)
+        vectors, owner = np.unique(original, axis=0, return_inverse=True)
+        units, lengths = directions(vectors)
+        placed, members, flat, links, rows = [], [], [], [], []
+        for band in bands(lengths):
+            _, node = np.unique(units[band].astype(np.float32), axis=0, return_inverse=True)
+            band = band[np.lexsort((-lengths[band], node.ravel()))]
+            count = np.bincount(node.ravel())
+            longest = band[np.cumsum(count) - count]
+            graph = Graph(units[longest].astype(np.float32))
+            top = lengths[longest].max()
+            rows.append((len(longest), len(graph.tables), graph.entry, top))
+            flat.append(units[longest] * np.exp(lengths[longest] - top)[:, None])
+            links += [t.ravel() for t in graph.tables]
+            placed.append(band)
+            members.append(count)
+        placed = np.concatenate(placed)
+        new_number = np.empty(len(placed), np.int64)
+        new_number[placed] = np.arange(len(placed))
+        owner = new_number[owner.ravel()]
+        starts = lambda counts: np.concatenate([[0], np.cumsum(counts)])
         name = attempt_name()
-        parts = {"ids": ids[byowner].astype("<i8"), "owners": owners.astype("<i8"), "nodes": nodes.astype("<f8"),
-                 "flat": flat.astype("<f4"), "links": np.concatenate([t.ravel() for t in graph.tables]).astype("<i4")}
+        parts = {"ids": ids[np.lexsort((ids, owner))].astype("<i8"), "owners": starts(np.bincount(owner, minlength=len(placed))).astype("<i8"),
+                 "vectors": vectors[placed].astype("<f8"), "members": starts(np.concatenate(members)).astype("<i8"),
+                 "flat": np.concatenate(flat).astype("<f4"), "links": np.concatenate(links).astype("<i4"), "bands": np.array(rows, "<f8")}
         for suffix, part in parts.items():
             with output(f"{folder}/{name}.{suffix}") as out:
                 out.write(part.tobytes())
-        return pa.table({"shard": table.column("shard")[:1], "dim": table.column("dim")[:1], "name": [name],
-                         "levels": pa.array([len(graph.tables)], pa.int32()), "entry": pa.array([graph.entry], pa.int64())})
+        return pa.table({"shard": table.column("shard")[:1], "dim": table.column("dim")[:1], "name": [name]})
 
     return run
 
@@ -185,31 +228,77 @@ def _build(folder: str):
 class Shard:
     """A shard's files, opened."""
 
-    def __init__(self, folder: str, name: str, dim: int, levels: int, entry: int):
+    def __init__(self, folder: str, name: str, dim: int):
         self.ids, self.owners = array(f"{folder}/{name}.ids", "<i8"), array(f"{folder}/{name}.owners", "<i8")
-        self.nodes = array(f"{folder}/{name}.nodes", "<f8").reshape(-1, dim)
-        self.flat = np.array(array(f"{folder}/{name}.flat", "<f4")).reshape(-1, dim + 1)
-        links, count = np.array(array(f"{folder}/{name}.links", "<i4")), len(self.nodes)
-        ground = links[:count * 2 * LINKS].reshape(count, -1)
-        self.tables = [ground, *links[ground.size:].reshape(levels - 1, count, LINKS)]
-        self.entry = entry
+        self.vectors, self.members = array(f"{folder}/{name}.vectors", "<f8").reshape(-1, dim), array(f"{folder}/{name}.members", "<i8")
+        flat, links = np.array(array(f"{folder}/{name}.flat", "<f4")).reshape(-1, dim), np.array(array(f"{folder}/{name}.links", "<i4"))
+        self.bands, node, at = [], 0, 0
+        for count, levels, entry, top in array(f"{folder}/{name}.bands", "<f8").reshape(-1, 4):
+            count, tables = int(count), []
+            for level in range(int(levels)):
+                width = LINKS * (2 if level == 0 else 1)
+                tables.append(links[at:at + count * width].reshape(count, width))
+                at += count * width
+            self.bands.append((node, flat[node:node + count], tables, int(entry), top))
+            node += count
+
+    def _answers(self, query: int, vector: np.ndarray, nodes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, scores) of the vectors of some nodes, best first, at most k."""
+        found = []
+        for node in nodes:  # of one direction, the longest are best, or the shortest where the product is negative
+            low, high = self.members[node], self.members[node + 1]
+            found += range(low, high) if high - low <= 2 * k + 2 else [*range(low, low + k + 1), *range(high - k - 1, high)]
+        found = np.array(found, np.int64)
+        with np.errstate(over="ignore", invalid="ignore"):
+            score = (self.vectors[found] * vector).sum(axis=1)
+        score = np.where(np.isnan(score), -np.inf, score)
+        best = np.argsort(-score, kind="stable")
+        # all ids of equal vectors, in ascending order; k + 1 of them are enough for k without the query
+        ids = [self.ids[self.owners[n]:min(self.owners[n + 1], self.owners[n] + k + 1)] for n in found[best]]
+        score = np.repeat(score[best], [len(x) for x in ids])
+        ids = np.concatenate(ids) if ids else np.zeros(0, np.int64)
+        score, ids = score[ids != query], ids[ids != query]
+        best = np.lexsort((ids, -score))[:k]
+        return ids[best], score[best]
 
     def nearest(self, own: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(query id, ids, scores) of each query's k nearest of the shard."""
-        walk = np.concatenate([queries, np.zeros((len(queries), 1))], axis=1).astype(np.float32)
+        units, lengths = directions(queries)
         for low in range(0, len(queries), BATCH):
-            found = search(self.flat, self.tables, self.entry, walk[low:low + BATCH], max(BEAM_SEARCH, 2 * k))
-            for query, vector, nodes in zip(own[low:low + BATCH], queries[low:low + BATCH], found):
-                nodes = nodes[nodes >= 0]
-                score = (self.nodes[nodes] * vector).sum(axis=1)
-                nodes, score = nodes[np.argsort(-score, kind="stable")], np.sort(score)[::-1]
-                # a node holds all ids of equal vectors in ascending order; k + 1 of them are enough for k without the query
-                ids = [self.ids[self.owners[n]:min(self.owners[n + 1], self.owners[n] + k + 1)] for n in nodes]
-                score = np.repeat(score, [len(x) for x in ids])
-                ids = np.concatenate(ids) if ids else np.zeros(0, np.int64)
-                score, ids = score[ids != query], ids[ids != query]
-                best = np.lexsort((ids, -score))[:k]
-                yield int(query), ids[best], score[best]
+            batch = range(low, min(low + BATCH, len(queries)))
+            best = {q: (np.zeros(0, np.int64), np.zeros(0)) for q in batch}
+            for first, flat, tables, entry, top in self.bands:
+                live = np.array([q for q in batch if len(best[q][0]) < k or best[q][1][-1] <= 0
+                                 or np.log(best[q][1][-1]) <= lengths[q] + top + 1e-9])
+                if not len(live):
+                    break  # the bands below are shorter still
+                width = max(BEAM_SEARCH, 2 * k, min(len(flat), SMALL))
+                for q, nodes in zip(live, search(flat, tables, entry, units[live].astype(np.float32), width)):
+                    ids, score = self._answers(own[q], queries[q], first + nodes[nodes >= 0], k)
+                    ids, score = np.concatenate([best[q][0], ids]), np.concatenate([best[q][1], score])
+                    top_k = np.lexsort((ids, -score))[:k]
+                    best[q] = ids[top_k], score[top_k]
+            for q in batch:
+                yield int(own[q]), *best[q]
+
+
+def _blocks(folder: str):
+    """(id, vector, dim) -> files of at most ``QUERIES`` queries of one length."""
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            dims = batch.column("dim").to_numpy()
+            for dim in np.unique(dims):
+                some = batch.filter(pa.array(dims == dim))
+                for low in range(0, some.num_rows, QUERIES):
+                    block, name = some.slice(low, QUERIES), attempt_name()
+                    with output(f"{folder}/{name}.asked") as out:
+                        out.write(block.column("id").to_numpy().astype("<i8").tobytes())
+                        out.write(block.column("vector").flatten().to_numpy().astype("<f8").tobytes())
+                    yield pa.RecordBatch.from_pydict({"block": [name], "dim": pa.array([int(dim)], pa.int32()),
+                                                      "asked": pa.array([block.num_rows], pa.int32())})
+
+    return write
 
 
 def nearest_neighbours(rows: DataFrame, queries: DataFrame, k: int, key: str = "vec_id", vector: str = "embedding",
@@ -221,31 +310,28 @@ def nearest_neighbours(rows: DataFrame, queries: DataFrame, k: int, key: str = "
     shards = max(1, -(-base.count() // shard))
     index = staged(
         base.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int")).groupBy("shard", "dim")
-        .applyInArrow(_build(folder), "shard int, dim int, name string, levels int, entry bigint"), "neighbours-index")
+        .applyInArrow(_build(folder), "shard int, dim int, name string"), "neighbours-index")
+    blocks = staged(usable(queries, key, vector).mapInArrow(_blocks(folder), "block string, dim int, asked int"), "neighbours-queries")
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         opened: tuple[str, Shard] | None = None
         for batch in batches:
-            names = np.array(batch.column("name").to_pylist(), object)
-            for name in dict.fromkeys(names):
-                some = batch.filter(pa.array(names == name))
-                dim, levels, entry = (some.column(c)[0].as_py() for c in ("dim", "levels", "entry"))
-                if opened is None or opened[0] != name:
-                    opened = name, Shard(folder, name, dim, levels, entry)
-                own, points = some.column("id").to_numpy(), some.column("vector").flatten().to_numpy().reshape(-1, dim)
-                out = list(opened[1].nearest(own, points, k))
-                if out:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.repeat([q for q, _, _ in out], [len(i) for _, i, _ in out]), pa.int64()),
-                         pa.array(np.concatenate([i for _, i, _ in out]), pa.int64()),
-                         pa.array(np.concatenate([s for _, _, s in out]), pa.float64())], names=["query_id", "vec_id", "score"])
-
-    asked = usable(queries, key, vector).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    met = asked.join(index, ["shard", "dim"]).withColumn("block", F.pmod(F.xxhash64("id"), F.lit(64)))
+            for row in batch.to_pylist():
+                if opened is None or opened[0] != row["name"]:
+                    opened = row["name"], Shard(folder, row["name"], row["dim"])
+                asked = array(f"{folder}/{row['block']}.asked", "<i8")
+                points = asked[row["asked"]:].view("<f8").reshape(-1, row["dim"])
+                out = list(opened[1].nearest(asked[:row["asked"]], points, k))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat([q for q, _, _ in out], [len(i) for _, i, _ in out]), pa.int64()),
+                     pa.array(np.concatenate([i for _, i, _ in out]), pa.int64()),
+                     pa.array(np.concatenate([s for _, _, s in out]), pa.float64())], names=["query_id", "vec_id", "score"])
+
+    met = index.join(blocks, "dim")  # one row for each shard and block of queries
     tasks = max(shards, spark.sparkContext.defaultParallelism)
-    found = rows_each(met, tasks, "shard", "block").sortWithinPartitions("shard").mapInArrow(look, "query_id bigint, vec_id bigint, score double")
+    found = rows_each(met, tasks, "name", "block").sortWithinPartitions("name").mapInArrow(look, "query_id bigint, vec_id bigint, score double")
     order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     result = staged(found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
                     .select("query_id", "rank", "vec_id", "score"), "neighbours-found")
-    discard(base, index)
+    discard(base, index, blocks)
     return result

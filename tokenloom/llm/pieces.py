@@ -30,11 +30,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
-from .words import SLICE_BYTES
+from .words import ENTRY_BYTES, LONG_WORD, SLICE_BYTES, TABLE_BYTES
 
 MARK = "▁"
 PENALTY = 10.0  # of an uncovered character, below the lowest score
-TABLE_RUNS = 400_000
 
 
 class Pieces:
@@ -65,6 +64,7 @@ class Pieces:
         self.automaton.make_automaton()
         self.unknown = lowest - PENALTY
         self.runs: dict[str, list[int]] = {}
+        self.size = 0  # bytes of the table, about
 
     @classmethod
     def of(cls, path: str) -> "Pieces":
@@ -108,9 +108,12 @@ class Pieces:
         found = self.best_path(lead + parts[0])
         for part in parts[1:]:
             found += [self.bytes[b] for b in MARK.encode()] + (self.best_path(part) if part else [])
-        if len(self.runs) >= TABLE_RUNS:
-            self.runs.clear()
-        self.runs[run] = found
+        if len(run) <= LONG_WORD:
+            if self.size >= TABLE_BYTES:
+                self.runs.clear()
+                self.size = 0
+            self.runs[run] = found
+            self.size += len(run) + 8 * len(found) + ENTRY_BYTES
         return found
 
     def encode(self, text: str) -> list[int]:

@@ -13,7 +13,7 @@ a run of letters with closing punctuation is looked up by its letters. The
 tables are emptied when they are full, so memory does not grow with the corpus.
 
 Defined results: null and empty texts hold the end id only. A null key sorts
-first (its key is stored as the smallest 64-bit integer). Rows that repeat a key
+first; each part knows how many of its keys are null. Rows that repeat a key
 are documents of their own, in any order among themselves. Other columns are
 ignored; an empty table gives no part.
 """
@@ -31,11 +31,10 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..session import release, staged
 from .files import array, attempt_name, new_folder, output, rows_each
-from .words import slices
+from .words import ENTRY_BYTES, LONG_WORD, slices
 
-TABLE_RUNS, TABLE_PIECES = 700_000, 1_200_000
+TABLE_BYTES = 300_000_000  # of both tables together
 CLOSING = ".,!?;:"
-NO_KEY = -(2**63)
 
 
 class Encoder:
@@ -50,7 +49,8 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = id_type(path)
         self.runs: dict[bytes, bytes] = {}  # white-space runs -> ids
-        self.pieces: dict[str, bytes] = {}  # what the tokenizer was asked -> ids
+        self.pieces: dict[str, bytes] = {"": b""}  # what the tokenizer was asked -> ids
+        self.size = 0  # bytes of both tables, about
 
     @classmethod
     def of(cls, path: str) -> "Encoder":
@@ -72,11 +72,8 @@ class Encoder:
 
     def encode(self, texts: list[bytes], end: bytes) -> list[bytes]:
         split = [text.split() for text in texts]
-        if len(self.runs) > TABLE_RUNS:
-            self.runs.clear()
-        if len(self.pieces) > TABLE_PIECES:
-            self.pieces = {"": b""}
-        self.pieces.setdefault("", b"")
+        if self.size > TABLE_BYTES:
+            self.runs, self.pieces, self.size = {}, {"": b""}, 0
         cut = {run: self._parts(run) for runs in split for run in runs if run not in self.runs}
         new = list({part for parts in cut.values() for part in parts if part not in self.pieces})
         for part, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
@@ -84,7 +81,18 @@ class Encoder:
         for run, (first, second) in cut.items():
             self.runs[run] = self.pieces[first] + self.pieces[second]
         look = self.runs.__getitem__
-        return [b"".join(map(look, runs)) + end for runs in split]
+        encoded = [b"".join(map(look, runs)) + end for runs in split]
+        for part in new:
+            if len(part) > LONG_WORD:
+                del self.pieces[part]
+            else:
+                self.size += len(part) + len(self.pieces[part]) + ENTRY_BYTES
+        for run in cut:
+            if len(run) > LONG_WORD:
+                del self.runs[run]
+            else:
+                self.size += len(run) + len(self.runs[run]) + ENTRY_BYTES
+        return encoded
 
 
 def id_type(path: str) -> str:
@@ -95,7 +103,7 @@ def id_type(path: str) -> str:
 
 
 def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, str, str]:
-    """Writes all texts; gives the parts (part, name, docs, tokens, base), their folder and the ids' type."""
+    """Writes all texts; gives the parts (part, name, docs, nulls, tokens, base), their folder and the ids' type."""
     spark = docs.sparkSession
     dtype, folder = id_type(tokenizer), new_folder(spark, "tokens")
     end = np.array([end_id], dtype).tobytes()
@@ -103,7 +111,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, key: str = "doc_i
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, width, encoder = attempt_name(), np.dtype(dtype).itemsize, Encoder.of(tokenizer)
-        keys, ends, total = [], [np.zeros(1, np.int64)], 0
+        keys, ends, total, nulls = [], [np.zeros(1, np.int64)], 0, 0
         stream = None
         for batch in batches:
             for start, texts in slices(batch, 1):
@@ -112,18 +120,20 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, key: str = "doc_i
                 stream.write(b"".join(encoded))
                 ends.append(total + np.cumsum([len(ids) // width for ids in encoded]))
                 total = int(ends[-1][-1])
-                keys.append(batch.column(0).slice(start, len(texts)).fill_null(NO_KEY).to_numpy())
+                own = batch.column(0).slice(start, len(texts))
+                nulls += own.null_count  # they are the first of all
+                keys.append(own.fill_null(0).to_numpy())
         if stream:
             stream.close()
             for suffix, parts in (("offsets", ends), ("keys", keys)):
                 with output(f"{folder}/{name}.{suffix}") as out:
                     out.write(np.concatenate(parts).astype("<i8").tobytes())
             yield pa.RecordBatch.from_pydict({"part": [TaskContext.get().partitionId()], "name": [name],
-                                              "docs": [sum(map(len, keys))], "tokens": [total]})
+                                              "docs": [sum(map(len, keys))], "nulls": [nulls], "tokens": [total]})
 
     # ranges are sampled from the plain rows, so no text is encoded twice
     parts = staged(rows.repartitionByRange("key").sortWithinPartitions("key")
-                   .mapInArrow(write, "part bigint, name string, docs bigint, tokens bigint"), "tokens-parts")
+                   .mapInArrow(write, "part bigint, name string, docs bigint, nulls bigint, tokens bigint"), "tokens-parts")
     release(spark)
     before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)  # one row a part
     return parts.withColumn("base", F.coalesce(F.sum("tokens").over(before), F.lit(0))), folder, dtype
@@ -134,7 +144,7 @@ def read_tokens(parts: DataFrame, folder: str, dtype: str) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, base in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for name, base, nulls in zip(*(column.to_pylist() for column in batch.columns)):
                 ids = array(f"{folder}/{name}.ids", dtype)
                 offsets, keys = array(f"{folder}/{name}.offsets", "<i8"), array(f"{folder}/{name}.keys", "<i8")
                 for low in range(0, len(keys), 5000):
@@ -142,8 +152,8 @@ def read_tokens(parts: DataFrame, folder: str, dtype: str) -> DataFrame:
                     crc = [zlib.crc32(ids[a:b].astype("<u4").tobytes()) for a, b in zip(cut[:-1], cut[1:])]
                     some = np.array(keys[low:low + 5000])
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(some, mask=some == NO_KEY), pa.array(base + cut[:-1]), pa.array(np.diff(cut)), pa.array(crc, pa.int64())],
+                        [pa.array(some, mask=np.arange(low, low + len(some)) < nulls), pa.array(base + cut[:-1]), pa.array(np.diff(cut)), pa.array(crc, pa.int64())],
                         names=["key", "start", "n_tokens", "ids_crc32"])
 
-    return (rows_each(parts.select("name", "base"), parts.sparkSession.sparkContext.defaultParallelism, "name")
+    return (rows_each(parts.select("name", "base", "nulls"), parts.sparkSession.sparkContext.defaultParallelism, "name")
             .mapInArrow(read, "key bigint, start bigint, n_tokens bigint, ids_crc32 bigint"))

@@ -13,16 +13,24 @@ import pyarrow as pa
 import xxhash
 
 SLICE_BYTES = 1_500_000  # texts are worked on in slices of about this size; one long text is a slice of its own
-TABLE_WORDS = 400_000  # the word table is emptied beyond this, so its memory does not grow with the corpus
+TABLE_BYTES = 80_000_000  # a table of words is emptied beyond this, so its memory does not grow with the corpus
+ENTRY_BYTES = 200  # of an entry, beside its letters
+LONG_WORD = 300  # longer ones, mostly encoded data, are in no table
 
 
 class WordTable(dict):
-    """word -> 64-bit hash, filled on demand."""
+    """word -> 64-bit hash, filled on demand and bounded by bytes."""
+
+    size = 0
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= TABLE_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        value = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= LONG_WORD:
+            if self.size >= TABLE_BYTES:
+                self.clear()
+                self.size = 0
+            self[word] = value
+            self.size += len(word) + ENTRY_BYTES
         return value
 
     def hashes(self, words: list[bytes]) -> np.ndarray:
@@ -87,3 +95,14 @@ def window_hashes(hashes: np.ndarray, width: int, base: int) -> np.ndarray:
                 run = run[:n] * run_power + run[length:length + n]
                 length, run_power = 2 * length, run_power * run_power
         return mixed(total)
+
+
+def unused(names: list[str], *wanted: str) -> list[str]:
+    """Column names like the wanted ones that no column has, in any case."""
+    taken, out = {name.lower() for name in names}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out

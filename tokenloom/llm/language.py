@@ -212,7 +212,7 @@ def predict_onto(docs: DataFrame, model: Languages, text: str = "text", column:
     """The rows with their predicted language in one more column."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     docs = docs.drop(column)
-    place, names = docs.columns.index(text), [*docs.columns, column]
+    place, names = docs.columns.index(text), [f"c{i}" for i in range(len(docs.columns) + 1)]  # whatever the columns' own names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -220,7 +220,8 @@ def predict_onto(docs: DataFrame, model: Languages, text: str = "text", column:
                 found, _ = shared.value.best([t.decode() for t in texts])
                 yield pa.RecordBatch.from_arrays([*batch.slice(start, len(texts)).columns, pa.array(found, pa.string())], names=names)
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(column, StringType())]))
+    kinds = [*(field.dataType for field in docs.schema.fields), StringType()]
+    return docs.toDF(*names[:-1]).mapInArrow(run, StructType([StructField(n, k) for n, k in zip(names, kinds)])).toDF(*docs.columns, column)
 
 
 def fold(key: str, folds: int) -> Column:

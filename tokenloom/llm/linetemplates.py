@@ -39,10 +39,11 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..session import discard, release, staged
 from .components import components
-from .words import slices
+from .words import slices, unused
 
 DEPTH, SIMILAR, FIELD = 3, 0.7, b"<*>"
 MIN_DOCS, MIN_TOKENS = 10, 3
@@ -222,11 +223,13 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min
 def without_repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_docs: int = MIN_DOCS,
                            min_tokens: int = MIN_TOKENS) -> DataFrame:
     """The rows with shortened texts, and n_lines and n_dropped. Columns of these names are replaced."""
-    dropped = repeated_lines(docs, key, text, min_docs, min_tokens).withColumnsRenamed({"key": "_of", "lines": "_lines"})
     plain = docs.drop("n_lines", "n_dropped")
+    of, gone_lines = unused(plain.columns, "_of", "_lines")
+    dropped = repeated_lines(docs, key, text, min_docs, min_tokens).withColumnsRenamed({"key": of, "lines": gone_lines})
     # merged by key at every size, so that small and large tables take the same plan
-    joined = plain.join(dropped.hint("merge"), F.col(key).cast("bigint") == F.col("_of"), "left").select(*plain.columns, "_lines")
-    place, last, names = plain.columns.index(text), len(plain.columns), [*plain.columns, "n_lines", "n_dropped"]
+    joined = plain.join(dropped.hint("merge"), F.col(key).cast("bigint") == F.col(of), "left").select(*[F.col(f"`{c}`") for c in plain.columns], gone_lines)
+    place, last = plain.columns.index(text), len(plain.columns)
+    names = [f"c{i}" for i in range(last + 2)]  # whatever the columns' own names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_64_intdigest
@@ -249,5 +252,6 @@ def without_repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "te
             columns[place] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields)
-    return joined.mapInArrow(run, f"{kinds}, n_lines bigint, n_dropped bigint")
+    kinds = [*(field.dataType for field in plain.schema.fields), LongType(), LongType()]
+    schema = StructType([StructField(name, kind) for name, kind in zip(names, kinds)])
+    return joined.toDF(*names[:-1]).mapInArrow(run, schema).toDF(*plain.columns, "n_lines", "n_dropped")

@@ -19,7 +19,7 @@ Defined results: a null source is a source of its own. Null and blank texts hold
 no tokens; they go with the block or the documents before them. A source without
 tokens has weight 0 and no rows. Rows without key, or that repeat a key, are
 taken as documents of their own; equal hashes are cut together. Other columns
-are carried along; columns named like new ones are replaced.
+are carried along whatever their names; only ``epoch`` and ``place`` are replaced.
 """
 
 from __future__ import annotations
@@ -69,9 +69,8 @@ def exponent(totals: DataFrame, entropy_share: float, repeats: float, budget: fl
 def mix(docs: DataFrame, entropy_share: float = 0.97, repeats: float = 2.0, budget: int | None = None, seed: int = 17,
         key: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
     """The rows of the mixed stream: the documents' columns, epoch (0 for the first pass) and place."""
-    sized = docs.drop("epoch", "place").withColumn("_tokens", F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint"))
-    group, tokens = F.col(source).alias("_source"), F.col("_tokens").alias("tokens")
-    rows = staged(sized.select(F.col(key).alias("_key"), group, tokens), "mixing-sizes")
+    tokens = F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint").alias("tokens")
+    rows = staged(docs.select(F.col(key).alias("_key"), F.col(source).alias("_source"), tokens), "mixing-sizes")
     totals = staged(rows.groupBy("_source").agg(F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("docs"))
                     .where("tokens > 0"), "mixing-totals")
     power = exponent(totals, entropy_share, repeats, budget)
@@ -102,14 +101,16 @@ def mix(docs: DataFrame, entropy_share: float = 0.97, repeats: float = 2.0, budg
         plan.alias("p").join(ends.alias("e"), F.col("p._source").eqNullSafe(F.col("e._source")), "left")
         .join(cut.alias("c"), F.col("p._source").eqNullSafe(F.col("c._source")), "left")
         .select("p.*", F.coalesce("last_block", F.lit(-1)).alias("last_block"), F.coalesce("upto_hash", F.lit(-1)).alias("upto_hash")),
-        "mixing-limits").withColumnRenamed("_source", "_of")
+        "mixing-limits")
     discard(rows, totals, plan)
 
-    turns = (sized.join(limits, F.col(source).eqNullSafe(F.col("_of")))
+    own = [c for c in docs.columns if c.lower() not in ("epoch", "place")]
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("doc"), F.col(key).alias("_key"), F.col(source).alias("_of"))
+    turns = (whole.join(limits, F.col("_of").eqNullSafe(F.col("_source")))
              .withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("whole"))))
-             .withColumn("_hash", hashed(seed, F.col("epoch"), F.col(key)))
-             .withColumn("_block", F.floor(F.col("_hash") / F.lit(float(HASH_RANGE)) * F.col("blocks")).cast("bigint")))
+             .withColumn("hash", hashed(seed, F.col("epoch"), F.col("_key")))
+             .withColumn("block", F.floor(F.col("hash") / F.lit(float(HASH_RANGE)) * F.col("blocks")).cast("bigint")))
     taken = turns.where((F.col("epoch") < F.col("whole")) | (F.col("rest") > 0) & (
-        (F.col("_block") <= F.col("last_block")) | (F.col("_hash") <= F.col("upto_hash"))))
-    place = (F.col("epoch") + F.col("_hash") / F.lit(float(HASH_RANGE))) * F.col("total") / F.col("quota")
-    return taken.select(*[c for c in docs.columns if c not in ("epoch", "place")], "epoch", F.least(F.lit(1.0), place).alias("place"))
+        (F.col("block") <= F.col("last_block")) | (F.col("hash") <= F.col("upto_hash"))))
+    place = (F.col("epoch") + F.col("hash") / F.lit(float(HASH_RANGE))) * F.col("total") / F.col("quota")
+    return taken.select("doc.*", "epoch", F.least(F.lit(1.0), place).alias("place"))

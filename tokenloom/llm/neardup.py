@@ -2,8 +2,9 @@
 
 1. One pass reads every text: number of words' shingles, digest of its word
    sequence, and the minima of ``BANDS * ROWS`` universal hash functions over
-   its shingles. Rows with equal word sequences form a class at once; only its
-   smallest key goes on, so copies are never paired.
+   its shingles. Rows with equal word sequences form a class at once, which goes
+   on as one node, so copies are never paired. Nodes are numbered, as one key may
+   stand for several texts.
 2. A band is ``ROWS`` minima; texts with an equal band share a bucket. A pair at
    similarity 0.8 misses all 32 bands of 5 with probability 3e-6.
 3. Every member of a bucket is paired with one leader only, the member met in
@@ -21,7 +22,9 @@
 Defined results: null and blank texts have no shingles and are linked with
 nothing. A text with fewer words than a shingle is one shingle, so it is linked
 with equal word sequences only. A null key takes part in nothing. Rows that
-repeat a key with the same text get the same answer; other columns are ignored.
+repeat a key with the same text get the same answer; with different texts they
+are told apart by the digest of their words, and each is linked as its own text.
+Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import discard, release, staged
 from .components import components
@@ -111,18 +114,21 @@ def bitmap(shingles: np.ndarray) -> bytes:
 
 
 def _sets(width: int):
-    """Batches of (key, text) -> key, sorted distinct shingle hashes, how many, their bitmap."""
+    """Batches of (node, text, digest) -> node, sorted distinct shingle hashes, how many, their bitmap; texts of other digests are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = WordTable()
         for batch in batches:
             for start, texts in slices(batch, 1):
+                asked = batch.column(2).slice(start, len(texts)).to_pylist()
                 split = [text.lower().split() for text in texts]
+                own = [i for i, (words, digest) in enumerate(zip(split, asked)) if hashlib.sha256(b" ".join(words)).digest() == digest]
+                split = [split[i] for i in own]
                 counts = np.array([len(words) for words in split], np.int64)
                 shingles, per = _shingles(table, [word for words in split for word in words], counts, width)
                 sets = [np.unique(shingles[s:s + n]) for s, n in zip(starts_of(per), per)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(start, len(texts)), pa.array([x.tobytes() for x in sets], pa.binary()),
+                    [batch.column(0).slice(start, len(texts)).take(pa.array(own, pa.int64())), pa.array([x.tobytes() for x in sets], pa.binary()),
                      pa.array([len(x) for x in sets], pa.int64()), pa.array([bitmap(x) for x in sets], pa.binary())],
                     names=["key", "shingles", "size", "bits"])
 
@@ -222,23 +228,30 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return staged(joined.mapInArrow(_confirm(percent), f"a {type_of}, b {type_of}"), "neardup-links")
 
 
+def words_digest(text: Column) -> Column:
+    """The digest by which rows of a key are told apart: SHA-256 of a text's lower-cased (A-Z) words; null without words."""
+    spaced = F.trim(F.regexp_replace(text, r"[\x20\x09-\x0D]+", " "))
+    lower = F.translate(spaced, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return F.when(F.length(spaced) > 0, F.unhex(F.sha2(lower, 256)))
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
-    """One row per input row: key, n_shingles, component_id, kept.
+    """One row per input row: key, n_shingles, component_id, kept, digest, stays.
 
     Texts are linked if 100 * common shingles >= percent * all shingles of both
     (words of ``width``, lower-cased A-Z); component_id is the smallest key that
-    links lead to. Keys are integers.
+    links lead to, and ``kept`` says that it is the row's own. ``digest`` is that
+    of the row's words, and ``stays`` marks one text of each component, where
+    ``kept`` would mark two texts of one key. Keys are integers.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).cast("string").alias("text"))
     read = staged(rows.mapInArrow(_read(width), "key bigint, digest binary, size bigint, signature binary"), "neardup-read")
-    classes = read.where("digest is not null").groupBy("digest").agg(F.min("key").alias("first"))
-    members = staged(read.select("key", "digest", "size").where("digest is not null").join(classes, "digest")
-                     .select("key", "digest", "size", "first"), "neardup-classes")
-    # one row per class: its first key with the signature
-    firsts = members.where("key = first").select("key", "digest").distinct()
-    signed = staged(read.where("signature is not null").join(firsts, ["key", "digest"]).select("key", "signature").distinct(),
-                    "neardup-signed")
+    classes = staged(read.where("digest is not null").groupBy("digest").agg(F.min("key").alias("first"), F.max("size").alias("size"))
+                     .where("first is not null").withColumn("node", F.monotonically_increasing_id()), "neardup-classes")
+    # one row per class: the signature of its first key
+    signed = staged(read.where("signature is not null").join(classes.select("digest", F.col("first").alias("key"), "node"), ["key", "digest"])
+                    .select(F.col("node").alias("key"), "signature").distinct(), "neardup-signed")
 
     bytes_of = 4 * ROWS
     bands = signed.select("key", F.posexplode(F.array(*[
@@ -257,9 +270,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     likely = staged(
         stars.join(signed.withColumnsRenamed({"key": "a", "signature": "x"}), "a").join(signs, "b").select("a", "b", "x", "y")
         .mapInArrow(_plausible(percent), "a bigint, b bigint"), "neardup-likely")
-    candidates = shared.select("key").distinct()
-    sets = staged(rows.join(candidates, "key").select("key", "text").mapInArrow(_sets(width), "key bigint, shingles binary, size bigint, bits binary")
-                  .dropDuplicates(["key"]), "neardup-sets")
+    candidates = shared.select(F.col("key").alias("node")).distinct().join(classes, "node").select(F.col("first").alias("key"), "node", "digest")
+    sets = staged(rows.join(candidates, "key").select("node", "text", "digest").mapInArrow(
+        _sets(width), "key bigint, shingles binary, size bigint, bits binary").dropDuplicates(["key"]), "neardup-sets")
     release(spark)
     links = _links(likely, sets, percent)
     roots = components(links, "a", "b")
@@ -282,12 +295,18 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     more = _links(across, sets, percent)
     every = components(links.unionByName(more), "a", "b")
 
-    answer = (members.join(every.withColumnsRenamed({"node": "first"}), "first", "left")
-              .select("key", "digest", F.col("size").alias("n_shingles"), F.coalesce("root", "first").alias("component_id")))
-    alone = read.where("digest is null or key is null").select(
-        "key", "size", F.col("key").alias("component_id")).withColumnRenamed("size", "n_shingles")
-    out = answer.where("key is not null").drop("digest").unionByName(alone)
-    discard(shared, likely, sets, links, more, signed)
+    # a component is named by its smallest key, and one of that key's texts stays
+    tied = every.unionByName(every.select(F.col("root").alias("node"), "root").distinct()).join(classes.select("node", "first"), "node")
+    named = tied.groupBy("root").agg(F.min("first").alias("component"), F.min(F.struct("first", "node")).alias("stays"))
+    answers = (tied.join(named, "root").select("node", "component", (F.col("node") == F.col("stays.node")).alias("one"))
+               .unionByName(classes.join(tied, "node", "left_anti").select("node", F.col("first").alias("component"), F.lit(True).alias("one"))))
+    by_class = staged(classes.select("node", "digest", "size").join(answers, "node").drop("node"), "neardup-answers")
+    discard(shared, likely, sets, links, more, signed, roots, every, classes)
     release(spark)
-    return out.select(F.col("key").alias(key), "n_shingles", "component_id",
-                      F.col("key").eqNullSafe(F.col("component_id")).alias("kept"))
+    found = (read.select("key", "digest").where("key is not null and digest is not null").join(by_class, "digest")
+             .select("key", "digest", "size", "component", (F.col("one") & (F.col("key") == F.col("component"))).alias("stays")))
+    alone = read.where("digest is null or key is null").select(
+        "key", "digest", "size", F.col("key").alias("component"), F.lit(True).alias("stays"))
+    return found.unionByName(alone).select(
+        F.col("key").alias(key), F.col("size").alias("n_shingles"), F.col("component").alias("component_id"),
+        F.col("key").eqNullSafe(F.col("component")).alias("kept"), "digest", "stays")

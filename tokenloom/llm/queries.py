@@ -45,7 +45,8 @@ def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op10_minhash_near_dedup")
 def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return near_duplicates(documents(spark, folder), width=4, percent=80)
+    found = near_duplicates(documents(spark, folder), width=4, percent=80)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 @query("op9_substring_dedup")

@@ -1,29 +1,30 @@
-"""Subword learning and encoding on the table of distinct words.
+"""Subword encoding on the table of distinct words; ``merges`` learns the merges.
 
-A word's symbols are kept in one string, each between two private-use marks,
-so a merge is a plain string replacement. The corpus itself is only read to
-count words and, at the end, to look segmented words up.
+The corpus itself is only read to count words and, at the end, to look
+segmented words up.
 """
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, StringType
 
-from ..session import discard, durable, staged
+from ..session import staged
+from ..sources.readers import parse_merges, read_numbered_lines
+from ..sources.sinks import write_text_lines
+from .merges import END_OF_WORD, Merge, learn_merges  # noqa: F401
 from .tokentables import one_row_each
 from .vocab import skewed_lookup
 
 OPEN, CLOSE = "\ue000", "\ue001"
 BETWEEN = CLOSE + OPEN
 # Fixed values.
-END_OF_WORD = "</w>"
 SEPARATOR = "@@"
-
-Merge = tuple[str, str]
+MERGE_FILE_VERSION = "0.2"
 
 
 def as_symbols(word: Column) -> Column:
@@ -44,137 +45,57 @@ def pair_counts(words: DataFrame, symbols: str = "symbols", n: str = "n") -> Dat
     return pairs.groupBy("p.left", "p.right").agg(F.sum(n).alias("n"))
 
 
-def _marked_pairs(merges: list[Merge]) -> Column:
-    """The marked pairs as one constant array; the plan keeps its shape, so that its compiled code serves every step."""
-    listed = [f"{OPEN}{left}{BETWEEN}{right}{CLOSE}" for left, right in merges]
-    return F.split(F.lit((OPEN + CLOSE).join(listed)), OPEN + CLOSE) if listed else F.array().cast("array<string>")
+def merge_table(spark: SparkSession, merges: list[Merge]) -> DataFrame:
+    rows = [(i, l, r) for i, (l, r) in enumerate(merges)]
+    return spark.createDataFrame(rows, "rank int, left string, right string")
 
 
-def merge_symbols(symbols: Column, merges: list[Merge]) -> Column:
-    """Symbols with the merges applied in order."""
-    return F.aggregate(_marked_pairs(merges), symbols, lambda text, pair: F.replace(text, pair, F.replace(pair, F.lit(BETWEEN), F.lit(""))))
+def saved_merges(merges: list[Merge], spark: SparkSession, path: str) -> str:
+    """A merge file: version header, then one merge a line in order. The list is as long as its learner was asked for."""
+    lines = [(0, f"#version: {MERGE_FILE_VERSION}"), *((i, f"{l} {r}") for i, (l, r) in enumerate(merges, 1))]
+    rows = spark.createDataFrame(lines, "place int, value string").coalesce(1).sortWithinPartitions("place")
+    return write_text_lines(rows.select("value"), path)
 
 
-def next_merges(ranked: list[tuple[str, str, int]], bound: int, known: set[str]) -> list[Merge]:
-    """The merges that one-at-a-time learning would pick next, from pairs in rank order.
+def loaded_merges(spark: SparkSession, path: str, most: int = -1) -> list[Merge]:
+    """The merges of a merge file in rank order, at most ``most``; of a repeated pair the first."""
+    table = parse_merges(read_numbered_lines(spark, path), most)
+    return [(r.left, r.right) for r in table.orderBy("rank").collect()]
 
-    A merge only changes counts of pairs that share a symbol with it, and the
-    pairs it creates are at most as frequent as those. So further pairs can be
-    taken in the same step while they share no symbol with an earlier one and
-    are strictly more frequent than the first pair that does, and than
-    ``bound``, the most that a pair outside the list may have. A merge whose
-    result is already a symbol (``known``) can add to counts of old pairs, so
-    it is only taken alone.
-    """
-    taken: list[tuple[str, str, int]] = []
-    used: set[str] = set()
-    made = set(known)
-    for left, right, n in ranked:
-        repeats = left + right in made
-        if left in used or right in used or (repeats and taken):
-            bound = max(bound, n)
-            break
-        taken.append((left, right, n))
-        if repeats:
-            break
-        used |= {left, right}
-        made.add(left + right)
-    return [(l, r) for i, (l, r, n) in enumerate(taken) if i == 0 or n > bound]
-
-
-def count_changes(words: DataFrame, step: list[Merge], watched: list[Merge], least: int, gains: int) -> DataFrame:
-    """(left, right, n): by how much ``step`` changes the counts of the watched pairs, then the ``gains`` largest new
-    counts above ``least``. Only words that hold a merged pair are taken apart."""
-    symbols = F.col("symbols")
-    touched = F.exists(_marked_pairs(step), lambda pair: F.contains(symbols, pair))
-    sides = words.where(touched).select(F.explode(F.array(
-        F.struct((-F.col("n")).alias("n"), symbols.alias("symbols")),
-        F.struct("n", merge_symbols(symbols, step).alias("symbols")))).alias("side")).select("side.*")
-    listed = ", ".join(f"X'{(l + BETWEEN + r).encode().hex()}'" for l, r in watched)
-    seen = F.expr(f"cast(concat(left, '{BETWEEN}', right) AS binary) IN ({listed})")
-    changes = pair_counts(sides).withColumn("seen", seen).where(F.col("seen") | (F.col("n") > least))
-    return changes.orderBy(F.col("seen").desc(), F.col("n").desc(), "left", "right").limit(len(watched) + gains)
-
-
-def learn_merges(counts: DataFrame, merges: int, candidates: int = 2048, freeze_every: int = 24) -> list[Merge]:
-    """Merge list by falling pair count, ties by the two symbols.
-
-    A full count ranks the first ``candidates`` pairs. Each step then takes
-    apart only the words that hold one of its pairs and applies the differences
-    to that ranking, together with the new pairs that are more frequent than
-    any pair outside it. The next full count comes when no listed pair is
-    certain to be the next one, or when a merge makes a symbol that another
-    merge made before. The driver holds the merge list, as long as the caller
-    asked for, and at most ``5 * candidates`` pairs.
-    """
-    words = staged(counts.select("n", as_symbols(F.col("token")).alias("symbols")), "merge-words")
-    learned: list[Merge] = []
-    known = {END_OF_WORD}
-    pending: list[Merge] = []
-
-    def current() -> DataFrame:
-        return words.select("n", merge_symbols(F.col("symbols"), pending).alias("symbols"))
-
-    while len(learned) < merges:
-        top = pair_counts(current()).orderBy(F.col("n").desc(), "left", "right").limit(candidates).collect()
-        live = {(r["left"], r["right"]): r["n"] for r in top}
-        bound = top[-1]["n"] if len(top) == candidates else 0
-        certain = bool(top)  # the first pair of a full count is the next merge, whatever the bound
-        while certain and len(learned) < merges:
-            ranked = sorted(((l, r, n) for (l, r), n in live.items()), key=lambda p: (-p[2], p[0], p[1]))
-            step = next_merges(ranked, bound, known)[: merges - len(learned)]
-            learned += step
-            state = current()
-            pending = pending + step
-            repeats = step[0][0] + step[0][1] in known
-            known.update(l + r for l, r in step)
-            if repeats or len(learned) == merges:
-                break
-            parts = {symbol for pair in step for symbol in pair}
-            watched = [pair for pair in live if not parts.isdisjoint(pair)]
-            changes = count_changes(state, step, watched, bound, candidates).collect()
-            gained = [r["n"] for r in changes if not r["seen"]]
-            if len(gained) == candidates:
-                bound = max(bound, gained[-1])
-            for r in changes:
-                pair = (r["left"], r["right"])
-                live[pair] = live.get(pair, 0) + r["n"]
-            live = {pair: n for pair, n in live.items() if n > bound}
-            if len(live) > 4 * candidates:
-                bound = max(bound, sorted(live.values(), reverse=True)[candidates])
-                live = {pair: n for pair, n in live.items() if n > bound}
-            certain = bool(live)
-            if len(pending) >= freeze_every:
-                before, words, pending = words, staged(current(), "merge-words"), []
-                discard(before)
-        if not top:
-            break
-    discard(words)
-    return learned
 
+def lowest_rank_first(symbols: list[str], ranks: dict[Merge, int]) -> list[str]:
+    """Joins all places of the adjacent pair of lowest rank, from left to right, until no adjacent pair has a rank.
 
-def merge_table(spark: SparkSession, merges: list[Merge]) -> DataFrame:
-    rows = [(i, l, r) for i, (l, r) in enumerate(merges)]
-    return spark.createDataFrame(rows, "rank int, left string, right string")
+    Symbols are a linked list and ranked places a heap: O(k log k) for k symbols.
+    """
+    size = len(symbols)
+    symbols, after, before = list(symbols), [*range(1, size), -1], list(range(-1, size - 1))
+    heap = [(rank, at) for at in range(size - 1) if (rank := ranks.get((symbols[at], symbols[at + 1]))) is not None]
+    heapq.heapify(heap)
+    while heap:
+        lowest, places = heap[0][0], []
+        while heap and heap[0][0] == lowest:
+            places.append(heapq.heappop(heap)[1])
+        beside = set()
+        for at in places:
+            right = after[at]
+            if symbols[at] is None or right < 0 or ranks.get((symbols[at], symbols[right])) != lowest:
+                continue
+            symbols[at], symbols[right], after[at] = symbols[at] + symbols[right], None, after[right]
+            if after[at] >= 0:
+                before[after[at]] = at
+            beside.update((before[at], at))
+        for at in beside:  # only now: all places of a pair are joined before a new pair is looked at
+            if at >= 0 and symbols[at] is not None and after[at] >= 0:
+                rank = ranks.get((symbols[at], symbols[after[at]]))
+                if rank is not None:
+                    heapq.heappush(heap, (rank, at))
+    return [symbol for symbol in symbols if symbol is not None]
 
 
 def _pieces(word: str, ranks: dict[Merge, int]) -> list[str]:
-    """Repeatedly joins the adjacent pair of lowest rank."""
-    parts = [*word, END_OF_WORD]
-    while len(parts) > 1:
-        rank, pair = min((ranks.get(p, len(ranks)), p) for p in zip(parts, parts[1:]))
-        if rank == len(ranks):
-            break
-        joined, skip = [], False
-        for a, b in zip(parts, [*parts[1:], None]):
-            if skip:
-                skip = False
-            elif (a, b) == pair:
-                joined.append(a + b)
-                skip = True
-            else:
-                joined.append(a)
-        parts = joined
+    """The word's pieces without the end mark."""
+    parts = lowest_rank_first([*word, END_OF_WORD], ranks)
     if parts[-1] == END_OF_WORD:
         return parts[:-1]
     return [*parts[:-1], parts[-1].removesuffix(END_OF_WORD)]
@@ -183,18 +104,20 @@ def _pieces(word: str, ranks: dict[Merge, int]) -> list[str]:
 def segment(words: DataFrame, merges: list[Merge], token: str = "token") -> DataFrame:
     """Adds ``pieces``; run it on distinct words, so each word is encoded once.
 
-    The result is written out: its users read it more than once.
+    The ranks are one broadcast value, as long as the merge list. The result is
+    a staged table: its users read it more than once.
     """
     ranks: dict[Merge, int] = {}
     for i, pair in enumerate(merges):
         ranks.setdefault(tuple(pair), i)
+    shared = words.sparkSession.sparkContext.broadcast(ranks)
 
     @F.pandas_udf(ArrayType(StringType()))
     def pieces(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for tokens in batches:
-            yield tokens.map(lambda t: _pieces(t, ranks))
+            yield tokens.map(lambda t: _pieces(t, shared.value))
 
-    return durable(words.withColumn("pieces", pieces(F.col(token))))
+    return staged(words.withColumn("pieces", pieces(F.col(token))), "segmented")
 
 
 def marked(pieces: Column) -> Column:
@@ -224,44 +147,45 @@ def piece_vocabulary(segmented: DataFrame, least: int) -> DataFrame:
     )
 
 
-def constrain(segmented: DataFrame, merges: list[Merge], vocabulary: DataFrame) -> DataFrame:
-    """Pieces outside the vocabulary are taken apart, merge by merge, until inside or whole symbols.
+def expansions(spark: SparkSession, merges: list[Merge], vocabulary: DataFrame) -> DataFrame:
+    """(piece, final, out): every merged piece outside the vocabulary with the pieces it is taken apart into.
 
-    Works on the distinct (piece, is-last) pairs; each round splits the open
-    ones once, so the number of rounds is the depth of the deepest merge.
+    The merges are a graph from piece to its two halves. One level is the table
+    of halves; replacing each half by its own entry doubles the levels, so the
+    number of joins is the logarithm of the deepest merge. All tables are at
+    most as long as the merge list, but for the vocabulary, which is read once.
     """
-    spark = segmented.sparkSession
-    parts = spark.createDataFrame(
-        [(l + r, l, r) for l, r in {a + b: (a, b) for a, b in merges}.values()], "merged string, left string, right string")
-    known = vocabulary.select(F.col("piece").alias("known"))
-
-    def settle(rows: DataFrame) -> DataFrame:
-        lookup = F.when(F.col("final"), F.col("piece")).otherwise(F.concat("piece", F.lit(SEPARATOR)))
-        merged = F.when(F.col("final"), F.concat("piece", F.lit(END_OF_WORD))).otherwise(F.col("piece"))
-        looked = rows.withColumn("_l", lookup).join(known, F.col("_l") == F.col("known"), "left")
-        looked = looked.withColumn("_m", merged).join(parts, F.col("_m") == F.col("merged"), "left")
-        done = F.col("known").isNotNull() | F.col("left").isNull()
-        return looked.select("root", "root_final", "path", "piece", "final", "left", "right", done.alias("done"))
+    halves = {left + right: (left, right) for left, right in merges}  # the last one of several ways counts
+    depth: dict[str, int] = {}
+    for whole in sorted(halves, key=len):
+        depth[whole] = 1 + max(depth.get(half, 0) for half in halves[whole])
+    rows = [(whole, False, left, right) for whole, (left, right) in halves.items()]
+    rows += [(whole.removesuffix(END_OF_WORD), True, left, right.removesuffix(END_OF_WORD))
+             for whole, (left, right) in halves.items() if whole.endswith(END_OF_WORD)]
+    nodes = spark.createDataFrame(rows, "piece string, final boolean, left string, right string")
+    looked_up = nodes.withColumn("known", F.when(F.col("final"), F.col("piece")).otherwise(F.concat("piece", F.lit(SEPARATOR))))
+    inside = vocabulary.select(F.col("piece").alias("known")).join(F.broadcast(looked_up.select("known")), "known", "left_semi").distinct()
+    half = lambda name, final: F.struct(F.col(name).alias("piece"), final.alias("final"))
+    table = looked_up.join(inside, "known", "left_anti").select(
+        "piece", "final", F.array(half("left", F.lit(False)), half("right", F.col("final"))).alias("out"))
+    for _ in range(max(0, max(depth.values(), default=1) - 1).bit_length()):
+        parts = table.select(F.col("piece").alias("whole"), F.col("final").alias("whole_final"), F.posexplode("out").alias("pos", "part"))
+        deeper = parts.join(table.select(F.struct("piece", "final").alias("part"), F.col("out").alias("deeper")), "part", "left")
+        table = deeper.groupBy("whole", "whole_final").agg(F.array_sort(F.collect_list(
+            F.struct("pos", F.coalesce("deeper", F.array("part")).alias("out")))).alias("e")).select(
+            F.col("whole").alias("piece"), F.col("whole_final").alias("final"), F.flatten("e.out").alias("out"))
+    return table.select("piece", "final", F.col("out.piece").alias("out"))
+
 
+def constrain(segmented: DataFrame, merges: list[Merge], vocabulary: DataFrame) -> DataFrame:
+    """Pieces outside the vocabulary are taken apart, merge by merge, until inside or whole symbols."""
     sized = segmented.withColumn("k", F.size("pieces"))
     cells = one_row_each(sized, ["token", "k"], "pieces", "piece", "pos").select(
         "token", "pos", "piece", (F.col("pos") == F.col("k") - 1).alias("final"))
-    roots = cells.select("piece", "final").distinct().select(
-        F.col("piece").alias("root"), F.col("final").alias("root_final"), F.lit("").alias("path"), "piece", "final")
-    rows = durable(settle(roots))
-    while not rows.where(~F.col("done")).isEmpty():
-        half = rows.where(~F.col("done")).select(
-            "root", "root_final", F.explode(F.array(
-                F.struct(F.concat("path", F.lit("0")).alias("path"), F.col("left").alias("piece"), F.lit(False).alias("final")),
-                F.struct(F.concat("path", F.lit("1")).alias("path"),
-                         F.when(F.col("final"), F.expr(f"left(right, length(right) - {len(END_OF_WORD)})")).otherwise(F.col("right")).alias("piece"),
-                         F.col("final").alias("final")))).alias("h")).select("root", "root_final", "h.*")
-        rows = durable(rows.where("done").unionByName(settle(half)))
-    table = rows.groupBy("root", "root_final").agg(F.array_sort(F.collect_list(F.struct("path", "piece"))).alias("e")).select(
-        F.col("root").alias("piece"), F.col("root_final").alias("final"), F.col("e.piece").alias("out"))
-    joined = cells.join(table, ["piece", "final"]).groupBy("token").agg(
-        F.array_sort(F.collect_list(F.struct("pos", "out"))).alias("e"))
-    return joined.select("token", F.flatten("e.out").alias("pieces"))
+    table = F.broadcast(expansions(segmented.sparkSession, merges, vocabulary))  # at most two rows a merge
+    out = F.coalesce("out", F.array("piece")).alias("out")
+    return cells.join(table, ["piece", "final"], "left").groupBy("token").agg(
+        F.array_sort(F.collect_list(F.struct("pos", out))).alias("e")).select("token", F.flatten("e.out").alias("pieces"))
 
 
 def isolate_terms(word: Column, term: str) -> Column:

@@ -11,7 +11,7 @@ from ..session import staged, table
 from . import sql as S
 from .common import as_long
 from .registry import query
-from .subwords import MERGES, _FINAL, merges_sql
+from .subwords import MANY, MERGES, learned, _FINAL, merges_sql
 
 C = F.col
 
@@ -149,9 +149,18 @@ SELECT doc, node_id, word_no::BIGINT AS word_no, piece_no::BIGINT AS piece_no, p
   SELECT l.doc, l.node_id, l.word_no, generate_subscripts(p, 1) - 1 AS piece_no, unnest(p) AS piece, t.label || '_bpe' AS label
   FROM lw l JOIN s USING (token) JOIN mg t ON t.doc = l.doc AND t.node_id = l.parent)""")
 def subword_children(spark, folder):
+    return _subword_children(spark, folder, MERGES)
+
+
+@query("w25_children_1000_merges")
+def children_1000_merges(spark, folder):
+    return _subword_children(spark, folder, MANY)
+
+
+def _subword_children(spark, folder, merges):
     m = staged(merged(spark, folder), "tree-nodes")  # read for the counts and for both sides of the lookup
     counts = token_counts(m.where(C("value").isNotNull()).select(K.words(C("value")).alias("tokens")))
-    segmented = B.segment(counts, B.learn_merges(counts, MERGES))
+    segmented = B.segment(counts, learned(spark, folder, "pages", lambda: counts, merges))
     return R.subword_children(m, segmented, K.words).select(
         "doc", as_long("node_id"), as_long("word_no"), as_long("piece_no"), "piece", "label")
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from ..functions.hashing import key_hash, uniform
+from ..functions.hashing import key_hash, permuted, uniform
 from ..session import durable
 from .ranking import with_global_position, with_group_position, with_group_running_sum, with_running_sum
 
@@ -107,9 +107,13 @@ def worker_ranges(df: DataFrame, key: str, workers: int, exact: bool = False) ->
     return placed.withColumn("worker", worker).drop("_place")
 
 
-def stream_batches(df: DataFrame, key: str, tokens: str, streams: int, steps: int, end: str = "</s>") -> DataFrame:
+def stream_batches(df: DataFrame, key: str, tokens: str, streams: int, steps: int, end: str = "</s>", subsample: int = 1,
+                   seed: str | None = None) -> DataFrame:
     """(batch, stream, tokens) of the corpus laid out as parallel token streams.
 
+    With ``subsample`` k only the first n/k of the n batches are made, for
+    evaluation. A ``seed`` adds ``place``: when each of them is served.
+
     All texts, each closed by an end mark, form one stream that is padded in
     front and cut into ``streams`` columns. A batch is ``steps`` rows of all
     columns; each column starts with one end mark and loses its last token.
@@ -142,11 +146,17 @@ def stream_batches(df: DataFrame, key: str, tokens: str, streams: int, steps: in
     pieces = runs.select("_batches", F.explode(F.transform(cells, piece)).alias("p")).select(
         (F.col("p.cell") % F.col("_batches")).alias("batch"), F.floor(F.col("p.cell") / F.col("_batches")).alias("stream"),
         "p.step", "p.tokens").where(F.col("stream") < streams)
+    served = F.floor(batches / subsample)
     heads = df.sparkSession.range(streams).select(
         F.lit(0).cast("long").alias("batch"), F.col("id").alias("stream"), F.lit(0).cast("long").alias("step"), F.array(F.lit(end)).alias("tokens"))
     gathered = F.array_sort(F.collect_list(F.struct("step", "tokens")))
-    return pieces.where(F.size("tokens") > 0).unionByName(heads).groupBy("batch", "stream").agg(gathered.alias("g")).select(
-        "batch", "stream", F.flatten("g.tokens").alias("tokens"))
+    cells = pieces.where(F.size("tokens") > 0).unionByName(heads)
+    if subsample > 1:
+        cells = cells.where(F.col("batch") < served)
+    laid = cells.groupBy("batch", "stream").agg(gathered.alias("g")).select("batch", "stream", F.flatten("g.tokens").alias("tokens"))
+    if seed is None:
+        return laid
+    return laid.withColumn("_served", served).withColumn("place", permuted(F.col("batch"), F.col("_served"), seed)).drop("_served")
 
 
 def last_numbered(names: DataFrame, name: str, pattern: str, n: int, upper: int | None = None) -> DataFrame:

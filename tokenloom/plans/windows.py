@@ -134,20 +134,43 @@ def worker_ranges_all_rows(spark, folder):
     return P.worker_ranges(docs(spark, folder), "doc_id", 7).select("doc_id", as_long("worker"))
 
 
-@query("w13_stream_batches", f"""
-WITH d AS (SELECT doc_id, {S.words('text')} || ['</s>'] AS w FROM documents),
+_STREAMS_SQL = f"""
+d AS (SELECT doc_id, {S.words('text')} || ['</s>'] AS w FROM documents),
 o AS (SELECT doc_id, w, sum(len(w)) OVER (ORDER BY doc_id) - len(w) AS start, sum(len(w)) OVER () AS total FROM d),
 e AS (SELECT start + pos - 1 AS i, token, total FROM (SELECT start, total, unnest(w) AS token, generate_subscripts(w, 1) AS pos FROM o)),
 g AS (SELECT any_value(total) AS total, ceil(any_value(total) / (8 * 64.0))::BIGINT * 64 AS height FROM o),
 f AS (SELECT i + height * 8 - g.total AS spot, token, height FROM e, g
       UNION ALL SELECT unnest(range(0, (height * 8 - total)::BIGINT)), '</s>', height FROM g),
 r AS (SELECT spot // height AS stream, spot % height + 1 AS row, token FROM f WHERE spot % height + 1 < height
-      UNION ALL SELECT unnest(range(0, 8)), 0, '</s>')
-SELECT (row // 64)::BIGINT AS batch, stream::BIGINT AS stream, count(*)::BIGINT AS steps, string_agg(token, ' ' ORDER BY row) AS tokens FROM r GROUP BY 1, 2""")
-def stream_batches(spark, folder):
-    laid = P.stream_batches(doc_words(spark, folder), "doc_id", "tokens", 8, 64)
+      UNION ALL SELECT unnest(range(0, 8)), 0, '</s>'),
+b AS (SELECT (row // 64)::BIGINT AS batch, stream::BIGINT AS stream, count(*)::BIGINT AS steps, string_agg(token, ' ' ORDER BY row) AS tokens FROM r GROUP BY 1, 2)"""
+
+
+def _streams(spark, folder, *more, **options):
+    laid = P.stream_batches(doc_words(spark, folder), "doc_id", "tokens", 8, 64, **options)
     return laid.select(as_long("batch"), as_long("stream"), F.size("tokens").cast("long").alias("steps"),
-                       F.array_join("tokens", " ").alias("tokens"))
+                       F.array_join("tokens", " ").alias("tokens"), *more)
+
+
+@query("w13_stream_batches", f"WITH {_STREAMS_SQL} SELECT * FROM b")
+def stream_batches(spark, folder):
+    return _streams(spark, folder)
+
+
+@query("w13_evaluation_subsample", f"WITH {_STREAMS_SQL} SELECT b.* FROM b, g WHERE batch < (height // 64) // 5")
+def evaluation_subsample(spark, folder):
+    return _streams(spark, folder, subsample=5)
+
+
+@query("w13_shuffled_batches", f"""
+WITH {_STREAMS_SQL}, n AS (SELECT (height // 64) // 2 AS n FROM g),
+k AS (SELECT DISTINCT batch, n FROM b, n WHERE batch < n),
+p AS (SELECT batch, list_reduce([batch] || range(1, 65), lambda x, r: CASE WHEN
+    ('0x' || substr(md5('w13|' || r || '|' || greatest(x, (('0x' || substr(md5('w13|k|' || r), 1, 12))::BIGINT % n - x + n) % n)), 1, 1))::BIGINT % 2 = 1
+  THEN (('0x' || substr(md5('w13|k|' || r), 1, 12))::BIGINT % n - x + n) % n ELSE x END)::BIGINT AS place FROM k)
+SELECT b.*, place FROM b JOIN p USING (batch)""")
+def shuffled_batches(spark, folder):
+    return _streams(spark, folder, "place", subsample=2, seed="w13")
 
 
 @query("w14_vocabulary_ids", f"SELECT token, n, id::BIGINT AS id FROM {vocab_sql(4)}")
@@ -244,7 +267,7 @@ e AS (SELECT doc_id, unnest(w) AS token, generate_subscripts(w, 1) AS i FROM {_W
 
 def _indexed(spark, folder):
     vocab = V.assign_ids(doc_counts(spark, folder), 14, 5000)
-    return V.index(doc_words(spark, folder), "doc_id", C("tokens"), vocab, 3, 5000).where(F.size("ids") > 0)
+    return V.index(doc_words(spark, folder), "doc_id", C("tokens"), vocab, 3).where(F.size("ids") > 0)
 
 
 @query("w31_mask_for_prediction", f"""

@@ -117,6 +117,26 @@ def relative_positions(length: Column, limit: int, signed: bool) -> Column:
     )
 
 
+def relative_runs(length: Column, limit: int, signed: bool) -> Column:
+    """The rows of ``relative_positions`` as runs (row, value, times), in order: at most 2 * limit + 1 a row.
+
+    Left of the diagonal band and right of it a row has one value, so the array
+    grows with the length, not with its square.
+    """
+
+    def run(i: Column, step: Column) -> Column:
+        left = F.when(i >= limit, i - limit + 1)
+        right = F.when(i + limit < length, length - i - limit)
+        inside = F.when((i + step >= 0) & (i + step < length), 1)
+        times = F.when(F.lit(limit == 0), length).when(step == -limit, left).when(step == limit, right).otherwise(inside)
+        value = step + limit if signed else F.abs(step)
+        return F.struct(i.alias("row"), value.alias("value"), F.coalesce(times, F.lit(0)).cast("int").alias("times"))
+
+    rows = F.transform(range_from_zero(length), lambda i: F.filter(
+        F.transform(F.sequence(F.lit(-limit), F.lit(limit)), lambda step: run(i, step)), lambda r: r["times"] > 0))
+    return F.flatten(rows)
+
+
 def length_mask(length: Column, width: Column) -> Column:
     return F.transform(range_from_zero(width), lambda i: i < length)
 

@@ -154,17 +154,32 @@ def token_f1(predictions: DataFrame) -> DataFrame:
     return best.select("id", "b.precision", "b.recall", "b.f1")
 
 
+COLUMNS = 4096  # left tokens compared at a time
+
+
 def common_subsequence(left: list[str], right: list[str]) -> int:
-    """Length of the longest common subsequence, one big-integer step per right token."""
-    places: dict[str, int] = {}
-    for i, token in enumerate(left):
-        places[token] = places.get(token, 0) | (1 << i)
-    full = (1 << len(left)) - 1
-    open_bits = full
-    for token in right:
-        hit = open_bits & places.get(token, 0)
-        open_bits = ((open_bits + hit) | (open_bits - hit)) & full
-    return len(left) - open_bits.bit_count()
+    """Length of the longest common subsequence, one big-integer step per right token and block of left tokens.
+
+    A block holds a bit row for each of its own tokens only; the carry of each
+    right token's addition goes on to the next block. Memory is in proportion
+    to the lengths of the texts.
+    """
+    carry, found = bytearray(len(right)), 0
+    for start in range(0, len(left), COLUMNS):
+        block = left[start:start + COLUMNS]
+        places: dict[str, int] = {}
+        for i, token in enumerate(block):
+            places[token] = places.get(token, 0) | (1 << i)
+        full = (1 << len(block)) - 1
+        open_bits = full
+        for at, token in enumerate(right):
+            places_of = places.get(token, 0)
+            if places_of or carry[at]:
+                total = open_bits + (open_bits & places_of) + carry[at]
+                carry[at] = total >> len(block)
+                open_bits = (total | (open_bits & ~places_of)) & full
+        found += len(block) - open_bits.bit_count()
+    return found
 
 
 @F.pandas_udf(LongType())

@@ -101,11 +101,11 @@ FROM documents d LEFT JOIN f ON f.doc_id = d.doc_id AND (f.stop IS NULL OR f.pos
 def ids_to_text(spark, folder):
     # ids from 504 on point into the row's own vocabulary; id 10 plays the end mark
     vocab = V.assign_ids(doc_counts(spark, folder), 4, 500)
-    ids = V.index(doc_words(spark, folder), "doc_id", C("tokens"), vocab, -1, 500)
+    ids = V.index(doc_words(spark, folder), "doc_id", C("tokens"), vocab, -1)
     extended = F.transform("ids", lambda i, p: F.when(i >= 0, i).otherwise(504 + (p + 1) % 3))
     rows = ids.select("doc_id", F.array_prepend(extended, F.lit(2)).alias("ids"),
                       F.array(F.lit("own0"), F.lit("own1"), F.lit("own2")).alias("own"))
-    return V.ids_to_text(rows, "doc_id", C("ids"), vocab, 500, F.lit(504), "own", begin=2, end=10)
+    return V.ids_to_text(rows, "doc_id", C("ids"), vocab, F.lit(504), "own", begin=2, end=10)
 
 
 @query("m08_replace_unknown", f"""
@@ -148,6 +148,18 @@ def relative_positions(spark, folder):
         joined(F.flatten(A.relative_positions(C("n"), 3, False))).alias("unsigned"))
 
 
+@query("m10_relative_runs", f"""
+WITH n AS (SELECT conv_id, turn, {_N_LINES} AS n FROM conversations),
+c AS (SELECT conv_id, turn, i, greatest(least(j - i, 3), -3) AS v FROM (SELECT *, unnest(range(0, n)) AS j FROM (SELECT *, unnest(range(0, n)) AS i FROM n)))
+SELECT conv_id, turn, i::BIGINT AS "row", (v + 3)::BIGINT AS signed, abs(v)::BIGINT AS unsigned, count(*)::BIGINT AS times FROM c GROUP BY conv_id, turn, i, v""")
+def relative_runs(spark, folder):
+    n = turns(spark, folder).select("conv_id", "turn", F.size(K.lines(C("text"))).alias("n"))
+    both = F.arrays_zip(A.relative_runs(C("n"), 3, True).alias("s"), A.relative_runs(C("n"), 3, False).alias("u"))
+    runs = n.select("conv_id", "turn", F.explode(both).alias("r"))
+    return runs.select("conv_id", "turn", C("r.s.row").cast("long").alias("row"), C("r.s.value").cast("long").alias("signed"),
+                       C("r.u.value").cast("long").alias("unsigned"), C("r.s.times").cast("long").alias("times"))
+
+
 @query("m11_masks", f"""
 WITH n AS (SELECT conv_id, turn, {_N_LINES} AS n, (row_number() OVER (ORDER BY {_N_LINES}, conv_id, turn) - 1) // 16 AS batch FROM conversations),
 b AS (SELECT *, max(n) OVER (PARTITION BY batch) AS w FROM n)

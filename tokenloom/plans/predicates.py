@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions import arrays as A, text as T, tokens as K
 from ..operators import filters as P
-from ..session import table
+from ..session import fresh_path, table
+from ..sources import sinks as O
 from . import sql as S
 from .registry import query
 
@@ -64,6 +65,16 @@ def quarantine(spark, folder):
     return good.unionByName(bad).withColumn("n_failed", n_failed)
 
 
+@query("f05_counted_quarantine", """
+SELECT page_id, instr(html, '</body>') = 0 AS failed, sum(CASE WHEN instr(html, '</body>') = 0 THEN 1 ELSE 0 END) OVER ()::BIGINT AS n_failed,
+  count(*) OVER ()::BIGINT AS n_rows FROM pages""")
+def counted_quarantine(spark, folder):
+    pages = table(spark, folder, "pages")
+    good, bad, counted = O.write_quarantined(pages, F.instr("html", "</body>") == 0, fresh_path(spark, "quarantine"))
+    rows = good.select("page_id", F.lit(False).alias("failed")).unionByName(bad.select("page_id", F.lit(True).alias("failed")))
+    return rows.select("page_id", "failed", F.lit(counted["failed"]).cast("long").alias("n_failed"), F.lit(counted["rows"]).cast("long").alias("n_rows"))
+
+
 @query("f06_length_agreement", f"""
 WITH t AS (SELECT conv_id, turn, {S.words('text')} AS src, string_split(text, ' ') AS tag FROM conversations)
 SELECT conv_id, turn, len(src)::BIGINT AS n FROM t WHERE len(src) = len(tag)""")

@@ -40,7 +40,9 @@ def read_numbered_lines(spark: SparkSession, path: str) -> DataFrame:
 
     Large files stay splittable. A scan task reads its file blocks in order, so
     the row id gives each line's place in its block; only the table of blocks
-    is numbered globally.
+    is numbered globally. It has one row per scan split
+    (``spark.sql.files.maxPartitionBytes``, 128 MB by default), so it is sent to
+    the scan tasks, and lines stay where they are read.
     """
     lines = spark.read.option("lineSep", "\n").text(path).select(
         F.col("value").alias("line"), F.col("_metadata.file_path").alias("_file"),
@@ -48,7 +50,7 @@ def read_numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     blocks = lines.groupBy("_file", "_block").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
     before = W.orderBy("_file", "_block").rowsBetween(W.unboundedPreceding, -1)  # one row per file block
     offsets = blocks.select("_file", "_block", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    return lines.join(offsets, ["_file", "_block"]).select(
+    return lines.join(F.broadcast(offsets), ["_file", "_block"]).select(
         (F.col("_offset") + F.col("_row") - F.col("_first")).alias("line_no"), "line")
 
 

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from ..session import staged
 from .ranking import with_global_position
 from .tokentables import token_counts
 
 FEW = 10_000  # longer top lists are cut by count before they are sorted
-BROADCAST_ROWS = 200_000  # a vocabulary cut to at most this many rows may be broadcast
+RANKED_AT_ONCE = 200_000  # a list that the caller cuts to at most this many rows is numbered by one window
+FILTER_BITS, PROBES = 1 << 22, 3  # of the membership filter: half a megabyte whatever the vocabulary's size
 
 
 def _by_count():
@@ -33,7 +35,7 @@ def top_tokens(counts: DataFrame, most: int) -> DataFrame:
 
 def assign_ids(counts: DataFrame, first_id: int, most: int | None = None) -> DataFrame:
     """Ids by falling count (ties by token) from ``first_id``; columns token, n, id."""
-    if most is not None and most <= BROADCAST_ROWS:
+    if most is not None and most <= RANKED_AT_ONCE:
         rank = F.row_number().over(W.orderBy(*_by_count()))  # over at most `most` rows
         return top_tokens(counts, most).withColumn("id", rank.cast("long") - 1 + first_id)
     ranked = with_global_position(counts, _by_count(), "id")
@@ -42,28 +44,39 @@ def assign_ids(counts: DataFrame, first_id: int, most: int | None = None) -> Dat
     return ranked.withColumn("id", F.col("id") + first_id)
 
 
-def bounded(vocab: DataFrame, rows: int) -> DataFrame:
-    """Broadcast hint for a vocabulary known to have at most ``rows`` rows; larger ones are left to AQE."""
-    return F.broadcast(vocab) if rows <= BROADCAST_ROWS else vocab
+def _places(value: Column, bits) -> list[Column]:
+    return [F.pmod(F.xxhash64(F.lit(i), value), bits) for i in range(PROBES)]
 
 
-def index(df: DataFrame, key: str, tokens: Column, vocab: DataFrame, unknown: int, rows: int) -> DataFrame:
+def membership_filter(keys: DataFrame, key: str, bits: int = FILTER_BITS) -> DataFrame:
+    """One row: ``words``, the 64-bit words of a Bloom filter of the key column, built by aggregation."""
+    places = keys.select(F.explode(F.array(*_places(F.col(key), F.lit(bits)))).alias("at"))
+    marks = places.groupBy(F.shiftright("at", 6).alias("id")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 AS int))")).alias("word"))
+    every = keys.sparkSession.range(bits // 64).join(marks, "id", "left")
+    return every.agg(F.sort_array(F.collect_list(F.struct("id", F.coalesce("word", F.lit(0)).alias("word")))).alias("e")).select(
+        F.col("e.word").alias("words"))
+
+
+def may_hold(keys_filter: DataFrame, value: Column, bits: int = FILTER_BITS) -> Column:
+    """False only for values that are certainly no key; tested where the values are, as the filter comes with the task."""
+    words = keys_filter.scalar()
+    hits = [F.getbit(F.get(words, F.shiftright(at, 6).cast("int")), at.bitwiseAND(F.lit(63)).cast("int")) == 1
+            for at in _places(value, F.lit(bits))]
+    return hits[0] & hits[1] & hits[2]
+
+
+def index(df: DataFrame, key: str, tokens: Column, vocab: DataFrame, unknown: int) -> DataFrame:
     """One row per ``key`` with the token ids in order; tokens outside the vocabulary become ``unknown``.
 
-    With the vocabulary broadcast, a text's tokens stay in one task until the
-    ids are collected, so only id arrays are shuffled. A larger vocabulary is
-    joined by shuffle with its frequent words kept apart.
+    The vocabulary has token, n and id.
     """
     exploded = df.select(key, F.posexplode_outer(tokens).alias("pos", "token"))
-    if rows <= BROADCAST_ROWS:
-        found = exploded.join(F.broadcast(vocab.select("token", "id")), "token", "left")
-    else:
-        found = skewed_lookup(exploded, vocab.select("token", "n", "id"), "token", "n", "left")
+    found = skewed_lookup(exploded, vocab.select("token", "n", "id"), "token", "n", "left")
     entry = F.when(F.col("pos").isNotNull(), F.struct("pos", F.coalesce("id", F.lit(unknown)).alias("id")))
     return found.groupBy(key).agg(F.array_sort(F.collect_list(entry)).alias("e")).select(key, F.col("e.id").alias("ids"))
 
 
-def ids_to_text(df: DataFrame, key: str, ids: Column, vocab: DataFrame, rows: int, size: Column,
+def ids_to_text(df: DataFrame, key: str, ids: Column, vocab: DataFrame, size: Column,
                 own_vocab: str | None = None, begin: int = 2, end: int = 3, empty: str = "1") -> DataFrame:
     """Text of id sequences: begin marks skipped, stop at the first end mark.
 
@@ -75,7 +88,7 @@ def ids_to_text(df: DataFrame, key: str, ids: Column, vocab: DataFrame, rows: in
     kept = F.filter(cut_at(ids, end), lambda i: i != begin)
     columns = [key] + ([own_vocab] if own_vocab else [])
     exploded = df.select(*columns, F.posexplode_outer(kept).alias("pos", "id"))
-    found = exploded.join(bounded(vocab.select("id", "token"), rows), "id", "left")
+    found = skewed_lookup(exploded, vocab.select("id", "n", "token"), "id", "n", "left")
     own = F.get(F.col(own_vocab), (F.col("id") - size).cast("int")) if own_vocab else F.lit(None)
     word = F.coalesce("token", F.when(F.col("id") >= size, own), F.col("id").cast("string"))
     entry = F.when(F.col("pos").isNotNull(), F.struct("pos", word.alias("word")))
@@ -104,17 +117,22 @@ def skewed_lookup(facts: DataFrame, lookup: DataFrame, key: str, weight: str, ho
     """Inner or left join on a key whose most frequent values repeat in a large part of the facts.
 
     The ``hot`` heaviest keys are looked up in a broadcast table of ``hot``
-    rows. Those rows then carry a spread-out stand-in key that matches nothing,
-    so the second, shuffled lookup has no heavy key left. The facts are read
-    once; ``lookup`` must hold each key once.
+    rows, and a membership filter of fixed size finds most facts without any
+    match. Both then carry a spread-out stand-in key that matches nothing, so
+    the second lookup, by shuffle unless the table is small, has no heavy key
+    left. The facts are read once; ``lookup`` must hold each key once. It is
+    written first: three steps read it, and Spark plans the last by its bytes.
     """
+    lookup = staged(lookup, "lookup")
     values = [c for c in lookup.columns if c != key]
     heavy = lookup.orderBy(F.col(weight).desc(), F.col(key)).limit(hot).select(
         F.col(key).alias("_hot_key"), F.struct(*values).alias("_hot"))
     first = facts.join(F.broadcast(heavy), F.col(key) == F.col("_hot_key"), "left")
-    stand_in = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(*facts.columns), F.lit(65536)).cast("string"))
-    spread = first.withColumn("_key", F.when(F.col("_hot_key").isNull(), F.col(key)).otherwise(stand_in))
-    rest = lookup.select(F.col(key).alias("_cold_key"), F.struct(*values).alias("_cold"))
+    spread_over = F.pmod(F.xxhash64(*facts.columns), F.lit(65536))
+    stand_in = F.concat(F.lit("\u0000"), spread_over.cast("string"))
+    open_key = F.col("_hot_key").isNull() & may_hold(membership_filter(lookup, key), F.col(key).cast(lookup.schema[key].dataType))
+    spread = first.withColumn("_key", F.when(open_key, F.col(key).cast("string")).otherwise(stand_in))
+    rest = lookup.select(F.col(key).cast("string").alias("_cold_key"), F.struct(*values).alias("_cold"))
     joined = spread.join(rest, F.col("_key") == F.col("_cold_key"), "left").withColumn("_v", F.coalesce("_hot", "_cold"))
     if how == "inner":
         joined = joined.where(F.col("_hot_key").isNotNull() | F.col("_cold_key").isNotNull())

@@ -99,7 +99,7 @@ SELECT doc_id, string_agg(CASE WHEN v.id IS NULL OR v.id >= 400 THEN 3 ELSE v.id
 FROM t LEFT JOIN v USING (token) GROUP BY doc_id""")
 def remapped_ids(spark, folder):
     vocab = V.assign_ids(doc_counts(spark, folder), 14, 1000)
-    ids = V.index(doc_words(spark, folder), "doc_id", C("tokens"), vocab, 3, 1000)
+    ids = V.index(doc_words(spark, folder), "doc_id", C("tokens"), vocab, 3)
     pruned = F.transform("ids", lambda i: F.when(i >= 400, F.lit(3)).otherwise(i))
     return ids.where(F.size("ids") > 0).select("doc_id", F.array_join(pruned, " ").alias("ids"))
 
@@ -112,7 +112,7 @@ SELECT (SELECT sum(n) FROM c)::BIGINT AS words, (SELECT count(*) FROM c)::BIGINT
 def unknown_report(spark, folder):
     counts = doc_counts(spark, folder)
     vocab = V.assign_ids(counts, 14, 3000).select("token", F.lit(True).alias("known"))
-    marked = counts.join(V.bounded(vocab, 3000), "token", "left").withColumn("unknown", C("known").isNull())
+    marked = counts.join(vocab, "token", "left").withColumn("unknown", C("known").isNull())
     one = marked.agg(F.sum("n").alias("words"), F.count(F.lit(1)).alias("unique_words"),
                      F.sum(F.when(C("unknown"), C("n"))).alias("unknown"), F.count_if("unknown").alias("unique_unknown"))
     return one.select("words", "unique_words", docs(spark, folder).agg(F.count(F.lit(1))).scalar().alias("sentences"),
@@ -125,7 +125,7 @@ SELECT token, n::BIGINT AS n FROM {DOC_COUNTS_SQL} ANTI JOIN v USING (token) ORD
 def top_unknown(spark, folder):
     counts = doc_counts(spark, folder)
     vocab = V.assign_ids(counts, 14, 3000).select("token")
-    return V.top_tokens(counts.join(V.bounded(vocab, 3000), "token", "left_anti"), 30)
+    return V.top_tokens(counts.join(vocab, "token", "left_anti"), 30)
 
 
 @query("a13_indexing_statistics", f"""
@@ -139,7 +139,7 @@ def indexing_statistics(spark, folder):
     # every sequence also counts its end mark
     counts = doc_counts(spark, folder)
     vocab = V.assign_ids(counts, 4, 3000).select("token")
-    replaced = counts.join(V.bounded(vocab, 3000), "token", "left_anti")
+    replaced = counts.join(vocab, "token", "left_anti")
     nseq = docs(spark, folder).agg(F.lit("nseq").alias("stat"), F.count(F.lit(1)).alias("n"))
     ntok = counts.agg(F.lit("ntok").alias("stat"), F.sum("n").alias("n")).select(
         "stat", (C("n") + nseq.select("n").scalar()).alias("n"))
@@ -192,6 +192,13 @@ def length_histogram(spark, folder):
     return stats.length_histogram(d, "split", C("chars"), 500).withColumn("share", F.round("share", 6))
 
 
+@query("a17_length_density")
+def length_density(spark, folder):
+    d = docs(spark, folder).select(split_column().alias("split"), F.length("text").alias("chars"))
+    edges = stats.quantile_edges(stats.length_sketches(d, "split", C("chars")), 20)
+    return stats.length_density(d, "split", C("chars"), edges)
+
+
 @query("a24_weighted_mean", """
 SELECT l_returnflag, l_linestatus, round(sum(l_discount * l_quantity) / sum(l_quantity), 6) AS mean FROM lineitem GROUP BY ALL""")
 def weighted_mean(spark, folder):

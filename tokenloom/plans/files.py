@@ -205,8 +205,8 @@ UNION ALL SELECT 'id_sum', sum(coalesce(id, 3))::BIGINT FROM t LEFT JOIN v USING
 def index_sink(spark, folder):
     counts = doc_counts(spark, folder)
     vocab = V.assign_ids(counts, 14, 3000)
-    unknown = counts.join(V.bounded(vocab.select("token"), 3000), "token", "left_anti")
-    path = O.write_index(V.index(doc_words(spark, folder), "doc_id", C("tokens"), vocab, 3, 3000), unknown, fresh_path(spark, "index"))
+    unknown = counts.join(vocab.select("token"), "token", "left_anti")
+    path = O.write_index(V.index(doc_words(spark, folder), "doc_id", C("tokens"), vocab, 3), unknown, fresh_path(spark, "index"))
     ids = spark.read.parquet(f"{path}/sentences").select(F.explode("ids").alias("id"))
     stats = ids.agg(F.count(F.lit(1)).alias("tokens"), F.count_if(C("id") == 3).alias("unknown"), F.sum("id").alias("id_sum"))
     words = spark.read.parquet(f"{path}/unknown").agg(F.count(F.lit(1)).alias("unknown_words"))

@@ -60,7 +60,7 @@ SELECT d.doc_id, coalesce(i.ids, '') AS ids FROM documents d LEFT JOIN (
   SELECT doc_id, string_agg(coalesce(v.id, 0)::VARCHAR, ' ' ORDER BY pos) AS ids FROM t LEFT JOIN v USING (token) GROUP BY doc_id) i USING (doc_id)""")
 def vocabulary_lookup(spark, folder):
     vocab = V.assign_ids(doc_counts(spark, folder), 4, 5000)
-    ids = V.index(doc_words(spark, folder), "doc_id", C("tokens"), vocab, 0, 5000)
+    ids = V.index(doc_words(spark, folder), "doc_id", C("tokens"), vocab, 0)
     return ids.select("doc_id", F.array_join("ids", " ").alias("ids"))
 
 
@@ -101,7 +101,7 @@ SELECT token, count(*)::BIGINT AS n FROM t SEMI JOIN v USING (token) GROUP BY to
 def known_words(spark, folder):
     vocab = V.assign_ids(doc_counts(spark, folder), 0, 300)
     counts = V.corpus_counts(pairs(spark, folder), K.words(C("tgt")))
-    known = counts.join(V.bounded(vocab.select("token"), 300), "token", "left_semi")
+    known = counts.join(vocab.select("token"), "token", "left_semi")
     return V.top_tokens(known, 50)
 
 
@@ -117,7 +117,7 @@ def copy_score_cells(spark, folder):
     p = pairs(spark, folder)
     target = V.assign_ids(V.corpus_counts(p, K.words(C("tgt"))), 2, 200)
     own = p.select("conv_id", "turn", F.posexplode(F.array_distinct(K.words(C("src")))).alias("i", "token"))
-    hit = own.join(V.bounded(target.select("token", "id"), 200), "token")
+    hit = V.skewed_lookup(own, target.select("token", "n", "id"), "token", "n").drop("n")
     return hit.select("conv_id", "turn", (C("i") + 2 + 202).cast("long").alias("blank"), C("id").alias("fill"))
 
 

@@ -355,7 +355,7 @@ def test_batched_learning_equals_one_at_a_time(spark, seed, candidates):
     rng = random.Random(seed)
     counts = {"".join(rng.choice("aabcde") for _ in range(rng.randint(1, 7))): rng.randint(1, 9) for _ in range(60)}
     want, words = slow_merges(counts, 25)
-    merges = B.learn_merges(counts_frame(spark, counts), 25, candidates=candidates, freeze_every=2)
+    merges = B.learn_merges(counts_frame(spark, counts), 25, candidates=candidates, most=5)
     assert merges == want
     got = {r["token"]: r["pieces"] for r in B.segment(counts_frame(spark, counts), merges).collect()}
     for word, parts in words.items():

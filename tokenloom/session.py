@@ -9,10 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str = "*", partitions: int = 8, memory: str = "16g") -> SparkSession:
-    """Session for tests and the benchmark; clusters bring their own settings.
-
-    Small files are cut into splits of 1 MB, so that a small table keeps every core busy.
-    """
+    """Session of one process for tests and the benchmark; clusters bring their own settings."""
     return (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("tokenloom")
@@ -29,12 +26,17 @@ def local_session(cores: str = "*", partitions: int = 8, memory: str = "16g") ->
 def shared_folder(spark: SparkSession) -> str:
     """Folder that every executor can reach: ``spark.checkpoint.dir``.
 
-    A session without that setting (a test, say) gets a folder below its
-    warehouse, which executors share as well.
+    A session of one process without that setting (a test, say) gets a folder
+    below its warehouse. On a cluster it must be set, as no folder is known to
+    be shared.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
-    folder = folder or context.getCheckpointDir() or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/stages"
+    folder = folder or context.getCheckpointDir()
+    if not folder:
+        if context.master != "local" and not context.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors reach")
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/stages"
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder

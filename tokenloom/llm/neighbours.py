@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from ..session import discard, staged
 from .files import array, attempt_name, new_folder, output, rows_each
 
-SHARD = 8192
+SHARD = 16384
 LINKS, BEAM_BUILD, BEAM_SEARCH = 16, 64, 128
 BATCH = 256
 RATIO, SMALL = 1.5, 256
@@ -225,6 +225,11 @@ def _build(folder: str):
     return run
 
 
+def _ranges(low: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges of ``count`` from ``low``, one after the other."""
+    return np.repeat(low - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
+
+
 class Shard:
     """A shard's files, opened."""
 
@@ -244,19 +249,17 @@ class Shard:
 
     def _answers(self, query: int, vector: np.ndarray, nodes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids, scores) of the vectors of some nodes, best first, at most k."""
-        found = []
-        for node in nodes:  # of one direction, the longest are best, or the shortest where the product is negative
-            low, high = self.members[node], self.members[node + 1]
-            found += range(low, high) if high - low <= 2 * k + 2 else [*range(low, low + k + 1), *range(high - k - 1, high)]
-        found = np.array(found, np.int64)
+        low, count = self.members[nodes], self.members[nodes + 1] - self.members[nodes]
+        if len(nodes) and count.max() > 2 * k + 2:  # of one direction, the longest are best, or the shortest where the product is negative
+            ends = [*zip(low, np.minimum(count, k + 1)), *zip(low + np.maximum(count - k - 1, k + 1), np.clip(count - k - 1, 0, k + 1))]
+            low, count = (np.array(x, np.int64) for x in zip(*ends))
+        found = _ranges(low, count)
         with np.errstate(over="ignore", invalid="ignore"):
             score = (self.vectors[found] * vector).sum(axis=1)
         score = np.where(np.isnan(score), -np.inf, score)
-        best = np.argsort(-score, kind="stable")
         # all ids of equal vectors, in ascending order; k + 1 of them are enough for k without the query
-        ids = [self.ids[self.owners[n]:min(self.owners[n + 1], self.owners[n] + k + 1)] for n in found[best]]
-        score = np.repeat(score[best], [len(x) for x in ids])
-        ids = np.concatenate(ids) if ids else np.zeros(0, np.int64)
+        times = np.minimum(self.owners[found + 1] - self.owners[found], k + 1)
+        ids, score = self.ids[_ranges(self.owners[found], times)], np.repeat(score, times)
         score, ids = score[ids != query], ids[ids != query]
         best = np.lexsort((ids, -score))[:k]
         return ids[best], score[best]

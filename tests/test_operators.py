@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tokenloom.functions import arrays as A, noise as N, text as T, tokens as K
 from tokenloom.operators import (filters as P, pairing, ranking as R, scoring, splits, stats, subword as B, tokentables,
                                  trees, vocab as V)
+from tokenloom.plans import QUERIES
 from tokenloom.plans.common import doc_counts
 from tokenloom.session import fresh_path
 from tokenloom.sources import readers as I, sinks as O
@@ -598,6 +599,18 @@ def test_ingest_takes_only_new_files(spark):
     assert seen == [[0], [0, 1]]
 
 
+@pytest.mark.parametrize("files", [1, 3])
+def test_ingest_of_a_table_of_one_or_several_files(spark, tmp_path, files):
+    rows = spark.createDataFrame([(i, "s", "a b c") for i in range(6)], "doc_id long, source string, text string")
+    path = f"{tmp_path}/documents.parquet"
+    if files == 1:
+        rows.toPandas().to_parquet(path)
+    else:
+        rows.repartition(files).write.parquet(path)
+    spark.createDataFrame([(9, "s", "x")], rows.schema).write.parquet(f"{tmp_path}/others.parquet")
+    assert sorted(one(QUERIES["t01_incremental_ingest"](spark, str(tmp_path)))) == [(i, "s", 3) for i in range(6)]
+
+
 def test_filters(spark):
     df = spark.createDataFrame([(1, "a b", "x"), (2, "", "y"), (3, "a b c", "")], "id long, s string, t string")
     kept = P.drop_empty(df, K.words(C("s")), K.words(C("t"))).collect()

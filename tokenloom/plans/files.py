@@ -258,8 +258,9 @@ def document_lines(spark, folder):
 def incremental_ingest(spark, folder):
     output, checkpoint = fresh_path(spark, "ingest"), fresh_path(spark, "ingest-state")
     schema = spark.read.parquet(f"{folder}/documents.parquet").schema
+    arrivals = f"{folder}/{{documents.parquet}}"  # one file or a folder of files: only as a pattern a stream takes both
     for _ in range(2):  # the second run finds nothing new
-        J.ingest_new_files(J.file_stream(spark, folder, schema, "documents.parquet"), output, checkpoint)
+        J.ingest_new_files(J.file_stream(spark, arrivals, schema, "*"), output, checkpoint)
     return spark.read.parquet(output).select("doc_id", "source", F.size("tokens").cast("long").alias("n_tokens"))
 
 

@@ -599,6 +599,24 @@ def test_ingest_takes_only_new_files(spark):
     assert seen == [[0], [0, 1]]
 
 
+def test_code_parts_cut_whole_texts(spark):
+    values = ["parseHTTPUrl _my_var__x aB_cD", "  \u2003HTTPServer\u00a0fooBar\x1cx ", "", None, "_", "\U0001d54faB"]
+    df = texts(spark, values)
+    by_token = F.flatten(F.transform(F.flatten(F.transform(K.words(C("text")), K.snake_parts)), K.camel_parts))
+    camel = F.flatten(F.transform(K.words(C("text")), K.camel_parts))
+    found = df.select(K.code_parts(C("text")).alias("both"), by_token.alias("b"), K.code_parts(C("text"), snake=False).alias("camel"), camel.alias("c"))
+    for r in found.collect():
+        assert (r.both, r.camel) == (r.b, r.c)
+    assert "lambda" not in found.select("both")._jdf.queryExecution().optimizedPlan().toString().lower()  # no pattern per token
+
+
+def test_words_are_those_of_python(spark):
+    values = ["".join(f"a{c}{c}b" for c in K.BLANKS) + "\u200b \u180e\n", "\u00e9\U0001d54f x", " ", "", None]
+    got = [r.w for r in texts(spark, values).orderBy("id").select(K.words(C("text")).alias("w")).collect()]
+    assert got == [None if v is None else v.split() for v in values]
+    assert K.SPACE not in texts(spark, values).select(K.words(C("text")))._jdf.queryExecution().optimizedPlan().toString()  # no pattern
+
+
 @pytest.mark.parametrize("files", [1, 3])
 def test_ingest_of_a_table_of_one_or_several_files(spark, tmp_path, files):
     rows = spark.createDataFrame([(i, "s", "a b c") for i in range(6)], "doc_id long, source string, text string")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import random
+import re
 import tracemalloc
 from collections import Counter, defaultdict
 
@@ -11,10 +12,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.test_operators import apply_pair, counts_frame
-from tokenloom.functions import arrays as A
+from tokenloom import session
+from tokenloom.functions import arrays as A, tokens as K
 from tokenloom.functions.hashing import permuted
 from tokenloom.operators import merges as M, scoring, stats, subword as B, vocab as V
+from tokenloom.plans import QUERIES
 from tokenloom.plans.common import doc_counts
+from tokenloom.session import placed_by
 from tokenloom.sources import readers as I, sinks as O
 from tokenloom.streaming import jobs as J
 
@@ -285,3 +289,22 @@ def test_membership_filter_has_no_misses(spark):
     found = spark.range(40_000).select("id", V.may_hold(V.membership_filter(keys, "k"), C("id").cast("string")).alias("m")).collect()
     assert all(r["m"] for r in found if r["id"] < 20_000)
     assert sum(r["m"] for r in found if r["id"] >= 20_000) < 400
+
+
+# --- placement -------------------------------------------------------------------
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_every_batch_of_arrivals_has_a_file_a_core(spark, monkeypatch):
+    seen, plain = [], J.file_stream
+
+    def noted(spark, folder, schema, glob="*.parquet", files_per_batch=None):
+        seen.append((len(spark.read.parquet(folder).inputFiles()), files_per_batch))
+        return plain(spark, folder, schema, glob, files_per_batch)
+
+    monkeypatch.setattr(J, "file_stream", noted)
+    QUERIES["t02_running_statistics"](spark, FOLDER)
+    cores = spark.sparkContext.defaultParallelism
+    assert seen == [(4 * cores, cores)]

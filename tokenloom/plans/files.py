@@ -268,10 +268,11 @@ def incremental_ingest(spark, folder):
 SELECT source, count(*)::BIGINT AS records, sum(len({S.words('text')}))::BIGINT AS tokens, count(*) FILTER (WHERE len({S.words('text')}) < 30)::BIGINT AS rejected
 FROM documents GROUP BY source""")
 def running_statistics(spark, folder):
-    staged = fresh_path(spark, "arrivals")
-    docs(spark, folder).select("source", "text").repartition(4).write.parquet(staged)
+    arrivals = fresh_path(spark, "arrivals")
+    files = spark.sparkContext.defaultParallelism  # of each of four batches, so that all cores write and read them
+    docs(spark, folder).select("source", "text").repartition(4 * files).write.parquet(arrivals)
     output = fresh_path(spark, "statistics")
-    stream = J.file_stream(spark, staged, spark.read.parquet(staged).schema, files_per_batch=1)
+    stream = J.file_stream(spark, arrivals, spark.read.parquet(arrivals).schema, files_per_batch=files)
     J.running_statistics(stream, "source", output, fresh_path(spark, "statistics-state"))
     return J.latest_statistics(spark, output)
 

@@ -99,9 +99,9 @@ def running_statistics(stream: DataFrame, group: str, output: str, checkpoint: s
     not disturbed and the number of folders stays bounded.
     """
     spark = stream.sparkSession
-    counters = stream.groupBy(group).agg(
-        F.count(F.lit(1)).alias("records"), F.sum(F.size(words(F.col("text")))).alias("tokens"),
-        F.count_if(F.size(words(F.col("text"))) < 30).alias("rejected"))
+    sized = stream.select(group, F.size(words(F.col("text"))).alias("_size"))
+    counters = sized.groupBy(group).agg(
+        F.count(F.lit(1)).alias("records"), F.sum("_size").alias("tokens"), F.count_if(F.col("_size") < 30).alias("rejected"))
 
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{output}/changes/batch={number}")

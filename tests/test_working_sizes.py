@@ -297,6 +297,15 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_index_shuffles_texts_not_tokens(spark):
+    df = spark.createDataFrame([(1, "a b a"), (2, ""), (3, None), (1, "c b")], "doc long, text string")
+    vocab = spark.createDataFrame([("a", 9, 4), ("b", 3, 5)], "token string, n long, id long")
+    found = V.index(df, "doc", K.words(C("text")), vocab, 0)
+    assert {r["doc"]: sorted(r["ids"]) for r in found.collect()} == {1: [0, 4, 4, 5, 5], 2: [], 3: []}
+    shuffles = [line for line in plan(found).splitlines() if "hashpartitioning(doc" in line]
+    assert shuffles and all("REPARTITION_BY_NUM" in line for line in shuffles)
+
+
 def test_every_batch_of_arrivals_has_a_file_a_core(spark, monkeypatch):
     seen, plain = [], J.file_stream
 

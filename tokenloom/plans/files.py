@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 
 from ..functions import arrays as A, tokens as K
 from ..operators import scoring as R, splits as P, vocab as V
-from ..session import durable, fresh_path, table
+from ..session import durable, fresh_path, staged, table
 from ..sources import readers as I, sinks as O
 from ..streaming import jobs as J
 from . import sql as S
-from .common import DOC_COUNTS_SQL, PAIRS_SQL, as_long, doc_counts, doc_words, docs, pairs, turns, vocab_sql
+from .common import DOC_COUNTS_SQL, PAIRS_SQL, as_long, doc_counts, docs, pairs, turns, vocab_sql
 from .registry import query
 from .scores import F1_SQL, GRAMS, _sql_bleu, predictions
 from .windows import _SPLIT
@@ -203,10 +203,10 @@ SELECT 'tokens' AS stat, count(*)::BIGINT AS n FROM t UNION ALL SELECT 'unknown'
 UNION ALL SELECT 'unknown_words', count(DISTINCT token)::BIGINT FROM t ANTI JOIN v USING (token)
 UNION ALL SELECT 'id_sum', sum(coalesce(id, 3))::BIGINT FROM t LEFT JOIN v USING (token)""")
 def index_sink(spark, folder):
-    counts = doc_counts(spark, folder)
+    counts = staged(doc_counts(spark, folder), "counts")  # read for the vocabulary and for the unknown words
     vocab = V.assign_ids(counts, 14, 3000)
     unknown = counts.join(vocab.select("token"), "token", "left_anti")
-    path = O.write_index(V.index(doc_words(spark, folder), "doc_id", C("tokens"), vocab, 3), unknown, fresh_path(spark, "index"))
+    path = O.write_index(V.index(docs(spark, folder), "doc_id", K.words(C("text")), vocab, 3), unknown, fresh_path(spark, "index"))
     ids = spark.read.parquet(f"{path}/sentences").select(F.explode("ids").alias("id"))
     stats = ids.agg(F.count(F.lit(1)).alias("tokens"), F.count_if(C("id") == 3).alias("unknown"), F.sum("id").alias("id_sum"))
     words = spark.read.parquet(f"{path}/unknown").agg(F.count(F.lit(1)).alias("unknown_words"))

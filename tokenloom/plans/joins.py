@@ -8,7 +8,7 @@ from ..functions import tokens as K
 from ..operators import pairing, vocab as V
 from ..session import table
 from . import sql as S
-from .common import PAIRS_SQL, doc_counts, doc_words, docs, pairs, turns, vocab_sql
+from .common import PAIRS_SQL, doc_counts, docs, pairs, turns, vocab_sql
 from .registry import query
 
 C = F.col
@@ -60,7 +60,7 @@ SELECT d.doc_id, coalesce(i.ids, '') AS ids FROM documents d LEFT JOIN (
   SELECT doc_id, string_agg(coalesce(v.id, 0)::VARCHAR, ' ' ORDER BY pos) AS ids FROM t LEFT JOIN v USING (token) GROUP BY doc_id) i USING (doc_id)""")
 def vocabulary_lookup(spark, folder):
     vocab = V.assign_ids(doc_counts(spark, folder), 4, 5000)
-    ids = V.index(doc_words(spark, folder), "doc_id", C("tokens"), vocab, 0)
+    ids = V.index(docs(spark, folder), "doc_id", K.words(C("text")), vocab, 0)
     return ids.select("doc_id", F.array_join("ids", " ").alias("ids"))
 
 

@@ -8,7 +8,7 @@ from ..functions import arrays as A, tokens as K
 from ..operators import ranking, vocab as V
 from ..session import table
 from . import sql as S
-from .common import PAIRS_SQL, doc_counts, doc_words, pairs, turns, vocab_sql
+from .common import PAIRS_SQL, doc_counts, doc_words, docs, pairs, turns, vocab_sql
 from .registry import query
 
 C = F.col
@@ -101,7 +101,7 @@ FROM documents d LEFT JOIN f ON f.doc_id = d.doc_id AND (f.stop IS NULL OR f.pos
 def ids_to_text(spark, folder):
     # ids from 504 on point into the row's own vocabulary; id 10 plays the end mark
     vocab = V.assign_ids(doc_counts(spark, folder), 4, 500)
-    ids = V.index(doc_words(spark, folder), "doc_id", C("tokens"), vocab, -1)
+    ids = V.index(docs(spark, folder), "doc_id", K.words(C("text")), vocab, -1)
     extended = F.transform("ids", lambda i, p: F.when(i >= 0, i).otherwise(504 + (p + 1) % 3))
     rows = ids.select("doc_id", F.array_prepend(extended, F.lit(2)).alias("ids"),
                       F.array(F.lit("own0"), F.lit("own1"), F.lit("own2")).alias("own"))

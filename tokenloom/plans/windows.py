@@ -267,7 +267,7 @@ e AS (SELECT doc_id, unnest(w) AS token, generate_subscripts(w, 1) AS i FROM {_W
 
 def _indexed(spark, folder):
     vocab = V.assign_ids(doc_counts(spark, folder), 14, 5000)
-    return V.index(doc_words(spark, folder), "doc_id", C("tokens"), vocab, 3).where(F.size("ids") > 0)
+    return V.index(docs(spark, folder), "doc_id", K.words(C("text")), vocab, 3).where(F.size("ids") > 0)
 
 
 @query("w31_mask_for_prediction", f"""

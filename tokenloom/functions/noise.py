@@ -52,11 +52,11 @@ def mask_for_prediction(ids: Column, key: Column, seed: str, share: float, mask:
     to_mask, to_keep, _ = split
 
     def cell(x: Column, i: Column) -> Column:
-        chosen = (uniform(seed, key, i) <= share) & (i > 0) & (x != padding)
         fate = uniform(seed + "-fate", key, i)
         other = F.floor(uniform(seed + "-id", key, i) * vocab_size).cast("long")
         value = F.when(fate < to_mask, F.lit(mask).cast("long")).when(fate < to_mask + to_keep, x).otherwise(other)
-        return F.struct(F.when(chosen, value).otherwise(x).alias("input"), F.when(chosen, x).alias("target"))
+        return bind((i > 0) & (x != padding) & (uniform(seed, key, i) <= share), lambda chosen: F.struct(
+            F.when(chosen, value).otherwise(x).alias("input"), F.when(chosen, x).alias("target")))
 
     return F.transform(F.transform(ids, lambda x: x.cast("long")), cell)
 

@@ -317,3 +317,8 @@ def test_every_batch_of_arrivals_has_a_file_a_core(spark, monkeypatch):
     QUERIES["t02_running_statistics"](spark, FOLDER)
     cores = spark.sparkContext.defaultParallelism
     assert seen == [(4 * cores, cores)]
+
+
+@pytest.mark.parametrize("name", ["w30_noise_chain"])
+def test_rows_are_sorted_by_their_order_not_by_a_lambda(spark, name):
+    assert "array_sort(" not in QUERIES[name](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()

@@ -15,7 +15,7 @@ def shuffle_nearby(tokens: Column, key: Column, seed: str, span: float) -> Colum
         lambda t, i: F.struct(
             (i + F.when(i == 0, F.lit(-1.0)).otherwise(uniform(seed, key, i) * span)).alias("score"),
             i.alias("i"), t.alias("t")))
-    return F.transform(F.array_sort(scored), lambda s: s["t"])
+    return F.transform(F.sort_array(scored), lambda s: s["t"])
 
 
 def drop_tokens(tokens: Column, key: Column, seed: str, share: float) -> Column:
@@ -67,7 +67,7 @@ def choose_weighted(ids: Column, weights: Column, key: Column, seed: str, share:
     def pick(w: Column) -> Column:
         scored = F.transform(w, lambda x, i: F.struct((-F.log(1 - uniform(seed, key, i)) / x).alias("race"), i.alias("i")))
         count = F.ceil(F.size(w) * F.lit(share)).cast("int")
-        return F.array_sort(F.transform(F.slice(F.array_sort(scored), 1, count), lambda s: s["i"]))
+        return F.sort_array(F.transform(F.slice(F.sort_array(scored), 1, count), lambda s: s["i"]))
 
     return bind(weights, pick)
 

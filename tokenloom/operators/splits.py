@@ -149,7 +149,7 @@ def stream_batches(df: DataFrame, key: str, tokens: str, streams: int, steps: in
     served = F.floor(batches / subsample)
     heads = df.sparkSession.range(streams).select(
         F.lit(0).cast("long").alias("batch"), F.col("id").alias("stream"), F.lit(0).cast("long").alias("step"), F.array(F.lit(end)).alias("tokens"))
-    gathered = F.array_sort(F.collect_list(F.struct("step", "tokens")))
+    gathered = F.sort_array(F.collect_list(F.struct("step", "tokens")))
     cells = pieces.where(F.size("tokens") > 0).unionByName(heads)
     if subsample > 1:
         cells = cells.where(F.col("batch") < served)
@@ -180,7 +180,7 @@ def weighted_draws(weights: DataFrame, name: str, weight: str, draws: int, seed:
     share = F.col(weight) / weights.agg(F.sum(weight)).scalar()
     upto = F.sum(share).over(W.orderBy(name).rowsBetween(W.unboundedPreceding, 0))
     listed = weights.select(F.struct(upto.alias("upto"), F.col(name).alias("name")).alias("b"))
-    bounds = listed.agg(F.array_sort(F.collect_list("b")).alias("_bounds")).scalar()
+    bounds = listed.agg(F.sort_array(F.collect_list("b")).alias("_bounds")).scalar()
     drawn = weights.sparkSession.range(draws).select(F.col("id").alias("draw"), uniform(seed, F.col("id")).alias("_at"), bounds.alias("_bounds"))
     above = F.filter("_bounds", lambda b: b["upto"] > F.col("_at"))
     picked = F.coalesce(F.get(above, F.lit(0))["name"], F.element_at("_bounds", -1)["name"])  # rounding may leave the last bound below 1

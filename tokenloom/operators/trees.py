@@ -185,7 +185,7 @@ def nodes(stream: DataFrame) -> DataFrame:
 def children_lists(table: DataFrame) -> DataFrame:
     """(doc, node_id, children): child ids in order, for nodes that have any."""
     kids = table.where(F.col("parent").isNotNull()).groupBy("doc", F.col("parent").alias("parent_id")).agg(
-        F.array_sort(F.collect_list("node_id")).alias("children"))
+        F.sort_array(F.collect_list("node_id")).alias("children"))
     return kids.select("doc", F.col("parent_id").alias("node_id"), "children")
 
 
@@ -200,7 +200,7 @@ def split_value_nodes(table: DataFrame) -> DataFrame:
     moved = table.withColumn("new_id", F.col("node_id") + shift)
     kids = (
         moved.where(F.col("parent").isNotNull()).groupBy("doc", F.col("parent").alias("node_id"))
-        .agg(F.array_sort(F.collect_list("new_id")).alias("kids"))
+        .agg(F.sort_array(F.collect_list("new_id")).alias("kids"))
     )
     full = moved.join(kids, ["doc", "node_id"], "left").withColumn("kids", F.coalesce("kids", F.array().cast("array<bigint>")))
     own = F.when(has_value, F.array_prepend("kids", F.col("new_id") + 1)).otherwise(F.col("kids"))
@@ -215,7 +215,7 @@ def preorder_tokens(split: DataFrame, only_leaves: bool = False) -> DataFrame:
     """(doc, tokens): values, and ``<type>`` for the other nodes unless only leaves are wanted."""
     rows = split.where(F.col("value").isNotNull()) if only_leaves else split
     shown = F.coalesce("value", F.concat(F.lit("<"), "type", F.lit(">")))
-    return rows.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("node_id", shown.alias("t")))).alias("s")).select(
+    return rows.groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("node_id", shown.alias("t")))).alias("s")).select(
         "doc", F.col("s.t").alias("tokens"))
 
 
@@ -275,10 +275,10 @@ def leaves_labels_spans(merged: DataFrame) -> DataFrame:
     place = F.struct("level", "node_id")
 
     def ordered(condition, *values) -> Column:
-        return F.array_sort(F.collect_list(F.when(condition, F.struct(place, *values))))
+        return F.sort_array(F.collect_list(F.when(condition, F.struct(place, *values))))
 
     grouped = rows.groupBy("doc").agg(
-        F.array_sort(F.collect_list(F.when(~is_tag, F.struct("first_leaf", "value")))).alias("l"),
+        F.sort_array(F.collect_list(F.when(~is_tag, F.struct("first_leaf", "value")))).alias("l"),
         ordered(is_pos, F.col("label")).alias("p"),
         ordered(is_tag & ~is_pos, F.col("label"), F.array("first_leaf", "last_leaf").alias("span")).alias("n"))
     return grouped.select("doc", F.col("l.value").alias("leaves"), F.col("p.label").alias("pos_tags"),
@@ -303,7 +303,7 @@ def collapse_unary(merged: DataFrame, collapse_pos: bool, collapse_root: bool =
     starts = flagged.withColumn("_start", (~F.coalesce(F.lag("_single").over(inside), F.lit(False))).cast("int"))
     chains = starts.withColumn("_chain", F.sum("_start").over(inside.rowsBetween(W.unboundedPreceding, 0)))
     kept = chains.where(F.col("label").isNotNull()).groupBy("doc", "_chain")
-    listed = F.array_sort(F.collect_list(F.struct("node_id", "label")))
+    listed = F.sort_array(F.collect_list(F.struct("node_id", "label")))
     out = kept.agg(listed.alias("c")).withColumn("labels", F.col("c.label"))
     label = F.array_join("labels", join) if join is not None else F.element_at("labels", -1)
     return out.select("doc", F.get("c", F.lit(0))["node_id"].alias("node_id"), label.alias("label"), F.size("c").alias("size"))

@@ -173,7 +173,7 @@ SELECT doc_id, count(*)::BIGINT AS n_tokens, string_agg(piece, ' ' ORDER BY pos)
 FROM o WHERE NOT regexp_matches(piece, '^[\\p{{Z}}\\p{{C}}]') GROUP BY doc_id""")
 def words_with_offsets(spark, folder):
     spans = tokentables.words_with_offsets(documents(spark, folder), "doc_id", "text")
-    listed = F.array_sort(F.collect_list(F.struct("start", "stop", "token")))
+    listed = F.sort_array(F.collect_list(F.struct("start", "stop", "token")))
     return (
         spans.groupBy("doc_id").agg(listed.alias("s"))
         .select("doc_id", F.size("s").cast("long").alias("n_tokens"),

@@ -78,7 +78,7 @@ def balanced_regions(spark, folder):
     t = R.pieces(table(spark, folder, "pages"), "page_id", "html").withColumnRenamed("piece", "token")
     opening = C("token").startswith("<div") | (C("token") == "<ul>")
     cells = R.balanced_regions(t, opening, C("token").isin("</div>", "</ul>"), C("token").isin("<nav>", "</nav>", "<article>"))
-    listed = F.array_sort(F.collect_list(F.struct("pos", "token")))
+    listed = F.sort_array(F.collect_list(F.struct("pos", "token")))
     return cells.groupBy("doc", "region").agg(listed.alias("s"), F.bool_or(C("token").startswith("<div class")).alias("standalone")).select(
         C("doc").alias("page_id"), as_long("region"), F.size("s").cast("long").alias("n_tokens"),
         F.array_join("s.token", " ").alias("body"), "standalone")
@@ -180,7 +180,7 @@ GROUP BY a.doc""")
 def merge_order(spark, folder):
     steps = R.merge_order(staged(merged(spark, folder), "tree-nodes"))
     triple = F.struct("step", F.concat_ws(",", "left", "right", "parent").alias("t"))
-    return steps.groupBy("doc").agg(F.array_sort(F.collect_list(triple)).alias("s")).select(
+    return steps.groupBy("doc").agg(F.sort_array(F.collect_list(triple)).alias("s")).select(
         "doc", F.array_join("s.t", ",").alias("encoding"))
 
 

@@ -322,3 +322,8 @@ def test_every_batch_of_arrivals_has_a_file_a_core(spark, monkeypatch):
 @pytest.mark.parametrize("name", ["w30_noise_chain", "x12_words_with_offsets", "w31_mask_for_prediction"])
 def test_rows_are_sorted_by_their_order_not_by_a_lambda(spark, name):
     assert "array_sort(" not in QUERIES[name](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_scores_of_sequences_shuffle_texts_for_counts(spark):
+    shown = re.sub(r"#\d+L?", "", plan(QUERIES["a27_sequence_score"](spark, FOLDER)))
+    assert "hashpartitioning(doc_id, token" not in shown

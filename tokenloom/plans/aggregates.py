@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from ..functions import hashing as H, tokens as K
 from ..operators import stats, vocab as V
-from ..session import table
+from ..operators.tokentables import one_row_each
+from ..session import placed_by, table
 from . import sql as S
-from .common import DOC_COUNTS_SQL, DOC_TOKENS_SQL, as_long, doc_counts, doc_words, docs, vocab_sql
+from .common import DOC_COUNTS_SQL, DOC_TOKENS_SQL, as_long, doc_counts, docs, vocab_sql
 from .registry import query
 
 C = F.col
@@ -99,7 +100,7 @@ SELECT doc_id, string_agg(CASE WHEN v.id IS NULL OR v.id >= 400 THEN 3 ELSE v.id
 FROM t LEFT JOIN v USING (token) GROUP BY doc_id""")
 def remapped_ids(spark, folder):
     vocab = V.assign_ids(doc_counts(spark, folder), 14, 1000)
-    ids = V.index(doc_words(spark, folder), "doc_id", C("tokens"), vocab, 3)
+    ids = V.index(docs(spark, folder), "doc_id", K.words(C("text")), vocab, 3)
     pruned = F.transform("ids", lambda i: F.when(i >= 400, F.lit(3)).otherwise(i))
     return ids.where(F.size("ids") > 0).select("doc_id", F.array_join(pruned, " ").alias("ids"))
 
@@ -251,8 +252,8 @@ def perplexity(spark, folder):
 WITH t AS {DOC_TOKENS_SQL}, g AS {DOC_COUNTS_SQL}, s AS (SELECT sum(n)::DOUBLE AS size FROM g)
 SELECT doc_id, round(avg(ln(n / size)), 5) AS score FROM t JOIN g USING (token), s GROUP BY doc_id""")
 def sequence_score(spark, folder):
-    per_doc = (docs(spark, folder).select("doc_id", F.explode(K.words(C("text"))).alias("token"))
-               .groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("k")))
+    texts = placed_by(docs(spark, folder).select("doc_id", "text"), "doc_id").select("doc_id", K.words(C("text")).alias("tokens"))
+    per_doc = one_row_each(texts, ["doc_id"], "tokens", "token").groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("k"))
     g = per_doc.groupBy("token").agg(F.sum("k").alias("n"))
     scored = V.skewed_lookup(per_doc, g, "token", "n")
     logp = F.log(C("n") / g.agg(F.sum("n").cast("double")).scalar())

@@ -7,6 +7,7 @@ import random
 import re
 import tracemalloc
 from collections import Counter, defaultdict
+from urllib.parse import unquote
 
 import pytest
 from pyspark.sql import functions as F
@@ -306,6 +307,20 @@ def test_index_shuffles_texts_not_tokens(spark):
     assert shuffles and all("REPARTITION_BY_NUM" in line for line in shuffles)
 
 
+def test_more_bytes_make_more_partitions(spark, tmp_path, monkeypatch):
+    rows = spark.range(5000).select("id", F.md5(C("id").cast("string")).alias("text"))
+    rows.repartition(3).write.parquet(f"{tmp_path}/a table")
+    given = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    read = spark.read.parquet(f"{tmp_path}/a table")
+    assert placed_by(read, "id").rdd.getNumPartitions() == given == placed_by(rows, "id").rdd.getNumPartitions()
+    size = sum(os.path.getsize(unquote(f.removeprefix("file://"))) for f in read.inputFiles())
+    monkeypatch.setattr(session, "PLACED_BYTES", size // 10)
+    placed = placed_by(read, "id")
+    assert 10 <= placed.rdd.getNumPartitions() <= 12 and placed.count() == 5000
+    one_file = spark.read.parquet(unquote(read.inputFiles()[0]))
+    assert given <= placed_by(one_file, "id").rdd.getNumPartitions() <= 5
+
+
 def test_every_batch_of_arrivals_has_a_file_a_core(spark, monkeypatch):
     seen, plain = [], J.file_stream
 

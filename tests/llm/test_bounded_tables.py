@@ -38,3 +38,14 @@ def test_word_and_piece_tables(monkeypatch):
     model = pieces.Pieces(public_tokenizers.path("piece_bpe_32k.model"))
     text = " ".join(["z" * 500, *(f"run{i}" for i in range(2_000))])
     assert model.decode(model.encode(text)) == text and len(model.runs) <= 520 and max(map(len, model.runs)) <= words.LONG_WORD
+
+
+def test_a_run_that_repeats_is_cut_once(monkeypatch):
+    encoder, asked = tokenbin.Encoder(public_tokenizers.path("word_bpe_49k.json")), []
+    cut = tokenbin.Encoder._parts
+    monkeypatch.setattr(encoder, "_parts", lambda run: asked.append(run) or cut(run))
+    once = encoder.encode([b"Two words, two words"], b"")[0]
+    asked.clear()
+    encoder.runs.clear()
+    assert encoder.encode([b"Two words, two words", b"Two words, two words"], b"") == [once, once]
+    assert sorted(asked) == [b"Two", b"two", b"words", b"words,"]

@@ -23,6 +23,8 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
+from itertools import chain
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +49,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.dtype = id_type(path)
+        self.kind = np.dtype(id_type(path)).char
         self.runs: dict[bytes, bytes] = {}  # white-space runs -> ids
         self.pieces: dict[str, bytes] = {"": b""}  # what the tokenizer was asked -> ids
         self.size = 0  # bytes of both tables, about
@@ -74,24 +76,21 @@ class Encoder:
         split = [text.split() for text in texts]
         if self.size > TABLE_BYTES:
             self.runs, self.pieces, self.size = {}, {"": b""}, 0
-        cut = {run: self._parts(run) for runs in split for run in runs if run not in self.runs}
-        new = list({part for parts in cut.values() for part in parts if part not in self.pieces})
+        runs, pieces = self.runs, self.pieces
+        unseen = list(set(chain.from_iterable(split)).difference(runs))
+        cut = list(map(self._parts, unseen))
+        new = list(set(chain.from_iterable(cut)).difference(pieces))
         for part, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.pieces[part] = np.array(found.ids, self.dtype).tobytes()
-        for run, (first, second) in cut.items():
-            self.runs[run] = self.pieces[first] + self.pieces[second]
-        look = self.runs.__getitem__
-        encoded = [b"".join(map(look, runs)) + end for runs in split]
-        for part in new:
-            if len(part) > LONG_WORD:
-                del self.pieces[part]
-            else:
-                self.size += len(part) + len(self.pieces[part]) + ENTRY_BYTES
-        for run in cut:
-            if len(run) > LONG_WORD:
-                del self.runs[run]
-            else:
-                self.size += len(run) + len(self.runs[run]) + ENTRY_BYTES
+            ids = found.ids
+            pieces[part] = pack(f"<{len(ids)}{self.kind}", *ids)
+        runs.update(zip(unseen, [pieces[first] + pieces[second] for first, second in cut]))
+        look = runs.__getitem__
+        encoded = [b"".join(map(look, own)) + end for own in split]
+        for table, added in ((pieces, new), (runs, unseen)):
+            for long in [entry for entry in added if len(entry) > LONG_WORD]:
+                del table[long]
+            kept = [entry for entry in added if len(entry) <= LONG_WORD]
+            self.size += sum(map(len, kept)) + sum(map(len, map(table.__getitem__, kept))) + ENTRY_BYTES * len(kept)
         return encoded
 
 

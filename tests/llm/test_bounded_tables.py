@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import public_tokenizers
 
 from tokenloom.llm import pieces, tokenbin, words
@@ -49,3 +50,31 @@ def test_a_run_that_repeats_is_cut_once(monkeypatch):
     encoder.runs.clear()
     assert encoder.encode([b"Two words, two words", b"Two words, two words"], b"") == [once, once]
     assert sorted(asked) == [b"Two", b"two", b"words", b"words,"]
+
+
+def test_new_pieces_are_asked_for_together_and_older_ones_kept(monkeypatch):
+    encoder = tokenbin.Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    odd = ["don't", "a<|endoftext|>b", "<|STARTOFTEXT|>", "\u0130x", "J\u030c", "\xc9t\xe9,", "'s", "12a3", "\uac00", "\u2168", "\ufb01N", "word)]", "\u65e5\u672c", "\0A", "A\u0345"]
+    texts = [*odd, " ".join(odd), " ".join(f"{a}{b}" for a in odd for b in odd), ""]
+    want = [np.array(encoder.tokenizer.encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in texts]
+
+    class Asked:
+        def __init__(self, inner):
+            self.inner, self.calls = inner, 0
+
+        def __getattr__(self, name):
+            self.calls += name.startswith("encode")
+            return getattr(self.inner, name)
+
+        def encode_batch_fast(self, pieces, **options):
+            assert len(pieces) == 1
+            self.calls += 1
+            return self.inner.encode_batch_fast(pieces, **options)
+
+    asked = encoder.tokenizer = Asked(encoder.tokenizer)
+    assert encoder.encode([t.encode() for t in texts], b"") == want
+    monkeypatch.setattr(tokenbin, "TABLE_BYTES", 1)  # the tables are full before the next call
+    asked.calls = 0
+    assert encoder.encode([t.encode() for t in texts], b"") == want and asked.calls == 0
+    assert encoder.encode([b"other"], b"") and encoder.encode([b"again"], b"")
+    assert encoder.encode([t.encode() for t in texts], b"") == want and asked.calls > 0

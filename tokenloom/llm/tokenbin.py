@@ -9,8 +9,10 @@ one number a part. Files are read back memory-mapped.
 Texts are cut at ASCII white space, and each distinct run is encoded once per
 worker process: the tokenizer drops white space and never joins across it. It
 also lower-cases, and it cuts between letters and the punctuation after them, so
-a run of letters with closing punctuation is looked up by its letters. The
-tables are emptied when they are full, so memory does not grow with the corpus.
+a run of letters with closing punctuation is looked up by its letters. Pieces
+that are new are asked for together, as one text or one list of words. When the
+tables are half full they become the older ones, which give back what is seen
+again and are dropped at the next turn, so memory does not grow with the corpus.
 
 Defined results: null and empty texts hold the end id only. A null key sorts
 first; each part knows how many of its keys are null. Rows that repeat a key
@@ -21,10 +23,10 @@ ignored; an empty table gives no part.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from itertools import chain
-from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +37,9 @@ from ..session import release, staged
 from .files import array, attempt_name, new_folder, output, rows_each
 from .words import ENTRY_BYTES, LONG_WORD, slices
 
-TABLE_BYTES = 300_000_000  # of both tables together
-CLOSING = ".,!?;:"
+TABLE_BYTES = 300_000_000  # of all tables together
+ASKED = 2000  # pieces asked for at once
+CLOSING = ".,!?;:\"#$%&()*+-/=@[\\]^_`{}~"  # ASCII punctuation but the apostrophe and what special tokens are marked with
 
 
 class Encoder:
@@ -50,9 +53,12 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype(id_type(path)).char
+        self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        self.ends = self._word_ends()
         self.runs: dict[bytes, bytes] = {}  # white-space runs -> ids
         self.pieces: dict[str, bytes] = {"": b""}  # what the tokenizer was asked -> ids
         self.size = 0  # bytes of both tables, about
+        self.older: tuple[dict[bytes, bytes], dict[str, bytes]] = ({}, {})
 
     @classmethod
     def of(cls, path: str) -> "Encoder":
@@ -72,25 +78,64 @@ class Encoder:
             return (letters.encode().lower().decode(), text[len(letters):])
         return text, ""
 
+    def _word_ends(self) -> np.ndarray | None:
+        """Whether an id ends a word; None if the tokenizer does not mark that in every word."""
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        known = self.tokenizer.get_vocab(with_added_tokens=True)
+        if not suffix or any(letter + suffix not in known for letter in ByteLevel.alphabet()) \
+                or any(re.sub(r"\s", "", token).isalpha() for token in self.added):
+            return None
+        ends = np.zeros(max(known.values()) + 1, bool)
+        ends[[number for token, number in known.items() if token.endswith(suffix) and token not in self.added]] = True
+        return ends
+
+    def _asked(self, pieces: list[str], letters: bool) -> list[bytes]:
+        """The ids of each of some pieces without white space, all of letters only or not."""
+        numbers = None
+        if letters and self.ends is not None:  # a piece is at least one word, so it is one if there are as many words
+            numbers = np.array(self.tokenizer.encode_batch_fast([" ".join(pieces)], add_special_tokens=False)[0].ids, np.int64)
+            bounds = np.flatnonzero(self.ends[numbers]) + 1
+            numbers = numbers if len(bounds) == len(pieces) else None
+        if numbers is None:
+            found = self.tokenizer.encode(pieces, is_pretokenized=True, add_special_tokens=False)
+            numbers = np.array(found.ids, np.int64)
+            bounds = np.cumsum(np.bincount(np.array(found.word_ids, np.int64), minlength=len(pieces)))
+        content, width = numbers.astype(f"<{self.kind}").tobytes(), np.dtype(self.kind).itemsize
+        bounds = [0, *(bounds * width).tolist()]
+        return [content[a:b] for a, b in zip(bounds, bounds[1:])]
+
+    def _fill(self, table: dict, added: list, values: list[bytes]) -> None:
+        table.update(zip(added, values))
+        self.size += sum(map(len, added)) + sum(map(len, values)) + ENTRY_BYTES * len(added)
+
+    def _recall(self, table: dict, older: dict, wanted: set) -> list:
+        """Fills a table from its older one; gives what neither has."""
+        again = [entry for entry in wanted if entry in older] if older else []
+        self._fill(table, again, list(map(older.__getitem__, again)))
+        return list(wanted.difference(again))
+
     def encode(self, texts: list[bytes], end: bytes) -> list[bytes]:
         split = [text.split() for text in texts]
-        if self.size > TABLE_BYTES:
+        if self.size > TABLE_BYTES // 2:
+            self.older = self.runs, self.pieces
             self.runs, self.pieces, self.size = {}, {"": b""}, 0
         runs, pieces = self.runs, self.pieces
-        unseen = list(set(chain.from_iterable(split)).difference(runs))
+        unseen = self._recall(runs, self.older[0], set(chain.from_iterable(split)).difference(runs))
         cut = list(map(self._parts, unseen))
-        new = list(set(chain.from_iterable(cut)).difference(pieces))
-        for part, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            ids = found.ids
-            pieces[part] = pack(f"<{len(ids)}{self.kind}", *ids)
-        runs.update(zip(unseen, [pieces[first] + pieces[second] for first, second in cut]))
+        new = self._recall(pieces, self.older[1], set(chain.from_iterable(cut)).difference(pieces))
+        for letters in (True, False):
+            own = [piece for piece in new if piece.isalpha() == letters]
+            for low in range(0, len(own), ASKED):
+                some = own[low:low + ASKED]
+                self._fill(pieces, some, self._asked(some, letters))
+        self._fill(runs, unseen, [pieces[first] + pieces[second] for first, second in cut])
         look = runs.__getitem__
         encoded = [b"".join(map(look, own)) + end for own in split]
         for table, added in ((pieces, new), (runs, unseen)):
             for long in [entry for entry in added if len(entry) > LONG_WORD]:
-                del table[long]
-            kept = [entry for entry in added if len(entry) <= LONG_WORD]
-            self.size += sum(map(len, kept)) + sum(map(len, map(table.__getitem__, kept))) + ENTRY_BYTES * len(kept)
+                self.size -= len(long) + len(table.pop(long)) + ENTRY_BYTES
         return encoded
 
 

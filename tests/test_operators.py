@@ -447,6 +447,23 @@ def test_ngram_counting_shuffles_texts_once(spark):
     assert plan.count("hashpartitioning") == 1
 
 
+def test_ngrams_of_an_id_are_counted_where_its_texts_lie(spark):
+    """One shuffle of texts; no n-gram is a row of an aggregation or a join, and rows of one id count together."""
+    rows = [(1, "a b a b", ["a b a", "b b a b c"]), (1, "a a", ["a a a", None]), (2, None, ["x"]), (3, "x y", None),
+            (3, "x y", ["x y y"]), (None, "a b", ["a b"]), (None, "a c", ["a b"]), (6, "a  b c d", ["a b c d", "d c"]), (7, "", [""])]
+    df = spark.createDataFrame(rows, "id long, hyp string, refs array<string>").repartition(3)
+    found = scoring.overlap_statistics(df)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning") == 1 and "Aggregate" not in plan and "Join" not in plan
+    got = sorted(map(str, map(tuple, found.select("id", "hyp_len", "shortest", "closest", "average", *[f"match{n}" for n in scoring.ORDERS]).collect())))
+    assert got == sorted(map(str, [
+        (1, 4, 3, 3, 4.0, 6, 3, 2, 0), (1, 2, 3, None, None, 6, 3, 2, 0), (2, None, 1, 1, 1.0, 0, 0, 0, 0),
+        (3, 2, None, None, None, 2, 1, 0, 0), (3, 2, 3, 3, 3.0, 2, 1, 0, 0), (None, 2, 2, 2, 2.0, 0, 0, 0, 0),
+        (None, 2, 2, 2, 2.0, 0, 0, 0, 0), (6, 4, 2, 4, 3.0, 4, 3, 2, 1), (7, 0, 0, 0, 0.0, 0, 0, 0, 0)]))
+    counts = {tuple(r) for r in scoring.ngram_counts(df).where("id = 3").collect()}
+    assert counts == {(3, 1, "x", 1, 1), (3, 1, "y", 1, 2), (3, 2, "x y", 1, 1), (3, 2, "y y", 0, 1), (3, 3, "x y y", 0, 1)}
+
+
 def test_perfect_prediction(spark):
     text = "the cat sat on the mat"
     df = spark.createDataFrame([(1, text, [text, "other words"])], "id long, hyp string, refs array<string>")

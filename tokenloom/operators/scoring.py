@@ -1,18 +1,23 @@
 """Overlap scores of predictions against references.
 
 A prediction table has one row per id: ``id``, ``hyp`` (text) and ``refs``
-(array of texts). Texts are shuffled by id once; n-grams are made after that,
-so the counting below needs no further exchange and a group is one prediction.
+(array of texts). Texts are shuffled by id once and sorted by it; n-grams are
+made and counted after that, one id at a time, so memory is in proportion to the
+texts of one id. Rows that repeat an id are counted together.
 All scores are sums of per-id statistics, which merge in any order.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
+from itertools import chain, groupby, islice
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import LongType
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from ..functions import text as T, tokens as K
 from ..session import placed_by
@@ -20,46 +25,93 @@ from ..session import placed_by
 ORDERS = (1, 2, 3, 4)
 
 
-def _segments(predictions: DataFrame) -> DataFrame:
-    """(id, seg, tokens): segment 0 is the prediction, 1.. the references."""
-    refs = F.transform("refs", lambda r, i: F.struct((i + 1).alias("seg"), K.words(r).alias("tokens")))
-    hyp = F.array(F.struct(F.lit(0).alias("seg"), K.words(F.col("hyp")).alias("tokens")))
-    return (
-        placed_by(predictions.select("id", "hyp", "refs"), "id")
-        .select("id", F.explode(F.concat(hyp, refs)).alias("s")).select("id", "s.seg", "s.tokens")
-    )
+ROWS_AT_ONCE = 200  # rows whose texts are Python strings at a time
+ROWS_OUT = 20_000  # rows handed back at a time
+
+
+def _texts_by_id(predictions: DataFrame) -> DataFrame:
+    """(id, hyp_len, lens, hyp, refs) in order of id in each partition, the tokens of a text joined by one space."""
+    rows = placed_by(predictions.select("id", "hyp", "refs"), "id").sortWithinPartitions("id")
+    tokens = rows.select("id", K.words(F.col("hyp")).alias("h"), F.transform("refs", K.words).alias("r"))
+    return tokens.select(
+        "id", F.size("h").cast("long").alias("hyp_len"), F.transform("r", F.size).alias("lens"),
+        F.array_join("h", " ").alias("hyp"), F.transform("r", lambda t: F.array_join(t, " ")).alias("refs"))
+
+
+def _add_grams(counts: list[Counter], text: str | None, orders) -> None:
+    tokens = text.split(" ") if text else []
+    for counter, n in zip(counts, orders):
+        counter.update(zip(*[tokens[i:] for i in range(n)]))
+
+
+def _counted(batches: Iterator[pa.RecordBatch], orders) -> Iterator[tuple]:
+    """For each id: its rows' lengths, and by order the n-gram counts of the prediction and of each reference."""
+    rows = (row for batch in batches for low in range(0, batch.num_rows, ROWS_AT_ONCE)
+            for row in zip(*(column.to_pylist() for column in batch.slice(low, ROWS_AT_ONCE).columns)))
+    for key, group in groupby(rows, key=lambda row: row[0]):
+        sizes, hyp, refs = [], [Counter() for _ in orders], []
+        for _, hyp_len, lens, text, others in group:
+            sizes.append((hyp_len, lens))
+            if others is None:
+                continue
+            _add_grams(hyp, text, orders)
+            for place, other in enumerate(others):
+                if place == len(refs):
+                    refs.append([Counter() for _ in orders])
+                _add_grams(refs[place], other, orders)
+        yield key, sizes, hyp, list(zip(*refs)) or [()] * len(hyp)
+
+
+def _batches(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    while block := list(islice(rows, ROWS_OUT)):
+        yield pa.RecordBatch.from_arrays([pa.array(column, field.type) for column, field in zip(zip(*block), schema)], schema=schema)
+
+
+def _most(gram: tuple, refs: tuple[Counter, ...]) -> int:
+    return max((ref[gram] for ref in refs), default=0)
 
 
 def ngram_counts(predictions: DataFrame, orders=ORDERS) -> DataFrame:
     """(id, order, gram, hyp_n, ref_n) with ref_n the largest count in any one reference."""
-    def grams_of(n: int) -> Column:
-        return F.transform(K.ngrams_of(F.col("tokens"), n), lambda g: F.struct(F.lit(n).alias("order"), g.alias("gram")))
+    schema = StructType([
+        predictions.schema["id"], StructField("order", IntegerType()), StructField("gram", StringType()),
+        StructField("hyp_n", LongType()), StructField("ref_n", LongType())])
+    arrow = to_arrow_schema(schema)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _batches((
+            (key, n, " ".join(gram), own[gram], _most(gram, others))
+            for key, _, hyp, refs in _counted(batches, orders) for n, own, others in zip(orders, hyp, refs)
+            for gram in dict.fromkeys(chain(own, *others))), arrow)
 
-    grams = F.flatten(F.array(*[grams_of(n) for n in orders]))
-    counted = (
-        _segments(predictions).select("id", "seg", F.explode(grams).alias("g"))
-        .groupBy("id", F.col("g.order").alias("order"), F.col("g.gram").alias("gram"), "seg")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    by_side = counted.groupBy("id", "order", "gram").agg(
-        F.max(F.when(F.col("seg") == 0, F.col("n"))).alias("hyp_n"),
-        F.max(F.when(F.col("seg") > 0, F.col("n"))).alias("ref_n"))
-    return by_side.na.fill(0, ["hyp_n", "ref_n"])
+    return _texts_by_id(predictions).mapInArrow(count, schema)
 
 
 def overlap_statistics(predictions: DataFrame, orders=ORDERS) -> DataFrame:
     """Per id: clipped matches and possible n-grams by order, and the length figures."""
-    matches = ngram_counts(predictions, orders).groupBy("id").agg(*[
-        F.sum(F.when(F.col("order") == n, F.least("hyp_n", "ref_n")).otherwise(0)).alias(f"match{n}") for n in orders])
-    lengths = F.transform("refs", lambda r: F.size(K.words(r)))
-    sized = predictions.select("id", F.size(K.words(F.col("hyp"))).cast("long").alias("hyp_len"), lengths.alias("lens"))
+    names = [f"match{n}" for n in orders]
+    schema = StructType([
+        predictions.schema["id"], StructField("hyp_len", LongType()), StructField("lens", ArrayType(IntegerType())),
+        *[StructField(name, LongType()) for name in names]])
+    arrow = to_arrow_schema(schema)
+
+    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[tuple]:
+            for key, sizes, hyp, refs in _counted(batches, orders):
+                found = [0 if key is None else sum(min(k, _most(gram, others)) for gram, k in own.items())
+                         for own, others in zip(hyp, refs)]
+                for size in sizes:
+                    yield key, *size, *found
+
+        yield from _batches(rows(), arrow)
+
+    sized = _texts_by_id(predictions).mapInArrow(match, schema)
     closest = F.array_min(F.transform("lens", lambda n: F.struct(F.abs(n - F.col("hyp_len")).alias("d"), n.alias("n"))))["n"]
     total = F.aggregate("lens", F.lit(0.0), lambda a, n: a + n)
-    sized = sized.select(
+    return sized.select(
         "id", "hyp_len", F.array_min("lens").cast("long").alias("shortest"), closest.cast("long").alias("closest"),
         (total / F.size("lens")).alias("average"),
-        *[F.greatest(F.col("hyp_len") - (n - 1), F.lit(0)).alias(f"possible{n}") for n in orders])
-    return sized.join(matches, "id", "left").na.fill(0, [f"match{n}" for n in orders])
+        *[F.greatest(F.col("hyp_len") - (n - 1), F.lit(0)).alias(f"possible{n}") for n in orders], *names)
 
 
 def sum_statistics(statistics: DataFrame, orders=ORDERS) -> DataFrame:

@@ -67,8 +67,13 @@ def _batches(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatc
         yield pa.RecordBatch.from_arrays([pa.array(column, field.type) for column, field in zip(zip(*block), schema)], schema=schema)
 
 
-def _most(gram: tuple, refs: tuple[Counter, ...]) -> int:
-    return max((ref[gram] for ref in refs), default=0)
+def _clipped(own: Counter, refs: tuple[Counter, ...]) -> int:
+    """N-grams that occur in a reference, each counted at most as often as in any one of them."""
+    most: dict[tuple, int] = {}
+    for ref in refs:
+        for gram in own.keys() & ref.keys():
+            most[gram] = max(most.get(gram, 0), ref[gram])
+    return sum(min(own[gram], n) for gram, n in most.items())
 
 
 def ngram_counts(predictions: DataFrame, orders=ORDERS) -> DataFrame:
@@ -80,7 +85,7 @@ def ngram_counts(predictions: DataFrame, orders=ORDERS) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _batches((
-            (key, n, " ".join(gram), own[gram], _most(gram, others))
+            (key, n, " ".join(gram), own.get(gram, 0), max((ref.get(gram, 0) for ref in others), default=0))
             for key, _, hyp, refs in _counted(batches, orders) for n, own, others in zip(orders, hyp, refs)
             for gram in dict.fromkeys(chain(own, *others))), arrow)
 
@@ -98,8 +103,7 @@ def overlap_statistics(predictions: DataFrame, orders=ORDERS) -> DataFrame:
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
             for key, sizes, hyp, refs in _counted(batches, orders):
-                found = [0 if key is None else sum(min(k, _most(gram, others)) for gram, k in own.items())
-                         for own, others in zip(hyp, refs)]
+                found = [0 if key is None else _clipped(own, others) for own, others in zip(hyp, refs)]
                 for size in sizes:
                     yield key, *size, *found
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import public_tokenizers
+from tokenizers.normalizers import NFC, Lowercase, Replace, Sequence
 
 from tokenloom.llm import pieces, tokenbin, words
 
@@ -78,3 +79,45 @@ def test_new_pieces_are_asked_for_together_and_older_ones_kept(monkeypatch):
     assert encoder.encode([t.encode() for t in texts], b"") == want and asked.calls == 0
     assert encoder.encode([b"other"], b"") and encoder.encode([b"again"], b"")
     assert encoder.encode([t.encode() for t in texts], b"") == want and asked.calls > 0
+
+
+def test_a_run_is_looked_up_once_a_slice():
+    encoder, asked = tokenbin.Encoder(public_tokenizers.path("word_bpe_49k.json")), []
+
+    class Counted(dict):
+        def get(self, run, *other):
+            asked.append(run)
+            return super().get(run, *other)
+
+        def __getitem__(self, run):
+            asked.append(run)
+            return super().__getitem__(run)
+
+    texts = [b" One  two, " * 500, b"", b"two, one\x0bOne\x1cx " * 500, b" "]
+    want = [np.array(encoder.tokenizer.encode(t.decode(), add_special_tokens=False).ids, "<u2").tobytes() + b"." for t in texts]
+    encoder.runs = Counted()
+    assert encoder.encode(texts, b".") == want and encoder.encode(texts, b".") == want and encoder.encode([], b".") == []
+    assert sorted(set(asked)) == [b"", b"One", b"One\x1cx", b"one", b"two,"] and len(asked) <= 4 * len(set(asked))
+
+
+def test_latin_words_are_asked_for_without_steps(tmp_path):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    letters = [c for c in map(chr, range(256)) if c.isalpha()]
+    latin = [w for c in letters for w in (c, f"a{c}", f"{c}S", f"x{c}{c.lower()}y.")] + ["don", "STRASSE,", "L\xc0", "endoftext"]
+    other = ["İx", "ŉ", "ǅ", "ẞ", "Åa", "ΣΣ", "à", "ﬁ", "'s", "\xd7a", "a\xa0b", "x\xb2"]
+    encoder = tokenbin.Encoder(path)
+    full = encoder.tokenizer
+
+    def want(texts):
+        return [np.array(full.encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in texts]
+
+    encoder.encode([b". ,"], b"")
+    encoder.tokenizer = None  # Latin-1 words do without it
+    assert encoder.encode([t.encode() for t in latin], b"") == want(latin)
+    encoder.tokenizer = full
+    mixed = [" ".join(latin + other), *other]
+    assert encoder.encode([t.encode() for t in mixed], b"") == want(mixed)
+    full.normalizer = Sequence([NFC(), Replace("de", "\xfc"), Lowercase()])  # steps that change some words
+    full.save(str(tmp_path / "other.json"))
+    assert tokenbin.Encoder(str(tmp_path / "other.json")).bare is None
+    assert tokenbin.Encoder(str(tmp_path / "other.json")).encode([b"den Modem, de"], b"") == want(["den Modem, de"])

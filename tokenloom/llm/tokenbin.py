@@ -7,10 +7,13 @@ begins in the whole sequence of ids is the prefix sum of the parts before it,
 one number a part. Files are read back memory-mapped.
 
 Texts are cut at ASCII white space, and each distinct run is encoded once per
-worker process: the tokenizer drops white space and never joins across it. It
-also lower-cases, and it cuts between letters and the punctuation after them, so
-a run of letters with closing punctuation is looked up by its letters. Pieces
-that are new are asked for together, as one text or one list of words. When the
+worker process: the tokenizer drops white space and never joins across it. Arrow
+cuts a slice of texts, numbers its distinct runs and lines up their ids, so only
+the distinct runs of a slice are looked up one by one. The tokenizer also
+lower-cases, and it cuts between letters and the punctuation after them, so a
+run of letters with closing punctuation is looked up by its letters. Pieces that
+are new are asked for together, as one text or one list of words, and words of
+Latin-1 letters without the steps that leave such words as they are. When the
 tables are half full they become the older ones, which give back what is seen
 again and are dropped at the next turn, so memory does not grow with the corpus.
 
@@ -22,6 +25,7 @@ ignored; an empty table gives no part.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -30,6 +34,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window as W, functions as F
 
@@ -38,8 +43,16 @@ from .files import array, attempt_name, new_folder, output, rows_each
 from .words import ENTRY_BYTES, LONG_WORD, slices
 
 TABLE_BYTES = 300_000_000  # of all tables together
+SLICE_BYTES = 3_000_000  # texts are encoded in slices of about this size
 ASKED = 2000  # pieces asked for at once
-CLOSING = ".,!?;:\"#$%&()*+-/=@[\\]^_`{}~"  # ASCII punctuation but the apostrophe and what special tokens are marked with
+CLOSING = b".,!?;:\"#$%&()*+-/=@[\\]^_`{}~"  # ASCII punctuation but the apostrophe and what special tokens are marked with
+# steps that lower-case a word of Latin-1 letters, leave it whole and write its bytes as symbols
+STEPS = {
+    "normalizer": {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}}
 
 
 class Encoder:
@@ -55,6 +68,7 @@ class Encoder:
         self.kind = np.dtype(id_type(path)).char
         self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.ends = self._word_ends()
+        self.bare = self._without_steps()
         self.runs: dict[bytes, bytes] = {}  # white-space runs -> ids
         self.pieces: dict[str, bytes] = {"": b""}  # what the tokenizer was asked -> ids
         self.size = 0  # bytes of both tables, about
@@ -70,13 +84,11 @@ class Encoder:
     @staticmethod
     def _parts(run: bytes) -> tuple[str, str]:
         """A run as two texts whose ids follow one another."""
-        if run.isalpha():  # of bytes: A-Z and a-z only
-            return run.lower().decode(), ""
-        text = run.decode()
-        letters = text.rstrip(CLOSING)
-        if letters.isalpha():  # no apostrophes, marks or special tokens, so the cut and the case do not matter
-            return (letters.encode().lower().decode(), text[len(letters):])
-        return text, ""
+        letters = run.rstrip(CLOSING)
+        text = letters.lower().decode()  # of bytes: A-Z only
+        if text.isalpha():  # no apostrophes, marks or special tokens, so the cut and the case do not matter
+            return text, run[len(letters):].decode()
+        return run.decode(), ""
 
     def _word_ends(self) -> np.ndarray | None:
         """Whether an id ends a word; None if the tokenizer does not mark that in every word."""
@@ -91,11 +103,33 @@ class Encoder:
         ends[[number for token, number in known.items() if token.endswith(suffix) and token not in self.added]] = True
         return ends
 
-    def _asked(self, pieces: list[str], letters: bool) -> list[bytes]:
-        """The ids of each of some pieces without white space, all of letters only or not."""
+    def _without_steps(self):
+        """The tokenizer for lower-case words of Latin-1 letters, which need no cutting; None if its steps are not known to leave them whole."""
+        from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
+
+        steps = {name: getattr(self.tokenizer, name) for name in STEPS}
+        if self.ends is None or any(step is None or json.loads(step.__getstate__()) != STEPS[name] for name, step in steps.items()):
+            return None
+        bare = Tokenizer(self.tokenizer.model)
+        bare.pre_tokenizer = Sequence([WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)])
+        return bare
+
+    @staticmethod
+    def _kind(piece: str) -> int:
+        """0: Latin-1 letters, 1: other letters, 2: anything else."""
+        if not piece.isalpha():
+            return 2
+        return 0 if piece.isascii() or len(piece.encode("latin-1", "ignore")) == len(piece) else 1
+
+    def _asked(self, pieces: list[str], kind: int) -> list[bytes]:
+        """The ids of each of some pieces without white space, all of one kind."""
         numbers = None
-        if letters and self.ends is not None:  # a piece is at least one word, so it is one if there are as many words
-            numbers = np.array(self.tokenizer.encode_batch_fast([" ".join(pieces)], add_special_tokens=False)[0].ids, np.int64)
+        if kind < 2 and self.ends is not None:  # a piece is at least one word, so it is one if there are as many words
+            text, tokenizer = " ".join(pieces), self.tokenizer
+            if kind == 0 and self.bare:
+                text, tokenizer = text.lower(), self.bare
+            numbers = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int64)
             bounds = np.flatnonzero(self.ends[numbers]) + 1
             numbers = numbers if len(bounds) == len(pieces) else None
         if numbers is None:
@@ -110,33 +144,57 @@ class Encoder:
         table.update(zip(added, values))
         self.size += sum(map(len, added)) + sum(map(len, values)) + ENTRY_BYTES * len(added)
 
-    def _recall(self, table: dict, older: dict, wanted: set) -> list:
-        """Fills a table from its older one; gives what neither has."""
-        again = [entry for entry in wanted if entry in older] if older else []
-        self._fill(table, again, list(map(older.__getitem__, again)))
-        return list(wanted.difference(again))
+    def _learn_pieces(self, wanted: list[str]) -> None:
+        """Fills the table of pieces, from the older one where that has them."""
+        older = self.older[1]
+        again = [piece for piece in wanted if piece in older] if older else []
+        self._fill(self.pieces, again, list(map(older.__getitem__, again)))
+        new = [piece for piece in wanted if piece not in older] if again else wanted
+        kinds = list(map(self._kind, new))
+        for kind in range(3):
+            own = [piece for piece, its in zip(new, kinds) if its == kind]
+            for low in range(0, len(own), ASKED):
+                some = own[low:low + ASKED]
+                self._fill(self.pieces, some, self._asked(some, kind))
+
+    def _learn(self, wanted: list[bytes]) -> list[bytes]:
+        """The ids of distinct runs that the table lacks; it has them afterwards, but for long ones."""
+        found = list(map(self.older[0].get, wanted)) if self.older[0] else [None] * len(wanted)
+        unseen, pieces = [run for run, ids in zip(wanted, found) if ids is None], self.pieces
+        cut = list(chain.from_iterable(map(self._parts, unseen)))  # flat, as many small tuples would keep the collector busy
+        new = list(set(cut).difference(pieces))
+        self._learn_pieces(new)
+        ids = map(pieces.__getitem__, cut)
+        found = _completed(found, [first + second for first, second in zip(ids, ids)])
+        self._fill(self.runs, wanted, found)
+        for table, added in ((pieces, new), (self.runs, unseen)):
+            for long in [entry for entry in added if len(entry) > LONG_WORD]:
+                self.size -= len(long) + len(table.pop(long)) + ENTRY_BYTES
+        return found
 
     def encode(self, texts: list[bytes], end: bytes) -> list[bytes]:
-        split = [text.split() for text in texts]
+        if not texts:
+            return []
         if self.size > TABLE_BYTES // 2:
             self.older = self.runs, self.pieces
             self.runs, self.pieces, self.size = {}, {"": b""}, 0
-        runs, pieces = self.runs, self.pieces
-        unseen = self._recall(runs, self.older[0], set(chain.from_iterable(split)).difference(runs))
-        cut = list(map(self._parts, unseen))
-        new = self._recall(pieces, self.older[1], set(chain.from_iterable(cut)).difference(pieces))
-        for letters in (True, False):
-            own = [piece for piece in new if piece.isalpha() == letters]
-            for low in range(0, len(own), ASKED):
-                some = own[low:low + ASKED]
-                self._fill(pieces, some, self._asked(some, letters))
-        self._fill(runs, unseen, [pieces[first] + pieces[second] for first, second in cut])
-        look = runs.__getitem__
-        encoded = [b"".join(map(look, own)) + end for own in split]
-        for table, added in ((pieces, new), (runs, unseen)):
-            for long in [entry for entry in added if len(entry) > LONG_WORD]:
-                self.size -= len(long) + len(table.pop(long)) + ENTRY_BYTES
-        return encoded
+        split = pc.ascii_split_whitespace(pa.array(texts, pa.binary()).cast(pa.string()))  # white space around a text gives an empty run
+        numbered = split.values.dictionary_encode()
+        distinct = numbered.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+        known = list(map(self.runs.get, distinct))
+        known = _completed(known, self._learn([run for run, ids in zip(distinct, known) if ids is None]))
+        stops = split.offsets.to_numpy()[1:]
+        order = np.insert(numbered.indices.to_numpy(), stops, len(known))  # each text is followed by the end
+        lined = pa.array([*known, end], pa.large_binary()).take(pa.array(order))
+        content, places = lined.buffers()[2].to_pybytes(), np.frombuffer(lined.buffers()[1], np.int64)
+        bounds = [0, *places[stops + np.arange(1, len(stops) + 1)].tolist()]
+        return [content[a:b] for a, b in zip(bounds, bounds[1:])]
+
+
+def _completed(found: list, rest: list) -> list:
+    """``found`` with what is None in it taken from ``rest``, in order."""
+    left = iter(rest)
+    return [next(left) if value is None else value for value in found]
 
 
 def id_type(path: str) -> str:
@@ -158,7 +216,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, key: str = "doc_i
         keys, ends, total, nulls = [], [np.zeros(1, np.int64)], 0, 0
         stream = None
         for batch in batches:
-            for start, texts in slices(batch, 1):
+            for start, texts in slices(batch, 1, SLICE_BYTES):
                 stream = stream or output(f"{folder}/{name}.ids")
                 encoded = encoder.encode(texts, end)
                 stream.write(b"".join(encoded))
